@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventstar.schemas import FEATURE_SCHEMA
@@ -10,6 +10,20 @@ from eventstar.schemas import FEATURE_SCHEMA
 _EPOCH = "1970-01-01 00:00:00"
 
 
+def with_column_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Add ``name`` = ``expr``, evaluated exactly once per row.
+
+    Filters above a projection are pushed below it by substituting the
+    projected expression, and JSON schema pruning then splits a parse into one
+    parse per referenced field: a dozen rule checks over a parsed document
+    would parse it a dozen times.  A one-element ``explode`` is a generator,
+    which filters cannot be pushed through, so the document is parsed once and
+    later expressions read fields of the result.  No row is added or lost
+    (``array(NULL)`` still has one element).
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 def parse_feature(text: Column | str) -> Column:
     """The feature JSON text as a struct of text leaves (one parse per row)."""
     return F.from_json(text, FEATURE_SCHEMA)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventstar.config import PipelineConfig
-from eventstar.functions.jsonpaths import coordinates_array, parse_feature
+from eventstar.functions.jsonpaths import coordinates_array, parse_feature, with_column_once
 
 # ---------------------------------------------------------------------------
 # Messages and the required paths, in the order they are checked.
@@ -35,9 +35,8 @@ def _falsy(text: Column) -> Column:
 
 def with_parsed(features: DataFrame, text_col: str = "feature") -> DataFrame:
     """Add the parsed struct ``e`` and the coordinate array ``coords``."""
-    return (features
-            .withColumn("e", parse_feature(F.col(text_col)))
-            .withColumn("coords", coordinates_array(F.col("e.geometry.coordinates"))))
+    parsed = with_column_once(features, "e", parse_feature(F.col(text_col)))
+    return with_column_once(parsed, "coords", coordinates_array(F.col("e.geometry.coordinates")))
 
 
 def error_message(config: PipelineConfig | None = None) -> Column:

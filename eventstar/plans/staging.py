@@ -10,6 +10,7 @@ from eventstar.functions.jsonpaths import (
     epoch_millis_to_ntz,
     parse_feature,
     present_but_uncastable,
+    with_column_once,
 )
 from eventstar.operators.firstwins import first_per_key
 from eventstar.schemas import STG_EVENTS, STRING_BOUNDS
@@ -45,13 +46,12 @@ def extract(raw: DataFrame) -> DataFrame:
     its column (magnitude 10.0 in DECIMAL(3,2), a fractional integer, an
     over-long string) sets ``reject_reason`` instead of aborting the load.
     """
-    e = parse_feature(F.col("raw_data"))
-    p = raw.select("batch_id", "raw_data", "ingested_at", e.alias("e"))
+    p = with_column_once(raw.select("batch_id", "raw_data", "ingested_at"), "e",
+                         parse_feature(F.col("raw_data")))
     p = p.filter(F.col("e.properties.mag").isNotNull()
                  & F.col("e.geometry.coordinates").isNotNull())
     props = lambda k: F.col(f"e.properties.{k}")
-    coords = coordinates_array(F.col("e.geometry.coordinates"))
-    p = p.withColumn("coords", coords)
+    p = with_column_once(p, "coords", coordinates_array(F.col("e.geometry.coordinates")))
     texts = {
         "magnitude": F.nullif(props("mag"), F.lit("")),
         "time": props("time"),

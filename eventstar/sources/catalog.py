@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventstar.functions.jsonpaths import parse_feature
+from eventstar.functions.jsonpaths import parse_feature, with_column_once
 
 
 def lookback_window(start: dt.datetime | None, end: dt.datetime | None,
@@ -39,7 +39,7 @@ def catalog_window(features: DataFrame, start: dt.datetime, end: dt.datetime,
     ``min_magnitude`` and ``max_results`` apply only when truthy (0 means no
     filter / no cap).  With a cap the newest events win (ties by id).
     """
-    p = features.withColumn("_p", parse_feature(F.col(text_col)))
+    p = with_column_once(features, "_p", parse_feature(F.col(text_col)))
     t = F.col("_p.properties.time").try_cast("bigint")
     out = p.filter(t.between(_epoch_ms(start), _epoch_ms(end)))
     if min_magnitude:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventstar.functions.jsonpaths import with_column_once
 from eventstar.schemas import PAGE_SCHEMA
 
 
@@ -22,7 +23,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Pages with ``metadata_count``, ``features`` (array of text), and
     ``readable`` (false when the page is not a FeatureCollection)."""
-    p = pages.withColumn("_p", F.from_json("value", PAGE_SCHEMA))
+    p = with_column_once(pages, "_p", F.from_json("value", PAGE_SCHEMA))
     return p.select(
         "page_id", "value",
         F.col("_p.metadata.count").alias("metadata_count"),
