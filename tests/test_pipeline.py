@@ -98,3 +98,22 @@ def test_catalog_window_ingestion(spark):
     stats = pipe.run_ingestion(features_df(spark, docs), end_time=dt.datetime(2024, 1, 3),
                                lookback_days=7)
     assert stats["events_loaded"] == 1 and stats["start_time"].startswith("2023-12-27")
+
+
+def test_runs_consume_only_new_batches_and_recover(spark):
+    pipe = new_pipe(spark)
+    pipe.ingest_batch(features_df(spark, [feature(eid="a"), feature(eid="b")]), "b1")
+    pipe.run_transformations("L1")
+    pipe.ingest_batch(features_df(spark, [feature(eid="b", mag=9.0), feature(eid="c")]), "b2")
+    pipe.load_staging("L2")  # a run that stopped after staging
+    counts = pipe.run_transformations("L3")
+    assert counts["staging_events"] == counts["fact_events"] == 3
+    fact_ids = sorted(r.event_id for r in pipe.store.read("fact_events").collect())
+    assert fact_ids == ["a", "b", "c"]
+    log = {(r.load_id, r.kind, r.consumed_id) for r in pipe.store.read("transform_log").collect()}
+    assert ("L1", "raw_batch", "b1") in log and ("L3", "raw_batch", "b2") in log
+    assert ("L3", "stg_load", "L2") in log
+    # nothing pending: the next run reads no raw batch and adds nothing
+    assert pipe.run_transformations("L4") == counts
+    assert {r.consumed_id for r in pipe.store.read("transform_log")
+            .filter("load_id = 'L4'").collect()} == set()
