@@ -12,6 +12,7 @@ exact integer sums (``eventstar.functions.exact``).
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ from eventstar.functions.exact import (
     stddev_from_moments,
 )
 
-MAJOR = 5.0    # fixed value: "major" events for Q2, and the Q6 floor
-STRONG = 6.0   # fixed value: "strong" events for Q3
+# Decimal thresholds compare with the DECIMAL(3,2) column as is (a float would
+# cast the column to DOUBLE and keep the filter out of the Parquet scan).
+MAJOR = Decimal("5.0")   # fixed value: "major" events for Q2, and the Q6 floor
+STRONG = Decimal("6.0")  # fixed value: "strong" events for Q3
 SIGNIFICANT = 100  # fixed value: Q3 keeps significance above this
 RECENT_DAYS = 30   # fixed value: Q6 window
 TOP_EVENTS = 20    # fixed value: Q6 report size
@@ -71,7 +74,7 @@ def q2_weekday(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     range (under 40,000 rows per century) and broadcast.
     """
     part = _mag_partials(fact, "time_key", [
-        F.count_if(F.col("magnitude") >= MAJOR).alias("major")])
+        F.count_if(F.col("magnitude") >= F.lit(MAJOR)).alias("major")])
     days = F.broadcast(dim_time.select("time_key", "day_name", "is_weekend", "day_of_week"))
     j = part.join(days, "time_key")
     return (j.groupBy("day_name", "is_weekend", "day_of_week").agg(
@@ -88,7 +91,7 @@ def q3_depth(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     part = _mag_partials(fact.filter(sig > SIGNIFICANT), "location_key", [
         F.sum(sig.cast("bigint")).alias("s_sig"),
         F.count(sig).alias("n_sig"),
-        F.count_if(F.col("magnitude") >= STRONG).alias("strong")])
+        F.count_if(F.col("magnitude") >= F.lit(STRONG)).alias("strong")])
     j = part.join(dim_location.select("location_key", "depth_category"), "location_key")
     return (j.groupBy("depth_category").agg(
         F.sum("n").alias("event_count"),
@@ -153,7 +156,7 @@ def q6_high_impact(fact: DataFrame, dim_time: DataFrame, dim_location: DataFrame
     """
     day = F.lit(as_of) if as_of is not None else F.current_date()
     since = F.timestamp_add("DAY", F.lit(-RECENT_DAYS), day.cast("timestamp_ntz"))
-    f = fact.filter((F.col("magnitude") >= MAJOR) & (F.col("event_time") >= since))
+    f = fact.filter((F.col("magnitude") >= F.lit(MAJOR)) & (F.col("event_time") >= since))
     j = (f.join(F.broadcast(dim_time.select("time_key", "date_actual")), "time_key")
          .join(dim_location.select("location_key", "place", "region", "depth_category"),
                "location_key")
