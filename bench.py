@@ -31,7 +31,6 @@ from eventstar.plans import analytics  # noqa: E402
 from eventstar.plans.pipeline import Pipeline, layer_counts_frame  # noqa: E402
 from eventstar.session import build_session, scratch_path  # noqa: E402
 from eventstar.sources.fixture import fixture_pages  # noqa: E402
-from eventstar.sources.pages import explode_features, parse_pages  # noqa: E402
 from eventstar import oracle  # noqa: E402
 
 EVENTS_PER_BATCH = 10_000
@@ -41,7 +40,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus),
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 # small local inputs: split files so every core gets work
+                                 "spark.sql.files.maxPartitionBytes": "1m"})
     root = scratch_path(spark, "bench")
     landing = os.path.join(root, "landing")
 
@@ -64,8 +65,7 @@ def main() -> None:
         stats = []
         for i, path in enumerate(files):
             pages = spark.read.text(path).select(F.lit(path).alias("page_id"), "value")
-            stats.append(pipe.ingest_batch(explode_features(parse_pages(pages)),
-                                           batch_id=f"bench-{i:04d}"))
+            stats.append(pipe.ingest_pages(pages, batch_id=f"bench-{i:04d}"))
         return stats
 
     ingest_stats = timed("ingest", ingest_all)

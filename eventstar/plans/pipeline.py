@@ -16,6 +16,7 @@ from eventstar.plans import staging, warehouse
 from eventstar.plans.ingest import run_ingestion
 from eventstar.plans.store import LayerStore
 from eventstar.sources.catalog import catalog_window, lookback_window
+from eventstar.sources.pages import explode_features, parse_pages, unreadable_page_errors
 
 # Fixed value: (reported name, table) of the layer counts, in report order.
 LAYER_TABLES = [
@@ -64,6 +65,24 @@ class Pipeline:
         """Land ``features`` as they are (no window)."""
         return run_ingestion(self.store, features, batch_id, self.config)
 
+    def ingest_pages(self, pages: DataFrame, batch_id: str | None = None) -> dict:
+        """Land catalog pages (``page_id``, ``value``) as one batch.
+
+        Pages that are not FeatureCollections are recorded in the error table
+        (``page_error``) instead of being dropped; the features of the others
+        are ingested.  Page counts are reported.
+        """
+        batch_id = batch_id or str(uuid.uuid4())
+        parsed = parse_pages(pages)
+        seen = Observation("pages")
+        observed = parsed.observe(seen, F.count(F.lit(1)).alias("pages"),
+                                  F.count_if(~F.col("readable")).alias("unreadable"))
+        self.store.write(unreadable_page_errors(observed, batch_id), "ingestion_errors",
+                         f"{batch_id}-pages")
+        stats = self.ingest_batch(explode_features(parsed), batch_id)
+        stats.update(pages=int(seen.get["pages"]), pages_unreadable=int(seen.get["unreadable"]))
+        return stats
+
     # -- transformations ---------------------------------------------------
     def run_transformations(self, load_id: str | None = None) -> dict:
         """Raw → staging → star schema, then the layer counts.
@@ -109,20 +128,26 @@ class Pipeline:
         batches = self._pending("raw_events", self._log_ids("raw_batch", load_id))
         raw = st.read("raw_events").filter(F.col("load_id").isin(batches))
         staged_ids = st.read("stg_events", exclude_load=load_id).select("event_id")
-        new_rows, rejected = staging.stage(raw, staged_ids)
-        if self.config.on_violation == "fail":
-            bad = rejected.select("event_id", "reject_reason").limit(1).collect()
-            if bad:
-                raise ViolationError(f"staging: {bad[0]['event_id']}: {bad[0]['reject_reason']}")
-        else:
-            # A rejected raw row stays unstaged; record it once per (batch, event).
-            errs = staging.reject_error_rows(rejected)
-            known = st.read("ingestion_errors", exclude_load=load_id) \
-                .filter(F.col("error_type") == staging.STAGING_ERROR) \
-                .select("batch_id", "event_id")
-            st.write(errs.join(known, ["batch_id", "event_id"], "left_anti"),
-                     "ingestion_errors", load_id)
-        st.write(new_rows, "stg_events", load_id)
+        # Parsed once for both outputs (rejects and staged rows).
+        x = staging.extract(raw).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            new_rows, rejected = staging.stage_extracted(x, staged_ids)
+            if self.config.on_violation == "fail":
+                bad = rejected.select("event_id", "reject_reason").limit(1).collect()
+                if bad:
+                    raise ViolationError(
+                        f"staging: {bad[0]['event_id']}: {bad[0]['reject_reason']}")
+            else:
+                # A rejected raw row stays unstaged; record it once per (batch, event).
+                errs = staging.reject_error_rows(rejected)
+                known = st.read("ingestion_errors", exclude_load=load_id) \
+                    .filter(F.col("error_type") == staging.STAGING_ERROR) \
+                    .select("batch_id", "event_id")
+                st.write(errs.join(known, ["batch_id", "event_id"], "left_anti"),
+                         "ingestion_errors", load_id)
+            st.write(new_rows, "stg_events", load_id)
+        finally:
+            x.unpersist()
         return batches
 
     def load_warehouse(self, load_id: str) -> list[str]:

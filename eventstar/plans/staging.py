@@ -109,13 +109,17 @@ def _reject_reason(texts: dict, typed: dict) -> Column:
 
 
 def stage(raw: DataFrame, staged_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new staging rows, rejected rows) for raw rows not yet staged.
+    """(new staging rows, rejected rows) for raw rows not yet staged."""
+    return stage_extracted(extract(raw), staged_ids)
+
+
+def stage_extracted(x: DataFrame, staged_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`stage` over already extracted rows (see :func:`extract`).
 
     First-wins per event_id over (ingested_at, batch_id) runs as a partial
     aggregate, so the following anti-join reuses its hash partitioning on
     event_id and only the already-staged id column is shuffled.
     """
-    x = extract(raw)
     good = x.filter(F.col("reject_reason").isNull())
     payload = [c for c in _STG_COLS if c != "event_id"]
     first = first_per_key(good, ["event_id"], ["ingested_at", "source_batch_id"], payload)

@@ -14,13 +14,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventstar.config import PipelineConfig
 from eventstar.plans.pipeline import Pipeline
 from eventstar.session import scratch_path
 from eventstar.sources.fixture import fixture_pages
-from eventstar.sources.pages import explode_features, parse_pages
 
 
 def start_ingest_stream(spark: SparkSession, landing: str, pipeline: Pipeline,
@@ -31,13 +31,11 @@ def start_ingest_stream(spark: SparkSession, landing: str, pipeline: Pipeline,
     reader = spark.readStream.format("text").option("wholetext", str(wholetext).lower())
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    pages = reader.load(landing)
+    pages = reader.load(landing).select(F.col("_metadata.file_path").alias("page_id"), "value")
 
     def each_batch(df: DataFrame, epoch_id: int) -> None:
         batch_id = f"{prefix}-{epoch_id:08d}"
-        feats = explode_features(parse_pages(df.selectExpr("CAST(NULL AS string) AS page_id",
-                                                           "value")))
-        stats = pipeline.ingest_batch(feats, batch_id)
+        stats = pipeline.ingest_pages(df, batch_id)
         if stats.get("events_fetched", 0):
             pipeline.run_transformations(load_id=batch_id)
 

@@ -117,3 +117,25 @@ def test_runs_consume_only_new_batches_and_recover(spark):
     assert pipe.run_transformations("L4") == counts
     assert {r.consumed_id for r in pipe.store.read("transform_log")
             .filter("load_id = 'L4'").collect()} == set()
+
+
+def test_ingest_pages_records_unreadable(spark):
+    import json
+    pipe = new_pipe(spark)
+    page = json.dumps({"type": "FeatureCollection", "metadata": {"count": 1},
+                       "features": [feature(eid="a")]})
+    pages = spark.createDataFrame([("p1", page), ("p2", "<html>")], "page_id string, value string")
+    stats = pipe.ingest_pages(pages, "b1")
+    assert (stats["pages"], stats["pages_unreadable"], stats["events_loaded"]) == (2, 1, 1)
+    errs = pipe.store.read("ingestion_errors").collect()
+    assert [(e.error_type, e.error_message) for e in errs] == [("page_error", "Unreadable page: p2")]
+
+
+def test_duplicate_in_batch_fail_mode(spark):
+    from eventstar.plans.ingest import DuplicateInBatch
+    pipe = new_pipe(spark, PipelineConfig(on_violation="fail"))
+    with pytest.raises(DuplicateInBatch):
+        pipe.ingest_batch(features_df(spark, [feature(), feature()]), "b1")
+    audit = pipe.store.read("ingestion_audit").collect()
+    assert [(a.status, a.records_inserted) for a in audit] == [("failed", 0)]
+    assert pipe.store.read("raw_events").count() == 0
