@@ -96,19 +96,25 @@ class Pipeline:
         simply redone by the next one.
         """
         load_id = load_id or str(uuid.uuid4())
+        self._log_cache = (None, [])
         batches = self.load_staging(load_id)
         loads = self.load_warehouse(load_id)
         self._log(load_id, batches, loads)
+        self._log_cache = (None, [])
         return self.layer_counts()
 
     def _log_ids(self, kind: str | None, load_id: str) -> list[str]:
-        """Ids consumed by other completed runs (metadata: one per batch or
-        load, collected like a partition listing)."""
-        log = self.store.read("transform_log", exclude_load=load_id)
+        """Ids consumed by other completed runs (``kind`` None: those runs'
+        own ids).  The log is metadata — one row per batch or load consumed —
+        read once per run and kept like a partition listing."""
+        if getattr(self, "_log_cache", (None,))[0] != load_id:
+            rows = self.store.read("transform_log", exclude_load=load_id) \
+                .select("load_id", "kind", "consumed_id").collect()
+            self._log_cache = (load_id, rows)
+        rows = self._log_cache[1]
         if kind is None:
-            return [r[0] for r in log.select("load_id").distinct().collect()]
-        return [r[0] for r in log.filter(F.col("kind") == kind)
-                .select("consumed_id").distinct().collect()]
+            return sorted({r.load_id for r in rows})
+        return sorted({r.consumed_id for r in rows if r.kind == kind})
 
     def _pending(self, table: str, consumed: list[str]) -> list[str]:
         df = self.store.read(table)
