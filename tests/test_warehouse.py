@@ -108,3 +108,21 @@ def test_queries_on_literal_star(spark):
     assert [r.event_id for r in q6] == ["c", "a"]
     assert analytics.q6_high_impact(lay.fact, lay.dim_time, lay.dim_location, lay.dim_event_type,
                                     as_of=dt.date(2024, 3, 1)).count() == 0
+
+
+def test_q6_desc_puts_null_significance_first(spark):
+    day = 1704067200000
+    docs = [feature(eid="x", mag=7.0, time=day, sig=900), feature(eid="y", mag=7.0, time=day),
+            feature(eid="z", mag=8.0, time=day, sig=1)]
+    lay = layers_of(spark, docs)
+    q6 = analytics.q6_high_impact(lay.fact, lay.dim_time, lay.dim_location, lay.dim_event_type,
+                                  as_of=dt.date(2024, 1, 10)).collect()
+    assert [r.event_id for r in q6] == ["z", "y", "x"]
+
+
+def test_q7_latest_errors_first(spark):
+    rows = [("b1", f"e{i:02d}", "validation_error", "m", dt.datetime(2024, 1, 1, 0, i)) for i in range(15)]
+    errs = spark.createDataFrame(rows, "batch_id string, event_id string, error_type string, "
+                                       "error_message string, occurred_at timestamp")
+    got = [r.event_id for r in analytics.q7_recent_errors(errs).collect()]
+    assert got == [f"e{i:02d}" for i in range(14, 4, -1)]
