@@ -137,7 +137,9 @@ class Pipeline:
         # Parsed once for both outputs (rejects and staged rows).
         x = staging.extract(raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            new_rows, rejected = staging.stage_extracted(x, staged_ids)
+            # The counted increment decides whether its keys are broadcast
+            # against the staged history (see anti_join_increment).
+            new_rows, rejected = staging.stage_extracted(x, staged_ids, x.count())
             if self.config.on_violation == "fail":
                 bad = rejected.select("event_id", "reject_reason").limit(1).collect()
                 if bad:
@@ -174,7 +176,8 @@ class Pipeline:
                 src,
                 st.read("dim_time", exclude_load=load_id),
                 st.read("dim_location", exclude_load=load_id),
-                st.read("dim_event_type", exclude_load=load_id))
+                st.read("dim_event_type", exclude_load=load_id),
+                src_rows=src.count())
             if self.config.on_violation == "fail":
                 bad = inc.violations.select("event_id").limit(1).collect()
                 if bad:

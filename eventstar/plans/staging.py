@@ -13,6 +13,7 @@ from eventstar.functions.jsonpaths import (
     with_column_once,
 )
 from eventstar.operators.firstwins import first_per_key
+from eventstar.operators.joins import anti_join_increment
 from eventstar.schemas import STG_EVENTS, STRING_BOUNDS
 
 STAGING_ERROR = "staging_error"
@@ -113,19 +114,21 @@ def stage(raw: DataFrame, staged_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage_extracted(extract(raw), staged_ids)
 
 
-def stage_extracted(x: DataFrame, staged_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_extracted(x: DataFrame, staged_ids: DataFrame,
+                    x_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """:func:`stage` over already extracted rows (see :func:`extract`).
 
     First-wins per event_id over (ingested_at, batch_id) runs as a partial
-    aggregate, so the following anti-join reuses its hash partitioning on
-    event_id and only the already-staged id column is shuffled.
+    aggregate; the increment is then anti-joined against every staged id
+    without shuffling the staged history when the increment is small
+    (:func:`anti_join_increment`).
     """
     good = x.filter(F.col("reject_reason").isNull())
     payload = [c for c in _STG_COLS if c != "event_id"]
     first = first_per_key(good, ["event_id"], ["ingested_at", "source_batch_id"], payload)
-    new_rows = first.join(staged_ids.select("event_id"), "event_id", "left_anti").select(*_STG_COLS)
-    rejected = (x.filter(F.col("reject_reason").isNotNull())
-                .join(staged_ids.select("event_id"), "event_id", "left_anti"))
+    new_rows = anti_join_increment(first, staged_ids, ["event_id"], x_rows).select(*_STG_COLS)
+    rejected = anti_join_increment(x.filter(F.col("reject_reason").isNotNull()), staged_ids,
+                                   ["event_id"], x_rows)
     return new_rows, rejected
 
 

@@ -24,6 +24,7 @@ from eventstar.functions.classify import (
     region,
 )
 from eventstar.operators.firstwins import first_per_key
+from eventstar.operators.joins import anti_join_increment
 from eventstar.schemas import DIM_EVENT_TYPE, DIM_LOCATION, DIM_TIME, FACT_EVENTS
 
 WAREHOUSE_ERROR = "warehouse_error"
@@ -58,16 +59,18 @@ class StarIncrement:
 
 def unloaded(stg: DataFrame, fact: DataFrame) -> DataFrame:
     """Staged rows whose event is not in the fact yet."""
-    return stg.join(fact.select("event_id"), "event_id", "left_anti")
+    return anti_join_increment(stg, fact.select("event_id"), ["event_id"])
 
 
-def new_time_rows(src: DataFrame, dim_time: DataFrame) -> DataFrame:
+def new_time_rows(src: DataFrame, dim_time: DataFrame, src_rows: int | None = None) -> DataFrame:
     dates = src.select(F.to_date("event_time").alias("d")).distinct()
-    dates = dates.join(dim_time.select(F.col("date_actual").alias("d")), "d", "left_anti")
+    dates = anti_join_increment(dates, dim_time.select(F.col("date_actual").alias("d")), ["d"],
+                                src_rows)
     return dates.select(*date_attributes(F.col("d"))).select(*[f.name for f in DIM_TIME.fields])
 
 
-def new_location_rows(src: DataFrame, dim_location: DataFrame) -> DataFrame:
+def new_location_rows(src: DataFrame, dim_location: DataFrame,
+                      src_rows: int | None = None) -> DataFrame:
     """One row per (latitude, longitude, place or ''); the earliest event
     (event_time, event_id) fixes depth category and place spelling, and a row
     already in the dimension keeps its values."""
@@ -77,7 +80,7 @@ def new_location_rows(src: DataFrame, dim_location: DataFrame) -> DataFrame:
                           ["depth", "place"])
     existing = dim_location.select("latitude", "longitude",
                                    place_key(F.col("place")).alias("place_key"))
-    fresh = first.join(existing, LOCATION_KEY_COLS, "left_anti")
+    fresh = anti_join_increment(first, existing, LOCATION_KEY_COLS, src_rows)
     return fresh.select(
         F.xxhash64("latitude", "longitude", "place_key").alias("location_key"),
         "latitude", "longitude",
@@ -87,9 +90,11 @@ def new_location_rows(src: DataFrame, dim_location: DataFrame) -> DataFrame:
     ).select(*[f.name for f in DIM_LOCATION.fields])
 
 
-def new_event_type_rows(src: DataFrame, dim_event_type: DataFrame) -> DataFrame:
+def new_event_type_rows(src: DataFrame, dim_event_type: DataFrame,
+                        src_rows: int | None = None) -> DataFrame:
     types = src.filter(F.col("magnitude_type").isNotNull()).select("magnitude_type").distinct()
-    types = types.join(dim_event_type.select("magnitude_type"), "magnitude_type", "left_anti")
+    types = anti_join_increment(types, dim_event_type.select("magnitude_type"), ["magnitude_type"],
+                                src_rows)
     mt = F.col("magnitude_type")
     return types.select(
         F.xxhash64(mt).alias("event_type_key"), mt,
@@ -124,12 +129,13 @@ def location_violations(src: DataFrame) -> DataFrame:
 
 
 def increment(src: DataFrame, dim_time: DataFrame, dim_location: DataFrame,
-              dim_event_type: DataFrame) -> StarIncrement:
-    """New dimension rows and fact rows for the unloaded staged rows ``src``."""
+              dim_event_type: DataFrame, src_rows: int | None = None) -> StarIncrement:
+    """New dimension rows and fact rows for the unloaded staged rows ``src``
+    (``src_rows``: its counted size, enabling checked broadcasts)."""
     return StarIncrement(
-        dim_time=new_time_rows(src, dim_time),
-        dim_location=new_location_rows(src, dim_location),
-        dim_event_type=new_event_type_rows(src, dim_event_type),
+        dim_time=new_time_rows(src, dim_time, src_rows),
+        dim_location=new_location_rows(src, dim_location, src_rows),
+        dim_event_type=new_event_type_rows(src, dim_event_type, src_rows),
         fact=fact_rows(src),
         violations=location_violations(src),
     )
