@@ -83,6 +83,24 @@ class Pipeline:
         stats.update(pages=int(seen.get["pages"]), pages_unreadable=int(seen.get["unreadable"]))
         return stats
 
+    def ingest_many(self, batches: list[tuple[DataFrame, str]], parallel: int = 4) -> list[dict]:
+        """Land several independent batches of pages (backfill).
+
+        Each batch writes only its own ``load_id`` partitions, and which
+        version of an event wins is decided later at staging (by ingestion
+        time), so batches do not interact: their Spark jobs are submitted
+        from ``parallel`` threads and run side by side on the cluster.
+        Statistics come back in input order.  A failing batch raises after
+        the others finished (its error rows and audit row are written, as in
+        a sequential run).
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            futures = [pool.submit(self.ingest_pages, pages, batch_id)
+                       for pages, batch_id in batches]
+            return [f.result() for f in futures]
+
     # -- transformations ---------------------------------------------------
     def run_transformations(self, load_id: str | None = None) -> dict:
         """Raw → staging → star schema, then the layer counts.

@@ -139,3 +139,20 @@ def test_duplicate_in_batch_fail_mode(spark):
     audit = pipe.store.read("ingestion_audit").collect()
     assert [(a.status, a.records_inserted) for a in audit] == [("failed", 0)]
     assert pipe.store.read("raw_events").count() == 0
+
+
+def test_ingest_many_equals_sequential(spark):
+    from eventstar.sources.fixture import fixture_pages
+    pages = fixture_pages(spark, SF_SMALL)
+    parts = [(pages.filter(f"page_id % 3 = {k}"), f"b{k}") for k in range(3)]
+    seq, par = new_pipe(spark), new_pipe(spark)
+    for df, bid in parts:
+        seq.ingest_pages(df, bid)
+    stats = par.ingest_many(parts, parallel=3)
+    assert [s["batch_id"] for s in stats] == ["b0", "b1", "b2"]
+    for table in ["raw_events", "ingestion_errors", "ingestion_audit"]:
+        a = seq.store.read(table).select("batch_id", "event_id" if table != "ingestion_audit"
+                                         else "records_inserted")
+        b = par.store.read(table).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert seq.run_transformations("L") == par.run_transformations("L")
