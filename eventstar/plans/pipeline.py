@@ -33,6 +33,15 @@ class ViolationError(RuntimeError):
     pass
 
 
+def _side_by_side(*jobs) -> None:
+    """Run independent writes of one run as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def layer_counts_frame(tables: dict[str, DataFrame]) -> DataFrame:
     """One (layer, row_count) row per layer, as one job over six scans."""
     parts = [tables[name].agg(F.count(F.lit(1)).alias("row_count"))
@@ -163,15 +172,17 @@ class Pipeline:
                 if bad:
                     raise ViolationError(
                         f"staging: {bad[0]['event_id']}: {bad[0]['reject_reason']}")
+                st.write(new_rows, "stg_events", load_id)
             else:
                 # A rejected raw row stays unstaged; record it once per (batch, event).
                 errs = staging.reject_error_rows(rejected)
                 known = st.read("ingestion_errors", exclude_load=load_id) \
                     .filter(F.col("error_type") == staging.STAGING_ERROR) \
                     .select("batch_id", "event_id")
-                st.write(errs.join(known, ["batch_id", "event_id"], "left_anti"),
-                         "ingestion_errors", load_id)
-            st.write(new_rows, "stg_events", load_id)
+                _side_by_side(
+                    lambda: st.write(errs.join(known, ["batch_id", "event_id"], "left_anti"),
+                                     "ingestion_errors", load_id),
+                    lambda: st.write(new_rows, "stg_events", load_id))
         finally:
             x.unpersist()
         return batches
@@ -200,11 +211,13 @@ class Pipeline:
                 bad = inc.violations.select("event_id").limit(1).collect()
                 if bad:
                     raise ViolationError(f"warehouse: {bad[0]['event_id']}: no location")
-            else:
-                st.write(inc.violations, "ingestion_errors", f"{load_id}-warehouse")
-            st.write(inc.dim_time, "dim_time", load_id)
-            st.write(inc.dim_location, "dim_location", load_id)
-            st.write(inc.dim_event_type, "dim_event_type", load_id)
+            writes = [lambda: st.write(inc.dim_time, "dim_time", load_id),
+                      lambda: st.write(inc.dim_location, "dim_location", load_id),
+                      lambda: st.write(inc.dim_event_type, "dim_event_type", load_id)]
+            if self.config.on_violation != "fail":
+                writes.append(lambda: st.write(inc.violations, "ingestion_errors",
+                                               f"{load_id}-warehouse"))
+            _side_by_side(*writes)  # dimensions first, then the fact
             # Sorted by time within each file: min/max statistics then let
             # time-window filters (Q6) skip row groups.
             st.write(inc.fact.sortWithinPartitions("event_time"), "fact_events", load_id)
