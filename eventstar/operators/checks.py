@@ -60,22 +60,27 @@ def integrity_checks(tables: dict[str, DataFrame]) -> DataFrame:
         if table in t:
             dup = t[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
             parts.append(_count(dup, f"unique:{table}({','.join(keys)})", F.sum(F.col("c") - 1)))
-    for table, cols in NOT_NULL.items():
-        if table in t:
-            bad = F.count_if(F.greatest(*[F.col(c).isNull() for c in cols])) if len(cols) > 1 \
-                else F.count_if(F.col(cols[0]).isNull())
-            parts.append(_count(t[table], f"not_null:{table}", bad))
     if "fact_events" in t:
         for key, dim in FOREIGN:
             if dim in t:
                 keys = t["fact_events"].select(key).filter(F.col(key).isNotNull()).distinct()
                 orphans = keys.join(t[dim].select(key), key, "left_anti")
                 parts.append(_count(orphans, f"foreign_key:fact_events.{key}", F.count(F.lit(1))))
-    for table, bounds in STRING_BOUNDS.items():
-        if table in t:
-            over = [F.coalesce(F.length(F.col(c)) > n, F.lit(False)) for c, n in bounds.items()]
-            cond = F.greatest(*over) if len(over) > 1 else over[0]
-            parts.append(_count(t[table], f"string_bounds:{table}", F.count_if(cond)))
+    # Row-level rules (NOT NULL, string bounds): one scan per table.
+    for table in t:
+        rules = []
+        if table in NOT_NULL:
+            rules.append((f"not_null:{table}",
+                          F.greatest(*[F.col(c).isNull() for c in NOT_NULL[table]], F.lit(False))))
+        if table in STRING_BOUNDS:
+            over = [F.coalesce(F.length(F.col(c)) > n, F.lit(False))
+                    for c, n in STRING_BOUNDS[table].items()]
+            rules.append((f"string_bounds:{table}", F.greatest(*over, F.lit(False))))
+        if rules:
+            counts = t[table].agg(*[F.count_if(cond).cast("bigint").alias(f"r{i}")
+                                    for i, (_, cond) in enumerate(rules)])
+            pairs = ", ".join(f"'{name}', r{i}" for i, (name, _) in enumerate(rules))
+            parts.append(counts.selectExpr(f"stack({len(rules)}, {pairs}) AS (`check`, violations)"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
