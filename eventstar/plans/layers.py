@@ -47,7 +47,9 @@ class Layers:
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """An empty table Catalyst can prove empty (``limit(0)`` becomes an
+    empty local relation), so joins against it are removed from the plan."""
+    return spark.createDataFrame([], schema).limit(0)
 
 
 def _ts(t: dt.datetime | None) -> Column | None:
