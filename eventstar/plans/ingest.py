@@ -44,9 +44,11 @@ def audit_row(store: LayerStore, batch_id: str, start: dt.datetime, end: dt.date
 
 def run_ingestion(store: LayerStore, features: DataFrame, batch_id: str | None = None,
                   config: PipelineConfig = PipelineConfig(),
-                  window: tuple | None = None) -> dict:
+                  window: tuple | None = None, extra_errors: DataFrame | None = None) -> dict:
     """Land one batch of feature documents (column ``feature``).
 
+    ``extra_errors`` are further error-table rows of the same batch (e.g.
+    unreadable pages), written by the same job as the validation errors.
     Returns the run statistics.  Raises :class:`ErrorThresholdExceeded` after
     the error rows are written when the batch holds ``max_errors`` or more
     invalid features; the raw layer is then left untouched.
@@ -60,7 +62,10 @@ def run_ingestion(store: LayerStore, features: DataFrame, batch_id: str | None =
             seen, F.count(F.lit(1)).alias("fetched"),
             F.count_if(F.col("error_message").isNotNull()).alias("invalid"))
         valid, invalid = split(observed)
-        store.write(error_rows(invalid, batch_id), "ingestion_errors", batch_id)
+        errs = error_rows(invalid, batch_id)
+        if extra_errors is not None:
+            errs = errs.unionByName(extra_errors.select(*errs.columns))
+        store.write(errs, "ingestion_errors", batch_id)
         counts = seen.get
         fetched, n_invalid = int(counts["fetched"]), int(counts["invalid"])
         n_valid = fetched - n_invalid

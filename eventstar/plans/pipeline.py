@@ -79,16 +79,16 @@ class Pipeline:
 
         Pages that are not FeatureCollections are recorded in the error table
         (``page_error``) instead of being dropped; the features of the others
-        are ingested.  Page counts are reported.
+        are ingested.  Page counts are reported.  Page errors and validation
+        errors are written by one job.
         """
         batch_id = batch_id or str(uuid.uuid4())
         parsed = parse_pages(pages)
         seen = Observation("pages")
         observed = parsed.observe(seen, F.count(F.lit(1)).alias("pages"),
                                   F.count_if(~F.col("readable")).alias("unreadable"))
-        self.store.write(unreadable_page_errors(observed, batch_id), "ingestion_errors",
-                         f"{batch_id}-pages")
-        stats = self.ingest_batch(explode_features(parsed), batch_id)
+        stats = run_ingestion(self.store, explode_features(parsed), batch_id, self.config,
+                              extra_errors=unreadable_page_errors(observed, batch_id))
         stats.update(pages=int(seen.get["pages"]), pages_unreadable=int(seen.get["unreadable"]))
         return stats
 
