@@ -1,7 +1,6 @@
 import json
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,12 +13,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    # Tests name their own shared folder only because none is configured here.
-    extra = {"spark.driver.memory": "4g"}
-    from pyspark import SparkConf
-    if not SparkConf().get("spark.checkpoint.dir", None):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="eventstar-tests-")
-    s = build_session("local[4]", shuffle_partitions=4, extra=extra)
+    # Scratch data goes below the installation's spark.checkpoint.dir; only
+    # where none is configured does eventstar.session.scratch_root make a
+    # local folder (local master only).
+    s = build_session("local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 

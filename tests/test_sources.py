@@ -58,3 +58,13 @@ def test_lookback_window():
     assert lookback_window(None, end, 7) == (dt.datetime(2024, 1, 8), end)
     s, e = lookback_window(None, None, 7)
     assert (e - s) == dt.timedelta(days=7)
+
+
+def test_scratch_root_reads_session_setting(spark):
+    from eventstar.session import scratch_path, scratch_root
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = scratch_root(spark)
+    if configured:
+        assert root == configured
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root)
