@@ -158,15 +158,23 @@ class Pipeline:
     def load_staging(self, load_id: str) -> list[str]:
         """Stage the raw batches no completed run consumed; returns them."""
         st = self.store
-        batches = self._pending("raw_events", self._log_ids("raw_batch", load_id))
-        raw = st.read("raw_events").filter(F.col("load_id").isin(batches))
+        consumed = self._log_ids("raw_batch", load_id)
+        raw = st.read("raw_events")
+        if consumed:
+            raw = raw.filter(~F.col("load_id").isin(consumed))  # partition pruning
+        # The batches actually read are recorded by the scan itself, so a
+        # batch landing during the run is left for the next one.
+        read = Observation("raw_batches")
+        raw = raw.observe(read, F.collect_set("load_id").alias("batches"))
         staged_ids = st.read("stg_events", exclude_load=load_id).select("event_id")
         # Parsed once for both outputs (rejects and staged rows).
         x = staging.extract(raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # The counted increment decides whether its keys are broadcast
             # against the staged history (see anti_join_increment).
-            new_rows, rejected = staging.stage_extracted(x, staged_ids, x.count())
+            n = x.count()
+            batches = sorted(read.get["batches"])
+            new_rows, rejected = staging.stage_extracted(x, staged_ids, n)
             if self.config.on_violation == "fail":
                 bad = rejected.select("event_id", "reject_reason").limit(1).collect()
                 if bad:
