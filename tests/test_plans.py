@@ -91,3 +91,25 @@ def test_checked_broadcast_of_small_increment(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_q6_large_dimensions_get_runtime_filters(spark):
+    """When the dimensions are too large to broadcast, the selective fact
+    filter of Q6 becomes a bloom filter on the dimension scans."""
+    from eventstar.registry import stored_pipeline
+    star = stored_pipeline(spark, SF_SMALL).star()
+    confs = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        q6 = plan(analytics.q6_high_impact(star["fact"], star["dim_time"], star["dim_location"],
+                                           star["dim_event_type"], as_of=dt.date(2024, 2, 5)))
+        assert "might_contain" in q6 and "TakeOrderedAndProject" in q6
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
