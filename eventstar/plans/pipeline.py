@@ -241,6 +241,18 @@ class Pipeline:
         rows = layer_counts_frame(self.tables()).collect()  # six rows
         return {r["layer"]: int(r["row_count"]) for r in rows}
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every layer table as a temporary view (``prefix`` + table
+        name) so analysts can query the warehouse with ``spark.sql``; Catalyst
+        plans the SQL exactly like the DataFrame queries.  Returns the names."""
+        from eventstar.schemas import TABLES
+
+        names = []
+        for table in TABLES:
+            self.store.read(table).drop("load_id").createOrReplaceTempView(prefix + table)
+            names.append(prefix + table)
+        return names
+
     def star(self) -> dict[str, DataFrame]:
         st = self.store
         return {"fact": st.read("fact_events"), "dim_time": st.read("dim_time"),

@@ -156,3 +156,23 @@ def test_ingest_many_equals_sequential(spark):
         b = par.store.read(table).select(*a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert seq.run_transformations("L") == par.run_transformations("L")
+
+
+def test_sql_views_match_dataframe_query(spark):
+    from eventstar.plans import analytics
+    pipe = new_pipe(spark)
+    pipe.ingest_batch(fixture_features(spark, SF_SMALL), "b1")
+    pipe.run_transformations("L1")
+    names = pipe.register_views(prefix="t_")
+    assert "t_fact_events" in names and "t_dim_location" in names
+    sql = spark.sql("""
+        SELECT l.region, COUNT(*) AS event_count, MAX(f.magnitude) AS max_magnitude,
+               MIN(f.magnitude) AS min_magnitude,
+               SUM(CASE WHEN f.tsunami THEN 1 ELSE 0 END) AS tsunami_events
+        FROM t_fact_events f JOIN t_dim_location l ON f.location_key = l.location_key
+        GROUP BY l.region""")
+    star = pipe.star()
+    df = analytics.q1_region(star["fact"], star["dim_location"]).drop("avg_magnitude")
+    cols = ["region", "event_count", "max_magnitude", "min_magnitude", "tsunami_events"]
+    assert sorted(map(tuple, sql.select(*cols).collect())) == \
+        sorted(map(tuple, df.select(*cols).collect()))
