@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from eventstar.config import PipelineConfig
 from eventstar.operators.validate import error_rows, split, validate
 from eventstar.plans import staging, warehouse
-from eventstar.schemas import DIM_EVENT_TYPE, DIM_LOCATION, DIM_TIME, FACT_EVENTS, STG_EVENTS
+from eventstar.schemas import DIM_EVENT_TYPE, DIM_LOCATION, DIM_TIME, STG_EVENTS
 
 
 @dataclass
@@ -105,4 +105,4 @@ def staged_increment(spark: SparkSession, first: list[Batch], second: list[Batch
     return new2
 
 
-__all__ = ["Batch", "Layers", "build_layers", "land", "staged_increment", "FACT_EVENTS"]
+__all__ = ["Batch", "Layers", "build_layers", "land", "staged_increment"]

@@ -16,7 +16,7 @@ from eventstar.functions.jsonpaths import parse_feature
 from eventstar.operators.checks import integrity_checks
 from eventstar.operators.validate import split, validate
 from eventstar.plans import analytics
-from eventstar.plans.layers import Batch, Layers, build_layers, land, staged_increment
+from eventstar.plans.layers import Batch, Layers, build_layers, staged_increment
 from eventstar.plans.pipeline import layer_counts_frame
 from eventstar.sources.catalog import catalog_window
 from eventstar.sources.fixture import fixture_features, fixture_pages
@@ -279,4 +279,4 @@ _QUERIES = {
 }
 
 
-__all__ = ["queries", "land"]
+__all__ = ["queries", "stored_pipeline"]
