@@ -63,11 +63,14 @@ class Pipeline:
     # -- ingestion ---------------------------------------------------------
     def run_ingestion(self, features: DataFrame, start_time: dt.datetime | None = None,
                       end_time: dt.datetime | None = None, lookback_days: int | None = None,
-                      batch_id: str | None = None) -> dict:
-        """Select the catalog window of ``features`` and land it as one batch."""
+                      batch_id: str | None = None, min_magnitude: float | None = None,
+                      max_results: int | None = None) -> dict:
+        """Select the catalog window of ``features`` (optionally a minimum
+        magnitude and a cap on the newest events) and land it as one batch."""
         start, end = lookback_window(start_time, end_time,
                                      lookback_days or self.config.lookback_days)
-        window = catalog_window(features, start, end)
+        window = catalog_window(features, start, end, min_magnitude=min_magnitude,
+                                max_results=max_results)
         return run_ingestion(self.store, window, batch_id, self.config, window=(start, end))
 
     def ingest_batch(self, features: DataFrame, batch_id: str | None = None) -> dict:

@@ -98,6 +98,10 @@ def test_catalog_window_ingestion(spark):
     stats = pipe.run_ingestion(features_df(spark, docs), end_time=dt.datetime(2024, 1, 3),
                                lookback_days=7)
     assert stats["events_loaded"] == 1 and stats["start_time"].startswith("2023-12-27")
+    docs = [feature(eid=f"m{i}", time=t + i * 60_000, mag=float(i)) for i in range(6)]
+    capped = new_pipe(spark).run_ingestion(features_df(spark, docs), end_time=dt.datetime(2024, 1, 3),
+                                           min_magnitude=2, max_results=3)
+    assert capped["events_loaded"] == 3  # m5, m4, m3: newest three with magnitude >= 2
 
 
 def test_runs_consume_only_new_batches_and_recover(spark):
