@@ -180,3 +180,21 @@ def test_sql_views_match_dataframe_query(spark):
     cols = ["region", "event_count", "max_magnitude", "min_magnitude", "tsunami_events"]
     assert sorted(map(tuple, sql.select(*cols).collect())) == \
         sorted(map(tuple, df.select(*cols).collect()))
+
+
+def test_ingest_many_failing_batch_does_not_stop_others(spark):
+    import json as _json
+    pipe = new_pipe(spark, PipelineConfig(max_errors=2))
+
+    def pages(docs):
+        body = _json.dumps({"type": "FeatureCollection", "metadata": {"count": len(docs)},
+                            "features": docs})
+        return spark.createDataFrame([("p", body)], "page_id string, value string")
+
+    good = pages([feature(eid="a"), feature(eid="b")])
+    bad = pages([feature(eid=None), feature(eid=None), feature(eid="c")])
+    with pytest.raises(ErrorThresholdExceeded):
+        pipe.ingest_many([(good, "ok"), (bad, "bad")], parallel=2)
+    raw = sorted(r.event_id for r in pipe.store.read("raw_events").collect())
+    assert raw == ["a", "b"]
+    assert pipe.store.read("ingestion_errors").filter("batch_id = 'bad'").count() == 2
