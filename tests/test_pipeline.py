@@ -198,3 +198,15 @@ def test_ingest_many_failing_batch_does_not_stop_others(spark):
     raw = sorted(r.event_id for r in pipe.store.read("raw_events").collect())
     assert raw == ["a", "b"]
     assert pipe.store.read("ingestion_errors").filter("batch_id = 'bad'").count() == 2
+
+
+def test_location_keeps_first_depth_category_across_runs(spark):
+    pipe = new_pipe(spark)
+    pipe.ingest_batch(features_df(spark, [feature(eid="a", coords=[5, 5, 10])]), "b1")
+    pipe.run_transformations("L1")
+    pipe.ingest_batch(features_df(spark, [feature(eid="b", coords=[5, 5, 400])]), "b2")
+    pipe.run_transformations("L2")
+    locs = pipe.store.read("dim_location").collect()
+    assert [(l.depth_category, l.place) for l in locs] == [("Shallow", "Test Location")]
+    keys = {r.event_id: r.location_key for r in pipe.store.read("fact_events").collect()}
+    assert keys["a"] == keys["b"] == locs[0].location_key
