@@ -52,6 +52,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--warehouse", required=True, help="folder of the layer tables")
     ap.add_argument("--landing", help="page files (run, ingest, stream)")
     ap.add_argument("--wholetext", action="store_true", help="one page per file")
+    ap.add_argument("--files-per-batch", type=int, default=None,
+                    help="stream: landed files per micro-batch (one ingestion batch each)")
     ap.add_argument("--report", default="q1", help="q1, q1b, q2 .. q7 (query)")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, help="Q6 reference date")
     ap.add_argument("--end-time", type=dt.datetime.fromisoformat, help="window end (run)")
@@ -78,8 +80,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         from eventstar.streaming.incremental import start_ingest_stream
         ck = os.path.join(args.warehouse, "_stream_checkpoint")  # lives with the tables
-        start_ingest_stream(pipe.spark, args.landing, pipe, ck,
-                            wholetext=args.wholetext).awaitTermination()
+        start_ingest_stream(pipe.spark, args.landing, pipe, ck, wholetext=args.wholetext,
+                            files_per_batch=args.files_per_batch).awaitTermination()
         out = pipe.layer_counts()
     elif args.command == "query":
         rows = _report(pipe, args.report, args.as_of).limit(args.limit).collect()
