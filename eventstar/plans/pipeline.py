@@ -161,6 +161,7 @@ class Pipeline:
     def load_staging(self, load_id: str) -> list[str]:
         """Stage the raw batches no completed run consumed; returns them."""
         st = self.store
+        self.spark.sparkContext.setJobDescription(f"eventstar staging {load_id}")
         consumed = self._log_ids("raw_batch", load_id)
         raw = st.read("raw_events")
         if consumed:
@@ -204,6 +205,7 @@ class Pipeline:
         of runs that did not complete (a completed run logged every staging
         load it moved), so the fact is never scanned whole."""
         st = self.store
+        self.spark.sparkContext.setJobDescription(f"eventstar warehouse {load_id}")
         loads = self._pending("stg_events", self._log_ids("stg_load", load_id))
         done_runs = self._log_ids(None, load_id)
         stg = st.read("stg_events").filter(F.col("load_id").isin(loads))

@@ -48,6 +48,9 @@ class LayerStore:
         return df
 
     def write(self, df: DataFrame, table: str, load_id: str) -> None:
+        # Named jobs (thread-local, so also inside concurrent writers) make
+        # event logs and history servers readable on a shared cluster.
+        self.spark.sparkContext.setJobDescription(f"eventstar write {table} {load_id}")
         cols = [f.name for f in TABLES[table].fields]
         (df.select(*cols).withColumn(LOAD_ID, F.lit(load_id))
          .write.mode("overwrite")
