@@ -183,7 +183,41 @@ def _loc_join(f: str = "f", l: str = "l") -> str:
             f"AND coalesce({l}.place, '') = coalesce({f}.place, '')")
 
 
+# Result columns holding DECIMAL / DATE values, per query: they are handed
+# over as DOUBLE / TIMESTAMP, as the Spark side does (see registry._comparable).
+_DEC = {
+    "catalog_window": ["magnitude"],
+    "staging_load": ["magnitude", "latitude", "longitude", "depth"],
+    "staging_increment": ["magnitude", "latitude", "longitude", "depth"],
+    "staging_overlap": ["magnitude", "latitude", "longitude", "depth"],
+    "stream_increment": ["magnitude", "latitude", "longitude", "depth"],
+    "dim_location_load": ["latitude", "longitude"],
+    "fact_load": ["latitude", "longitude", "magnitude", "depth"],
+    "q1_region": ["max_magnitude", "min_magnitude"],
+    "q1b_region_short": ["max_magnitude"],
+    "q4_month": ["max_magnitude"],
+    "q6_high_impact": ["magnitude", "depth"],
+}
+_DATE = {
+    "dim_time_load": ["date_actual"],
+    "fact_load": ["date_actual"],
+    "q6_high_impact": ["date_actual"],
+}
+
+
+def _comparable(name: str, sql: str) -> str:
+    casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in _DEC.get(name, [])]
+    casts += [f"CAST({c} AS TIMESTAMP) AS {c}" for c in _DATE.get(name, [])]
+    if not casts:
+        return sql
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM (\n{sql}\n) AS result"
+
+
 def oracle_sql() -> dict[str, str]:
+    return {name: _comparable(name, sql) for name, sql in _statements().items()}
+
+
+def _statements() -> dict[str, str]:
     q = {}
     q["landed_features"] = f"""
 WITH fx AS ({FIXTURE}),

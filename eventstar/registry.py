@@ -236,10 +236,27 @@ def stream_increment(spark, sf_dir):
     return replay_fixture_stream(spark, sf_dir).select(*STG_OUT[:-1])
 
 
+def _comparable(df: DataFrame) -> DataFrame:
+    """Output types that every client converts alike: DECIMAL as DOUBLE (the
+    oracle engine hands decimals to pandas as floats) and DATE as a
+    timestamp.  Values are unchanged; the layer tables keep their types."""
+    from pyspark.sql import types as T
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("timestamp_ntz")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def _planned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _planning(spark)
-        return fn(spark, sf_dir)
+        return _comparable(fn(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
