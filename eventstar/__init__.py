@@ -7,6 +7,7 @@ DataFrame operators so Catalyst and AQE plan the distributed work.
 """
 
 from eventstar.config import PipelineConfig
+from eventstar.plans.pipeline import Pipeline
 from eventstar.session import build_session, scratch_root
 
-__all__ = ["PipelineConfig", "build_session", "scratch_root"]
+__all__ = ["Pipeline", "PipelineConfig", "build_session", "scratch_root"]
