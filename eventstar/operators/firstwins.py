@@ -23,6 +23,11 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str],
     payload = payload if payload is not None else [c for c in df.columns if c not in keys]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     ordered = [c.alias(f"_o{i}") for i, c in enumerate(order_cols)]
-    best = F.min(F.struct(*ordered, *[F.col(c) for c in payload])).alias("_w")
+    # A payload column that is also an order column travels once, as the
+    # order field (the raw document is both: carrying it twice would double
+    # the shuffle).
+    in_order = {o: f"_o{i}" for i, o in enumerate(order) if isinstance(o, str)}
+    rest = [c for c in payload if c not in in_order]
+    best = F.min(F.struct(*ordered, *[F.col(c) for c in rest])).alias("_w")
     return (df.groupBy(*keys).agg(best)
-            .select(*keys, *[F.col(f"_w.{c}").alias(c) for c in payload]))
+            .select(*keys, *[F.col(f"_w.{in_order.get(c, c)}").alias(c) for c in payload]))
