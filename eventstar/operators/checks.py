@@ -25,6 +25,7 @@ UNIQUE = [
     ("dim_event_type", ["event_type_key"]),
     ("fact_events", ["event_id"]),
     ("fact_events", ["fact_key"]),
+    ("ingestion_audit", ["batch_id"]),
 ]
 
 NOT_NULL = {
@@ -35,6 +36,8 @@ NOT_NULL = {
     "dim_location": ["latitude", "longitude"],
     "dim_event_type": ["magnitude_type"],
     "fact_events": ["event_id", "event_time"],
+    "ingestion_audit": ["batch_id", "start_time"],
+    "ingestion_errors": ["batch_id", "occurred_at"],
 }
 
 FOREIGN = [

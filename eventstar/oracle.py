@@ -156,12 +156,16 @@ def _integrity_sql() -> str:
              "dim_location": "dim_location", "dim_event_type": "dim_event_type",
              "fact_events": "fact"}
     for table, keys in checks.UNIQUE:
+        if table not in names:
+            continue
         src = names[table]
         cols = ", ".join("coalesce(place, '')" if k == "place_key" else k for k in keys)
         parts.append(f"SELECT 'unique:{table}({','.join(keys)})' AS \"check\", "
                      f"CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS violations FROM "
                      f"(SELECT count(*) AS c FROM {src} GROUP BY {cols})")
     for table, cols in checks.NOT_NULL.items():
+        if table not in names:
+            continue
         cond = " OR ".join(f"{c} IS NULL" for c in cols)
         parts.append(f"SELECT 'not_null:{table}', CAST(count(*) FILTER (WHERE {cond}) AS BIGINT)"
                      f" FROM {names[table]}")

@@ -42,10 +42,11 @@ def test_full_run_rerun_and_checks(spark):
     audit = pipe.store.read("ingestion_audit").collect()
     assert [(a.status, a.records_fetched, a.records_inserted) for a in audit] == \
         [("success", stats["events_valid"], stats["events_valid"])]
-    bad = [r for r in integrity_checks(pipe.tables() | {
-        "raw_events": pipe.store.read("raw_events"), "stg_events": pipe.store.read("stg_events"),
-        "fact_events": pipe.store.read("fact_events")}).collect() if r.violations]
-    assert bad == []
+    rows = integrity_checks(pipe.tables() | {
+        name: pipe.store.read(name) for name in
+        ["raw_events", "stg_events", "fact_events", "ingestion_audit", "ingestion_errors"]}).collect()
+    assert [r for r in rows if r.violations] == []
+    assert {"unique:ingestion_audit(batch_id)", "not_null:ingestion_errors"} <= {r.check for r in rows}
 
 
 def test_overlapping_batches_first_wins(spark):
