@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventstar.llm.html import op2_html_extraction
 from eventstar.llm.packing import op10_best_fit_packing
 from eventstar.llm.quality import op9_quality_rules
+from eventstar.llm.tokencount import op4_token_counts
+from eventstar.llm.toxicity import op6_toxicity
+from eventstar.llm.urlfilter import OP3_SQL, op3_url_filters
+from eventstar.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extraction": op2_html_extraction,
+    "op3_url_filters": op3_url_filters,
+    "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
+    "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": OP3_SQL}
