@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventstar.llm.decontam import OP7_SQL, op7_decontamination
 from eventstar.llm.html import op2_html_extraction
 from eventstar.llm.packing import op10_best_fit_packing
 from eventstar.llm.quality import op9_quality_rules
@@ -19,9 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filters": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": OP3_SQL,
+                              "op7_decontamination": OP7_SQL}
