@@ -67,7 +67,7 @@ class Tokens:
     whole.
     """
 
-    def __init__(self, path: str, keep: int = 500_000) -> None:
+    def __init__(self, path: str, keep: int = 150_000) -> None:
         import public_tokenizers
         import tiktoken
 
@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     """One row per piece: its document, place and checksum."""
     def encode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         tok = tokens(tokenizer_path)
-        for part in slices(batch, "text", 4 << 20):
+        for part in slices(batch, "text", 1 << 20):
             rows = []
             ids_of = tok.batch([t or "" for t in part.column(1).to_pylist()])
             for doc_id, ids in zip(part.column(0).to_pylist(), ids_of, strict=True):
