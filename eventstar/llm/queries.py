@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventstar.llm.decontam import OP7_SQL, op7_decontamination
 from eventstar.llm.html import op2_html_extraction
+from eventstar.llm.jaccard import op5_ngram_jaccard
 from eventstar.llm.packing import op10_best_fit_packing
 from eventstar.llm.quality import op9_quality_rules
 from eventstar.llm.tokencount import op4_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": op2_html_extraction,
     "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
