@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventstar.llm.decontam import OP7_SQL, op7_decontamination
 from eventstar.llm.html import op2_html_extraction
 from eventstar.llm.jaccard import op5_ngram_jaccard
+from eventstar.llm.linededup import OP1_SQL, op1_line_dedup
 from eventstar.llm.packing import op10_best_fit_packing
 from eventstar.llm.quality import op9_quality_rules
 from eventstar.llm.tokencount import op4_token_counts
@@ -17,6 +18,7 @@ from eventstar.llm.urlfilter import OP3_SQL, op3_url_filters
 from eventstar.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_html_extraction": op2_html_extraction,
     "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
@@ -28,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filters": OP3_SQL,
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL,
+                              "op3_url_filters": OP3_SQL,
                               "op7_decontamination": OP7_SQL}
