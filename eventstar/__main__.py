@@ -20,7 +20,10 @@ from eventstar.config import PipelineConfig
 from eventstar.plans import analytics
 from eventstar.plans.pipeline import Pipeline
 from eventstar.session import build_session
-from eventstar.sources.pages import explode_features, parse_pages, read_page_files
+from eventstar.sources.pages import read_page_files
+
+
+REPORTS = ["q1", "q1b", "q2", "q3", "q4", "q5", "q6", "q7"]
 
 
 def _pipeline(args) -> Pipeline:
@@ -54,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--wholetext", action="store_true", help="one page per file")
     ap.add_argument("--files-per-batch", type=int, default=None,
                     help="stream: landed files per micro-batch (one ingestion batch each)")
-    ap.add_argument("--report", default="q1", help="q1, q1b, q2 .. q7 (query)")
+    ap.add_argument("--report", default="q1", help="q1, q1b, q2 .. q7, or all (query)")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, help="Q6 reference date")
     ap.add_argument("--end-time", type=dt.datetime.fromisoformat, help="window end (run)")
     ap.add_argument("--lookback-days", type=int, default=PipelineConfig.lookback_days)
@@ -62,17 +65,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--on-violation", default="quarantine", choices=["quarantine", "fail"])
     ap.add_argument("--master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=200)
-    ap.add_argument("--limit", type=int, default=100, help="rows to print (query)")
+    ap.add_argument("--limit", type=int, help="most rows to print (query; default: all)")
     args = ap.parse_args(argv)
 
     pipe = _pipeline(args)
     out: object
     if args.command in ("run", "ingest"):
         pages = read_page_files(pipe.spark, args.landing) if args.wholetext else \
-            pipe.spark.read.text(args.landing).selectExpr("CAST(NULL AS string) AS page_id", "value")
-        feats = explode_features(parse_pages(pages))
+            pipe.spark.read.text(args.landing).selectExpr("_metadata.file_path AS page_id", "value")
         if args.command == "run":
-            out = pipe.run_full_pipeline(feats, end_time=args.end_time)
+            out = pipe.run_full_pipeline(pages=pages, end_time=args.end_time)
         else:
             out = pipe.ingest_pages(pages)
     elif args.command == "transform":
@@ -84,8 +86,13 @@ def main(argv: list[str] | None = None) -> None:
                             files_per_batch=args.files_per_batch).awaitTermination()
         out = pipe.layer_counts()
     elif args.command == "query":
-        rows = _report(pipe, args.report, args.as_of).limit(args.limit).collect()
-        out = [r.asDict() for r in rows]
+        names = REPORTS if args.report == "all" else [args.report]
+        out = {}
+        for name in names:
+            report = _report(pipe, name, args.as_of)
+            rows = report.collect() if args.limit is None else report.limit(args.limit).collect()
+            out[name] = [r.asDict() for r in rows]
+        out = out if args.report == "all" else out[args.report]
     else:
         out = pipe.layer_counts()
     print(json.dumps(out, default=str))

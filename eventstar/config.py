@@ -8,6 +8,8 @@ from dataclasses import dataclass
 DEFAULT_LOOKBACK_DAYS = 7
 DEFAULT_MAX_ERRORS = 500
 DEFAULT_PAGE_SIZE = 100
+# Required paths, in the order they are checked.
+REQUIRED_FIELDS = ("id", "properties.time", "geometry.coordinates")
 
 
 @dataclass(frozen=True)
@@ -24,7 +26,9 @@ class PipelineConfig:
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     max_errors: int | None = DEFAULT_MAX_ERRORS
     on_violation: str = "quarantine"
-    # Opt-in range rules (declared by the reference, never switched on there).
+    # Paths of the feature document that must hold a value.
+    required_fields: tuple[str, ...] = REQUIRED_FIELDS
+    # The range defaults.  Opt-in range rules (declared by the reference, never switched on there).
     check_ranges: bool = False
     magnitude_range: tuple[float, float] = (-2.0, 10.0)
     latitude_range: tuple[float, float] = (-90.0, 90.0)

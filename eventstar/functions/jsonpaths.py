@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from eventstar.schemas import FEATURE_SCHEMA
 
 _EPOCH = "1970-01-01 00:00:00"
+# Years 1 to 9999, the range of calendar dates with four-digit years.
+EPOCH_MS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
 
 
 def with_column_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -36,8 +38,10 @@ def coordinates_array(coords_text: Column) -> Column:
 
 def epoch_millis_to_ntz(ms: Column) -> Column:
     """Epoch milliseconds to a wall-clock UTC timestamp, independent of the
-    session zone (millisecond precision is kept)."""
-    return F.timestamp_add("MILLISECOND", ms, F.lit(_EPOCH).cast("timestamp_ntz"))
+    session zone (millisecond precision is kept); NULL outside
+    ``EPOCH_MS_RANGE``, where the conversion would overflow."""
+    inside = F.when(ms.between(*EPOCH_MS_RANGE), ms)
+    return F.timestamp_add("MILLISECOND", inside, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
 def present_but_uncastable(text: Column, typed: Column) -> Column:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest increment (rows) whose keys are broadcast: a few million short keys
-# make a hashed relation of some hundred MB at most.
+# Largest increment (rows) whose key hashes are broadcast: 8 bytes a row.
 BROADCAST_KEY_LIMIT = 2_000_000
 
 
@@ -14,23 +13,19 @@ def anti_join_increment(new: DataFrame, history: DataFrame, keys: list[str],
                         new_rows: int | None = None) -> DataFrame:
     """``new`` rows whose ``keys`` do not occur in ``history``.
 
-    A plain left-anti join can only broadcast its right side — the large
-    history — so both sides are shuffled on every run.  Here the history is
-    first reduced to the keys that occur in the increment with a left-semi
-    join whose right side is the increment: when AQE measures the increment
-    as small it broadcasts it, and the history is scanned (one key column,
-    thanks to column pruning) but never shuffled; above the broadcast
-    threshold the semi-join falls back to a shuffle join.  The final anti-join
-    then runs between two small sides.  NULL keys never match in either form,
-    so the result equals ``new.join(history, keys, "left_anti")``.
-
-    ``new_rows``, when the caller has counted the increment, makes the
-    broadcast explicit for increments up to :data:`BROADCAST_KEY_LIMIT` rows
-    (the static size estimate of a parsed increment is far above its real
-    size, and AQE can only switch strategy after both sides were shuffled).
+    A plain left-anti join can only broadcast its right side, the large
+    history, so both sides are shuffled.  For an increment counted at up to
+    :data:`BROADCAST_KEY_LIMIT` rows (``new_rows``) the history is first
+    reduced to the rows whose key hash occurs in the increment: those hashes,
+    of a fixed width however long the keys are, are broadcast, and the history
+    is scanned (its key columns only) but never shuffled.  The anti-join on
+    the keys themselves then runs between two small sides.  A larger increment,
+    or one of unknown size, takes the plain join.  NULL keys never match in
+    either form.
     """
-    probe = new.select(*keys)
+    past = history.select(*keys)
     if new_rows is not None and new_rows <= BROADCAST_KEY_LIMIT:
-        probe = F.broadcast(probe)
-    found = history.select(*keys).join(probe, keys, "left_semi")
-    return new.join(found, keys, "left_anti")
+        hashes = new.select(F.xxhash64(*keys).alias("_hash"))
+        past = (past.withColumn("_hash", F.xxhash64(*keys))
+                .join(F.broadcast(hashes), "_hash", "left_semi").drop("_hash"))
+    return new.join(past, keys, "left_anti")

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from eventstar.config import PipelineConfig
 from eventstar.functions.jsonpaths import coordinates_array, parse_feature, with_column_once
+from eventstar.schemas import STRING_BOUNDS
 
 # ---------------------------------------------------------------------------
-# Messages and the required paths, in the order they are checked.
-REQUIRED_FIELDS = ["id", "properties.time", "geometry.coordinates"]
+# Messages.
 MISSING_FIELD = "Missing required field: {}"
 BAD_COORDINATES = "Invalid coordinates format"
 VALIDATION_ERROR = "Validation error: {}"
@@ -43,13 +43,15 @@ def error_message(config: PipelineConfig | None = None) -> Column:
     """Ordered rules; the first failing one names the error.  Needs ``e`` and
     ``coords`` (see :func:`with_parsed`)."""
     eid = F.col("e.id")
-    time_txt = F.col("e.properties.time")
     coords_txt = F.col("e.geometry.coordinates")
     coords = F.col("coords")
-    missing_coords = _falsy(coords_txt) | (coords.isNotNull() & (F.size(coords) == 0))
-    rule = (F.when(eid.isNull() | (eid == ""), MISSING_FIELD.format(REQUIRED_FIELDS[0]))
-            .when(_falsy(time_txt), MISSING_FIELD.format(REQUIRED_FIELDS[1]))
-            .when(missing_coords, MISSING_FIELD.format(REQUIRED_FIELDS[2]))
+    missing = {"geometry.coordinates":
+               _falsy(coords_txt) | (coords.isNotNull() & (F.size(coords) == 0))}
+    rule = F.when(F.lit(False), F.lit(None).cast("string"))
+    for path in (config or PipelineConfig()).required_fields:
+        rule = rule.when(missing.get(path, _falsy(F.col(f"e.{path}"))), MISSING_FIELD.format(path))
+    bound = STRING_BOUNDS["raw_events"]["event_id"]
+    rule = (rule.when(F.length(eid) > bound, VALIDATION_ERROR.format(f"id longer than {bound}"))
             .when(coords.isNull(), VALIDATION_ERROR.format("coordinates is not an array"))
             .when(F.size(coords) < 2, BAD_COORDINATES))
     if config is not None and config.check_ranges:
@@ -94,7 +96,8 @@ def error_rows(invalid: DataFrame, batch_id: Column | str,
     bid = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
     return invalid.select(
         bid.cast("string").alias("batch_id"),
-        F.coalesce(F.col("e.id"), F.lit(UNKNOWN_ID)).alias("event_id"),
+        F.coalesce(F.left(F.col("e.id"), F.lit(STRING_BOUNDS["ingestion_errors"]["event_id"])),
+                   F.lit(UNKNOWN_ID)).alias("event_id"),
         F.lit(ERROR_TYPE).alias("error_type"),
         F.col("error_message"),
         F.col(text_col).alias("raw_data"),

@@ -70,14 +70,17 @@ def run_ingestion(store: LayerStore, features: DataFrame, batch_id: str | None =
         fetched, n_invalid = int(counts["fetched"]), int(counts["invalid"])
         n_valid = fetched - n_invalid
         stats = {"status": "success", "batch_id": batch_id, "events_fetched": fetched}
-        if fetched == 0:
+        # a batch landed again without valid rows replaces what it left before
+        again = store.has("raw_events", batch_id)
+        if fetched == 0 and not again:
             return {"status": "success", "events_fetched": 0}
         if threshold_exceeded(n_invalid, config.max_errors):
             raise ErrorThresholdExceeded(f"{THRESHOLD_MESSAGE}: {n_invalid}/{config.max_errors}")
         inserted = 0
-        if n_valid:
+        if n_valid or again:
             inserted = _load_raw(store, split(validated)[0], batch_id, n_valid, start, config)
-        stats.update(events_valid=n_valid, events_invalid=n_invalid, events_loaded=inserted)
+        stats.update(events_valid=n_valid, events_invalid=n_invalid, events_loaded=inserted,
+                     failed=n_valid - inserted)
         if window is not None:
             stats.update(start_time=window[0].isoformat(), end_time=window[1].isoformat())
         return stats
@@ -97,7 +100,7 @@ def _load_raw(store: LayerStore, valid: DataFrame, batch_id: str, n_valid: int,
         store.write(raw.observe(written, F.count(F.lit(1)).alias("n")), "raw_events", batch_id)
         inserted = int(written.get["n"])
     except Exception as exc:
-        store.write(audit_row(store, batch_id, start, _now(), n_valid, 0, "failed", str(exc)[:2000]),
+        store.write(audit_row(store, batch_id, start, _now(), n_valid, 0, "failed", str(exc)),
                     "ingestion_audit", batch_id)
         raise
     store.write(audit_row(store, batch_id, start, _now(), n_valid, inserted, "success"),

@@ -16,7 +16,7 @@ from eventstar.plans import staging, warehouse
 from eventstar.plans.ingest import run_ingestion
 from eventstar.plans.store import LayerStore
 from eventstar.sources.catalog import catalog_window, lookback_window
-from eventstar.sources.pages import explode_features, parse_pages, unreadable_page_errors
+from eventstar.sources.pages import explode_features, page_errors, parse_pages
 
 # Fixed value: (reported name, table) of the layer counts, in report order.
 LAYER_TABLES = [
@@ -69,30 +69,47 @@ class Pipeline:
         magnitude and a cap on the newest events) and land it as one batch."""
         start, end = lookback_window(start_time, end_time,
                                      lookback_days or self.config.lookback_days)
+        # rows without a readable time go on to validation, not out of sight
         window = catalog_window(features, start, end, min_magnitude=min_magnitude,
-                                max_results=max_results)
+                                max_results=max_results, keep_undated=True)
         return run_ingestion(self.store, window, batch_id, self.config, window=(start, end))
 
     def ingest_batch(self, features: DataFrame, batch_id: str | None = None) -> dict:
         """Land ``features`` as they are (no window)."""
         return run_ingestion(self.store, features, batch_id, self.config)
 
-    def ingest_pages(self, pages: DataFrame, batch_id: str | None = None) -> dict:
-        """Land catalog pages (``page_id``, ``value``) as one batch.
-
-        Pages that are not FeatureCollections are recorded in the error table
-        (``page_error``) instead of being dropped; the features of the others
-        are ingested.  Page counts are reported.  Page errors and validation
-        errors are written by one job.
+    def ingest_pages(self, pages: DataFrame, batch_id: str | None = None,
+                     start_time: dt.datetime | None = None, end_time: dt.datetime | None = None,
+                     lookback_days: int | None = None, windowed: bool = False) -> dict:
+        """Land catalog pages (``page_id``, ``value``) as one batch, with
+        ``windowed`` only their features in the catalog window.
+
+        Pages that are not FeatureCollections, and pages that declare another
+        number of features than they have, are recorded in the error table
+        (``page_error``); the features there are are ingested.  Page counts
+        are reported.  The pages are read and parsed once for all of it; page
+        errors and validation errors are written by one job.
         """
         batch_id = batch_id or str(uuid.uuid4())
-        parsed = parse_pages(pages)
-        seen = Observation("pages")
-        observed = parsed.observe(seen, F.count(F.lit(1)).alias("pages"),
-                                  F.count_if(~F.col("readable")).alias("unreadable"))
-        stats = run_ingestion(self.store, explode_features(parsed), batch_id, self.config,
-                              extra_errors=unreadable_page_errors(observed, batch_id))
-        stats.update(pages=int(seen.get["pages"]), pages_unreadable=int(seen.get["unreadable"]))
+        parsed = parse_pages(pages).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            seen = Observation("pages")
+            observed = parsed.observe(
+                seen, F.count(F.lit(1)).alias("pages"),
+                F.count_if(~F.col("readable")).alias("unreadable"),
+                F.count_if(F.col("readable") & ~F.col("complete")).alias("incomplete"))
+            features, window = explode_features(parsed), None
+            if windowed:
+                window = lookback_window(start_time, end_time,
+                                         lookback_days or self.config.lookback_days)
+                features = catalog_window(features, *window, keep_undated=True)
+            stats = run_ingestion(self.store, features, batch_id, self.config, window=window,
+                                  extra_errors=page_errors(observed, batch_id))
+        finally:
+            parsed.unpersist()
+        counts = seen.get
+        stats.update(pages=int(counts["pages"]), pages_unreadable=int(counts["unreadable"]),
+                     pages_incomplete=int(counts["incomplete"]))
         return stats
 
     def ingest_many(self, batches: list[tuple[DataFrame, str]], parallel: int = 4) -> list[dict]:
@@ -117,59 +134,73 @@ class Pipeline:
     def run_transformations(self, load_id: str | None = None) -> dict:
         """Raw → staging → star schema, then the layer counts.
 
-        Only raw batches and staging loads no completed run has consumed are
-        read (partition pruning on ``load_id``): raw rows are immutable, so a
-        batch that was staged once can never stage anything new, and history
-        is not rescanned on every run.  Staging still anti-joins every staged
-        id, so an event re-fetched in a later batch is not staged twice.  The
-        run's consumption is logged last; a run that fails before that is
+        Only raw batches that landed whole and that no completed run has
+        consumed in their present version are read (partition pruning on
+        ``load_id``): a batch landed again under its id is pending again, and
+        history is not rescanned on every run.  Staging still anti-joins every
+        staged id, so an event re-fetched in a later batch is not staged twice.
+        The run's consumption is logged last; a run that fails before that is
         simply redone by the next one.
         """
-        load_id = load_id or str(uuid.uuid4())
-        self._log_cache = (None, [])
+        load_id = self._open(load_id or str(uuid.uuid4()))
         batches = self.load_staging(load_id)
         loads = self.load_warehouse(load_id)
-        self._log(load_id, batches, loads)
-        self._log_cache = (None, [])
+        self._close(load_id, batches, loads)
         return self.layer_counts()
 
-    def _log_ids(self, kind: str | None, load_id: str) -> list[str]:
-        """Ids consumed by other completed runs (``kind`` None: those runs'
-        own ids).  The log is metadata — one row per batch or load consumed —
-        read once per run and kept like a partition listing."""
-        if getattr(self, "_log_cache", (None,))[0] != load_id:
-            rows = self.store.read("transform_log", exclude_load=load_id) \
-                .select("load_id", "kind", "consumed_id").collect()
-            self._log_cache = (load_id, rows)
-        rows = self._log_cache[1]
-        if kind is None:
-            return sorted({r.load_id for r in rows})
-        return sorted({r.consumed_id for r in rows if r.kind == kind})
-
-    def _pending(self, table: str, consumed: list[str]) -> list[str]:
-        df = self.store.read(table)
-        if consumed:
-            df = df.filter(~F.col("load_id").isin(consumed))
-        return [r[0] for r in df.select("load_id").distinct().collect()]
-
-    def _log(self, load_id: str, batches: list[str], loads: list[str]) -> None:
-        rows = [("raw_batch", b) for b in batches] + [("stg_load", s) for s in loads]
-        df = self.spark.createDataFrame(rows, "kind string, consumed_id string") \
+    def _open(self, load_id: str) -> str:
+        """Record the start of a run.  A run that completed, or whose staged
+        rows another run has moved on, is not redone: its rows stay, and what
+        is pending runs under a fresh id."""
+        done = self.store.read("transform_runs").filter(
+            (F.col("load_id") == load_id) & (F.col("state") == "completed")).select("load_id")
+        moved = self.store.read("transform_log", exclude_load=load_id).filter(
+            (F.col("kind") == "stg_load") & (F.col("consumed_id") == load_id)).select("load_id")
+        if not done.unionByName(moved).isEmpty():
+            load_id = f"{load_id}-{uuid.uuid4().hex[:8]}"
+        self._mark(load_id, "started")
+        return load_id
+
+    def _mark(self, load_id: str, state: str) -> None:
+        one = self.spark.range(1).select(F.lit(state).alias("state"),
+                                         F.current_timestamp().alias("at"))
+        self.store.write(one, "transform_runs", load_id)
+
+    def _close(self, load_id: str, batches: list[tuple[str, dt.datetime]],
+               loads: list[str]) -> None:
+        rows = [("raw_batch", b, v) for b, v in batches] + [("stg_load", x, None) for x in loads]
+        df = self.spark.createDataFrame(rows, "kind string, consumed_id string, version timestamp") \
             .withColumn("completed_at", F.current_timestamp())
         self.store.write(df, "transform_log", load_id)
-
-    def load_staging(self, load_id: str) -> list[str]:
-        """Stage the raw batches no completed run consumed; returns them."""
+        self._mark(load_id, "completed")
+
+    def _log(self, kind: str, load_id: str) -> DataFrame:
+        return self.store.read("transform_log", exclude_load=load_id).filter(
+            F.col("kind") == kind).select("consumed_id", "version")
+
+    def _pending_batches(self, load_id: str) -> list[tuple[str, dt.datetime]]:
+        """Batches that landed whole (their audit row says success) and that no
+        other run consumed as they are now.  The log is joined in Spark; only
+        the pending batches reach the driver."""
+        landed = self.store.read("ingestion_audit").filter(F.col("status") == "success") \
+            .select(F.col("batch_id").alias("consumed_id"), F.col("end_time").alias("version"))
+        rows = landed.join(self._log("raw_batch", load_id), ["consumed_id", "version"], "left_anti")
+        return sorted((r[0], r[1]) for r in rows.collect())
+
+    def _unfinished_runs(self, load_id: str) -> list[str]:
+        """Other runs that started and did not complete."""
+        runs = self.store.read("transform_runs", exclude_load=load_id)
+        return sorted(r[0] for r in runs.filter(F.col("state") == "started")
+                      .select("load_id").distinct().collect())
+
+    def load_staging(self, load_id: str) -> list[tuple[str, dt.datetime]]:
+        """Stage the pending raw batches; returns them with their versions."""
         st = self.store
         self.spark.sparkContext.setJobDescription(f"eventstar staging {load_id}")
-        consumed = self._log_ids("raw_batch", load_id)
-        raw = st.read("raw_events")
-        if consumed:
-            raw = raw.filter(~F.col("load_id").isin(consumed))  # partition pruning
-        # The batches actually read are recorded by the scan itself, so a
-        # batch landing during the run is left for the next one.
-        read = Observation("raw_batches")
-        raw = raw.observe(read, F.collect_set("load_id").alias("batches"))
+        if not st.has("transform_runs", load_id):
+            self._mark(load_id, "started")
+        batches = self._pending_batches(load_id)
+        raw = st.read("raw_events").filter(F.col("load_id").isin([b for b, _ in batches]))
         staged_ids = st.read("stg_events", exclude_load=load_id).select("event_id")
         # Parsed once for both outputs (rejects and staged rows).
         x = staging.extract(raw).persist(StorageLevel.MEMORY_AND_DISK)
@@ -177,7 +208,6 @@ class Pipeline:
             # The counted increment decides whether its keys are broadcast
             # against the staged history (see anti_join_increment).
             n = x.count()
-            batches = sorted(read.get["batches"])
             new_rows, rejected = staging.stage_extracted(x, staged_ids, n)
             if self.config.on_violation == "fail":
                 bad = rejected.select("event_id", "reject_reason").limit(1).collect()
@@ -200,18 +230,19 @@ class Pipeline:
         return batches
 
     def load_warehouse(self, load_id: str) -> list[str]:
-        """Move staging loads no completed run consumed into the star schema;
-        returns them.  Their rows are anti-joined only against fact partitions
-        of runs that did not complete (a completed run logged every staging
-        load it moved), so the fact is never scanned whole."""
+        """Move this run's staging load, and those of runs that did not
+        complete, into the star schema; returns them.  A completed run has
+        moved all staging loads there were, so the rows are anti-joined only
+        against fact partitions of unfinished runs: neither staging nor the
+        fact is scanned whole."""
         st = self.store
         self.spark.sparkContext.setJobDescription(f"eventstar warehouse {load_id}")
-        loads = self._pending("stg_events", self._log_ids("stg_load", load_id))
-        done_runs = self._log_ids(None, load_id)
+        unfinished = self._unfinished_runs(load_id)
+        moved = {r[0] for r in self._log("stg_load", load_id)
+                 .filter(F.col("consumed_id").isin(unfinished)).collect()}
+        loads = [x for x in unfinished if x not in moved] + [load_id]
         stg = st.read("stg_events").filter(F.col("load_id").isin(loads))
-        fact = st.read("fact_events", exclude_load=load_id)
-        if done_runs:
-            fact = fact.filter(~F.col("load_id").isin(done_runs))
+        fact = st.read("fact_events").filter(F.col("load_id").isin(unfinished))
         src = warehouse.unloaded(stg, fact).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             inc = warehouse.increment(
@@ -228,8 +259,8 @@ class Pipeline:
                       lambda: st.write(inc.dim_location, "dim_location", load_id),
                       lambda: st.write(inc.dim_event_type, "dim_event_type", load_id)]
             if self.config.on_violation != "fail":
-                writes.append(lambda: st.write(inc.violations, "ingestion_errors",
-                                               f"{load_id}-warehouse"))
+                writes.append(lambda: st.write(self._with_documents(inc.violations),
+                                               "ingestion_errors", f"{load_id}-warehouse"))
             _side_by_side(*writes)  # dimensions first, then the fact
             # Sorted by time within each file: min/max statistics then let
             # time-window filters (Q6) skip row groups.
@@ -238,6 +269,14 @@ class Pipeline:
             src.unpersist()
         return loads
 
+    def _with_documents(self, violations: DataFrame) -> DataFrame:
+        """Error rows with the raw documents of their events; only the raw
+        batches that have such rows are read."""
+        batches = [r[0] for r in violations.select("batch_id").distinct().collect()]
+        raw = self.store.read("raw_events").filter(F.col("load_id").isin(batches)) \
+            .select("batch_id", "event_id", "raw_data")
+        return violations.drop("raw_data").join(raw, ["batch_id", "event_id"], "left")
+
     # -- reporting ---------------------------------------------------------
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.store.read(table) for name, table in LAYER_TABLES}
@@ -266,10 +305,15 @@ class Pipeline:
                 "errors": st.read("ingestion_errors")}
 
     # -- whole run ---------------------------------------------------------
-    def run_full_pipeline(self, features: DataFrame, start_time: dt.datetime | None = None,
-                          end_time: dt.datetime | None = None) -> dict:
+    def run_full_pipeline(self, features: DataFrame | None = None,
+                          start_time: dt.datetime | None = None,
+                          end_time: dt.datetime | None = None,
+                          pages: DataFrame | None = None) -> dict:
+        """Ingest the window of ``features`` (or of ``pages``), transform, and
+        report both."""
         t0 = time.time()
-        ingestion = self.run_ingestion(features, start_time, end_time)
+        ingestion = self.run_ingestion(features, start_time, end_time) if pages is None else \
+            self.ingest_pages(pages, None, start_time, end_time, windowed=True)
         transformations = self.run_transformations()
         end = dt.datetime.now(dt.timezone.utc)
         return {"status": "success", "duration_seconds": time.time() - t0,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventstar.functions.jsonpaths import (
+    EPOCH_MS_RANGE,
     coordinates_array,
     epoch_millis_to_ntz,
     parse_feature,
@@ -101,6 +102,9 @@ def _reject_reason(texts: dict, typed: dict) -> Column:
         cond = present_but_uncastable(texts[name], typed[name])
         msg = f"{name} value does not fit its column"
         rule = F.when(cond, msg) if rule is None else rule.when(cond, msg)
+    for name in ("time", "updated"):
+        rule = rule.when(~typed[name].between(*EPOCH_MS_RANGE), f"{name} out of range")
+    rule = rule.when(typed["time"].isNull(), "time missing")
     rule = rule.when(F.col("e.id").isNull(), "event_id missing")
     for col, n in STRING_BOUNDS["stg_events"].items():
         src = {"event_id": "e.id", "magnitude_type": "e.properties.magType",

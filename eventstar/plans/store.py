@@ -1,9 +1,9 @@
 """Layer tables as Parquet folders partitioned by ``load_id``.
 
-Every write replaces only its own ``load_id`` partition (dynamic partition
-overwrite), so a retried load with the same id rewrites its own rows and
-nothing else; reads for anti-joins exclude the current load id so a retry
-sees the same "existing" rows as the first attempt.  Parquet has no
+Every write replaces the folder of its own ``load_id``, also by no rows, so a
+retried load with the same id rewrites its own rows and nothing else; reads
+for anti-joins exclude the current load id so a retry sees the same
+"existing" rows as the first attempt.  Parquet has no
 multi-table transaction: dimensions are written before the fact, so a reader
 can at worst see a dimension row without facts, which inner-join queries
 ignore.
@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +20,13 @@ from pyspark.sql import types as T
 from eventstar.schemas import TABLES
 
 LOAD_ID = "load_id"
+# Characters that Spark writes as %XX in partition folders.
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def _folder(load_id: str) -> str:
+    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 0x20 else c for c in load_id)
+    return f"{LOAD_ID}={name}"
 
 
 class LayerStore:
@@ -34,14 +40,19 @@ class LayerStore:
     def schema(self, table: str) -> T.StructType:
         return T.StructType(TABLES[table].fields + [T.StructField(LOAD_ID, T.StringType())])
 
+    def exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+    def has(self, table: str, load_id: str) -> bool:
+        return self.exists(os.path.join(self.path(table), _folder(load_id)))
+
     def read(self, table: str, exclude_load: str | None = None) -> DataFrame:
         """The table (all loads, or all but ``exclude_load``); an absent
         table reads as empty with its declared schema."""
-        try:
+        if self.exists(self.path(table)):
             df = self.spark.read.schema(self.schema(table)).parquet(self.path(table))
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-                raise
+        else:
             df = self.spark.createDataFrame([], self.schema(table))
         if exclude_load is not None:
             df = df.filter(F.col(LOAD_ID) != exclude_load)
@@ -52,8 +63,5 @@ class LayerStore:
         # event logs and history servers readable on a shared cluster.
         self.spark.sparkContext.setJobDescription(f"eventstar write {table} {load_id}")
         cols = [f.name for f in TABLES[table].fields]
-        (df.select(*cols).withColumn(LOAD_ID, F.lit(load_id))
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(LOAD_ID)
-         .parquet(self.path(table)))
+        (df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(os.path.join(self.path(table), _folder(load_id))))

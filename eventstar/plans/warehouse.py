@@ -104,7 +104,9 @@ def new_event_type_rows(src: DataFrame, dim_event_type: DataFrame,
 
 
 def fact_rows(src: DataFrame) -> DataFrame:
-    return src.select(
+    """Fact rows of the staged rows that have a location; the others are in
+    the error table (:func:`location_violations`)."""
+    return src.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         fact_key(F.col("event_id")).alias("fact_key"),
         "event_id",
         time_key(F.to_date("event_time")).alias("time_key"),
@@ -117,7 +119,7 @@ def fact_rows(src: DataFrame) -> DataFrame:
 
 def location_violations(src: DataFrame) -> DataFrame:
     """Staged rows without latitude or longitude: no location row can hold
-    them; their fact row carries a NULL location key."""
+    them, so they stay out of the fact."""
     return src.filter(F.col("latitude").isNull() | F.col("longitude").isNull()).select(
         F.col("source_batch_id").alias("batch_id"),
         "event_id",

@@ -210,14 +210,16 @@ def stored_pipeline(spark: SparkSession, sf_dir: str, events_per_batch: int = 10
     from eventstar.session import scratch_path
     from eventstar.sources.fixture import read_events
 
-    pages_per_batch = max(1, events_per_batch // 100)
-    n = read_events(spark, sf_dir).count()
-    pages = fixture_pages(spark, sf_dir, page_size=100)
-    batches = [(pages.filter(F.col("page_id").between(k * pages_per_batch,
-                                                      (k + 1) * pages_per_batch - 1)),
-                f"fixture-{k:04d}")
-               for k in range(max(1, math.ceil(n / events_per_batch)))]
-    pipe = Pipeline(spark, os.path.join(scratch_path(spark, "stored"), "layers"))
+    root = scratch_path(spark, "stored")
+    n = max(1, math.ceil(read_events(spark, sf_dir).count() / events_per_batch))
+    # The pages are built once; a page's batch is its id's remainder.
+    (fixture_pages(spark, sf_dir, page_size=100)
+     .withColumn("part", F.pmod("page_id", F.lit(n)).cast("int"))
+     .write.partitionBy("part").parquet(os.path.join(root, "pages")))
+    pages = spark.read.parquet(os.path.join(root, "pages"))
+    batches = [(pages.filter(F.col("part") == k).drop("part"), f"fixture-{k:04d}")
+               for k in range(n)]
+    pipe = Pipeline(spark, os.path.join(root, "layers"))
     pipe.ingest_many(batches)
     pipe.run_transformations("fixture-load")
     return pipe

@@ -68,9 +68,13 @@ FACT_EVENTS = _struct(
     ("event_type_key", L), ("magnitude", MAG), ("depth", DEPTH), ("significance", I),
     ("tsunami", B), ("status", S), ("event_time", NTZ), ("loaded_at", TS))
 
-# What each completed transformation run consumed: raw batches it staged and
-# staging loads it moved into the star schema (partitioned by the run's id).
-TRANSFORM_LOG = _struct(("kind", S), ("consumed_id", S), ("completed_at", TS))
+# What each completed transformation run consumed: raw batches it staged (with
+# the end time of their audit row, so a batch landed again is consumed again)
+# and staging loads it moved into the star schema (partitioned by the run's id).
+TRANSFORM_LOG = _struct(("kind", S), ("consumed_id", S), ("version", TS), ("completed_at", TS))
+
+# One row per transformation run: "started", replaced by "completed".
+TRANSFORM_RUNS = _struct(("state", S), ("at", TS))
 
 # Table name -> schema.  Every stored table also carries a ``load_id``
 # partition column (see ``eventstar.plans.store``).
@@ -84,6 +88,7 @@ TABLES = {
     "dim_event_type": DIM_EVENT_TYPE,
     "fact_events": FACT_EVENTS,
     "transform_log": TRANSFORM_LOG,
+    "transform_runs": TRANSFORM_RUNS,
 }
 
 # Declared string bounds (column -> max length) checked before rows are kept.

@@ -33,17 +33,24 @@ def _epoch_ms(t: dt.datetime) -> int:
 
 def catalog_window(features: DataFrame, start: dt.datetime, end: dt.datetime,
                    min_magnitude: float | None = None, max_results: int | None = None,
-                   text_col: str = "feature") -> DataFrame:
+                   text_col: str = "feature", keep_undated: bool = False) -> DataFrame:
     """Features whose ``properties.time`` lies in [start, end].
 
     ``min_magnitude`` and ``max_results`` apply only when truthy (0 means no
     filter / no cap).  With a cap the newest events win (ties by id).
+    ``keep_undated`` also keeps features whose time is missing, zero or not a
+    whole number, beside the window and the cap: validation decides on them.
     """
     p = with_column_once(features, "_p", parse_feature(F.col(text_col)))
     t = F.col("_p.properties.time").try_cast("bigint")
-    out = p.filter(t.between(_epoch_ms(start), _epoch_ms(end)))
+    undated = (t.isNull() | (t == 0)) if keep_undated else F.lit(False)
+    inside = t.between(_epoch_ms(start), _epoch_ms(end))
     if min_magnitude:
-        out = out.filter(F.col("_p.properties.mag").try_cast("double") >= float(min_magnitude))
+        inside &= F.col("_p.properties.mag").try_cast("double") >= float(min_magnitude)
+    if max_results and keep_undated:
+        top = catalog_window(features, start, end, min_magnitude, max_results, text_col)
+        return top.unionByName(p.filter(undated).drop("_p"))
+    out = p.filter(inside | undated)
     if max_results:
         out = out.orderBy(t.desc(), F.col("_p.id")).limit(int(max_results))
     return out.drop("_p")

@@ -102,7 +102,7 @@ def fixture_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> Dat
     """
     feats = fixture_features(
         spark, sf_dir,
-        extra=f", CAST(floor(event_id / {int(page_size)}) AS bigint) AS page_id, event_id AS seq")
+        extra=f", CAST(event_id DIV {int(page_size)} AS bigint) AS page_id, event_id AS seq")
     pages = feats.groupBy("page_id").agg(
         F.sort_array(F.collect_list(F.struct("seq", "feature"))).alias("items"))
     texts = F.transform("items", lambda x: x["feature"])

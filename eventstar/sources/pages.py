@@ -17,18 +17,25 @@ from eventstar.schemas import PAGE_SCHEMA
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed file: ``page_id`` (the file path) and ``value``."""
     return (spark.read.text(path, wholetext=True)
-            .select(F.input_file_name().alias("page_id"), "value"))
+            .select(F.col("_metadata.file_path").alias("page_id"), "value"))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Pages with ``metadata_count``, ``features`` (array of text), and
-    ``readable`` (false when the page is not a FeatureCollection)."""
+    """Pages with ``metadata_count``, ``features`` (array of text), ``readable``
+    (false when the page is not a FeatureCollection; an object without a
+    ``features`` key is an empty one) and ``complete`` (it has as many
+    features as it declares, if it declares a number)."""
     p = with_column_once(pages, "_p", F.from_json("value", PAGE_SCHEMA))
+    features = F.col("_p.features")
+    bare = (F.coalesce(F.startswith(F.get_json_object("value", "$"), F.lit("{")), F.lit(False))
+            & F.get_json_object("value", "$.features").isNull())
+    count = F.col("_p.metadata.count")
     return p.select(
         "page_id", "value",
-        F.col("_p.metadata.count").alias("metadata_count"),
-        F.col("_p.features").alias("features"),
-        F.col("_p.features").isNotNull().alias("readable"),
+        count.alias("metadata_count"),
+        features.alias("features"),
+        (features.isNotNull() | bare).alias("readable"),
+        F.coalesce(count == F.coalesce(F.size(features), F.lit(0)), F.lit(True)).alias("complete"),
     )
 
 
@@ -52,13 +59,20 @@ def page_accounting(parsed: DataFrame) -> DataFrame:
     )
 
 
-def unreadable_page_errors(parsed: DataFrame, batch_id: str) -> DataFrame:
-    """Pages that are not FeatureCollections, as error-table rows."""
-    return parsed.filter(~F.col("readable")).select(
+def page_errors(parsed: DataFrame, batch_id: str) -> DataFrame:
+    """Pages that are not FeatureCollections, and pages with another number of
+    features than they declare, as error-table rows."""
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("unknown"))
+    unreadable = ~F.col("readable")
+    short = F.concat(F.lit("Page declares "), F.col("metadata_count").cast("string"),
+                     F.lit(" features, has "),
+                     F.coalesce(F.size("features"), F.lit(0)).cast("string"), F.lit(": "), page)
+    return parsed.filter(unreadable | ~F.col("complete")).select(
         F.lit(batch_id).alias("batch_id"),
         F.lit("unknown").alias("event_id"),
         F.lit("page_error").alias("error_type"),
-        F.concat(F.lit("Unreadable page: "), F.col("page_id")).alias("error_message"),
+        F.when(unreadable, F.concat(F.lit("Unreadable page: "), page)).otherwise(short)
+        .alias("error_message"),
         F.col("value").alias("raw_data"),
         F.current_timestamp().alias("occurred_at"),
     )

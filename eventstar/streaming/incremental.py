@@ -46,16 +46,20 @@ def start_ingest_stream(spark: SparkSession, landing: str, pipeline: Pipeline,
 
 
 def replay_fixture_stream(spark: SparkSession, sf_dir: str,
-                          config: PipelineConfig = PipelineConfig(), n_files: int = 4) -> DataFrame:
-    """Land the fixture's pages as ``n_files`` files, drain them one file per
+                          config: PipelineConfig = PipelineConfig(),
+                          pages_per_file: int = 100) -> DataFrame:
+    """Land the fixture's pages as files of at most ``pages_per_file`` pages,
+    every tenth page a second time in another file, drain them one file per
     micro-batch, and return the resulting staging table."""
     root = scratch_path(spark, "stream")
     landing = os.path.join(root, "landing")
-    (fixture_pages(spark, sf_dir).select("value")
-     .repartition(n_files).write.mode("overwrite").text(landing))
+    pages = fixture_pages(spark, sf_dir)
+    for name, part in (("all", pages), ("again", pages.filter("page_id % 10 = 0"))):
+        (part.select("value").write.option("maxRecordsPerFile", pages_per_file)
+         .text(os.path.join(landing, name)))
     pipe = Pipeline(spark, os.path.join(root, "layers"), config)
-    q = start_ingest_stream(spark, landing, pipe, os.path.join(root, "checkpoint"),
-                            files_per_batch=1)
+    q = start_ingest_stream(spark, os.path.join(landing, "*"), pipe,
+                            os.path.join(root, "checkpoint"), files_per_batch=1)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from eventstar import oracle, registry
 from tests.conftest import SF_SMALL
 
 SKIP = {"stream_increment"}  # covered by test_stream.py
@@ -41,15 +42,17 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SKIP))
 def test_query_matches_oracle(spark, con, name):
-    sdf = entry.queries()[name](spark, SF_SMALL)
+    sdf = registry.queries()[name](spark, SF_SMALL)
     cols = sorted(sdf.columns)
     srows = sorted((tuple(norm(r[c]) for c in cols) for r in sdf.collect()), key=key)
-    rel = con.execute(entry.oracle_sql()[name])
+    rel = con.execute(oracle.oracle_sql()[name])
     dcols = [d[0] for d in rel.description]
     assert sorted(dcols) == cols
     order = sorted(range(len(dcols)), key=lambda i: dcols[i])

@@ -120,8 +120,8 @@ def test_runs_consume_only_new_batches_and_recover(spark):
     assert ("L3", "stg_load", "L2") in log
     # nothing pending: the next run reads no raw batch and adds nothing
     assert pipe.run_transformations("L4") == counts
-    assert {r.consumed_id for r in pipe.store.read("transform_log")
-            .filter("load_id = 'L4'").collect()} == set()
+    assert [(r.kind, r.consumed_id) for r in pipe.store.read("transform_log")
+            .filter("load_id = 'L4'").collect()] == [("stg_load", "L4")]
 
 
 def test_ingest_pages_records_unreadable(spark):
@@ -211,3 +211,90 @@ def test_location_keeps_first_depth_category_across_runs(spark):
     assert [(l.depth_category, l.place) for l in locs] == [("Shallow", "Test Location")]
     keys = {r.event_id: r.location_key for r in pipe.store.read("fact_events").collect()}
     assert keys["a"] == keys["b"] == locs[0].location_key
+
+
+def ids(pipe, table):
+    return sorted(r.event_id for r in pipe.store.read(table).collect())
+
+
+def test_a_batch_landed_again_is_consumed_again(spark):
+    pipe = new_pipe(spark)
+    pipe.ingest_batch(features_df(spark, [feature(eid="a"), feature(eid=None)]), "b1")
+    pipe.run_transformations("L1")
+    pipe.ingest_batch(features_df(spark, [feature(eid="a"), feature(eid="b")]), "b1")
+    counts = pipe.run_transformations("L2")
+    assert counts["raw_events"] == counts["staging_events"] == counts["fact_events"] == 2
+    # the corrected feature's error row went with the retry
+    assert pipe.store.read("ingestion_errors").count() == 0
+    # a completed run is not redone: its rows stay
+    assert pipe.run_transformations("L1") == counts
+    # without any valid row the batch replaces what it left
+    pipe.ingest_batch(features_df(spark, [feature(eid=None)]), "b1")
+    assert ids(pipe, "raw_events") == []
+
+
+def test_batches_without_a_success_audit_row_are_not_consumed(spark):
+    pipe = new_pipe(spark)
+    pipe.ingest_batch(features_df(spark, [feature(eid="a")]), "b1")
+    half = pipe.store.read("raw_events").withColumn("batch_id", F.lit("b2")).withColumn(
+        "event_id", F.lit("half"))
+    pipe.store.write(half, "raw_events", "b2")
+    pipe.run_transformations("L1")
+    assert ids(pipe, "stg_events") == ["a"]
+
+
+def test_odd_load_ids_are_partition_folders(spark):
+    pipe = new_pipe(spark)
+    odd = "2024-01-01T00:00:00/é=% [x]"
+    pipe.ingest_batch(features_df(spark, [feature(eid="a")]), odd)
+    assert pipe.store.has("raw_events", odd)
+    pipe.run_transformations(odd)
+    assert {r.load_id for r in pipe.store.read("stg_events").collect()} == {odd}
+
+
+def test_times_outside_the_calendar_are_quarantined(spark):
+    pipe = new_pipe(spark)
+    docs = [feature(eid=f"t{t}", time=t) for t in (9_000_000_000_000_000_000, 8_000_000_000_000_000,
+                                                   253_402_300_799_999, -62_135_596_800_001)]
+    pipe.ingest_batch(features_df(spark, [*docs, feature(eid="u", updated=8_000_000_000_000_000)]), "b1")
+    counts = pipe.run_transformations("L1")
+    assert ids(pipe, "fact_events") == ["t253402300799999"] and counts["dim_time"] == 1
+    errors = sorted((r.event_id, r.error_message) for r in pipe.store.read("ingestion_errors").collect())
+    assert errors == [("t-62135596800001", "time out of range"), ("t8000000000000000", "time out of range"),
+                      ("t9000000000000000000", "time out of range"), ("u", "updated out of range")]
+
+
+def test_undated_features_reach_validation_through_the_window(spark):
+    t = 1704067200000
+    docs = [feature(eid="in", time=t), feature(eid="out", time=t + 40 * 86400000),
+            feature(eid="none", time=None), feature(eid="zero", time=0), feature(eid="abc", time="abc"),
+            feature(eid="frac", time=1704067200000.5)]
+    for cap in (None, 1):
+        pipe = new_pipe(spark)
+        stats = pipe.run_ingestion(features_df(spark, docs), end_time=dt.datetime(2024, 1, 3),
+                                   max_results=cap)
+        assert (stats["events_fetched"], stats["events_invalid"]) == (5, 2)
+        pipe.run_transformations("L1")
+        assert ids(pipe, "fact_events") == ["in"]
+        assert ids(pipe, "ingestion_errors") == ["abc", "frac", "none", "zero"]
+
+
+def test_windowed_pages_keep_page_errors(spark):
+    import json
+    short = json.dumps({"metadata": {"count": 500}, "features": [feature(eid="a", time=1704067200000)]})
+    pages = spark.createDataFrame([("p1", short), ("p2", "oops"), ("p3", "{}"), (None, None)],
+                                  "page_id string, value string")
+    pipe = new_pipe(spark)
+    out = pipe.run_full_pipeline(pages=pages, end_time=dt.datetime(2024, 1, 3))["ingestion"]
+    assert (out["pages"], out["pages_unreadable"], out["pages_incomplete"], out["events_loaded"]) == (4, 2, 1, 1)
+    assert sorted(r.error_message for r in pipe.store.read("ingestion_errors").collect()) == [
+        "Page declares 500 features, has 1: p1", "Unreadable page: p2", "Unreadable page: unknown"]
+
+
+def test_rows_without_location_stay_out_of_the_fact(spark):
+    pipe = new_pipe(spark)
+    pipe.ingest_batch(features_df(spark, [feature(eid="ok"), feature(eid="nolat", coords=[1, None])]), "b1")
+    pipe.run_transformations("L1")
+    assert ids(pipe, "fact_events") == ["ok"]
+    (err,) = pipe.store.read("ingestion_errors").collect()
+    assert err.event_id == "nolat" and '"nolat"' in err.raw_data

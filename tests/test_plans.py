@@ -43,7 +43,7 @@ def test_no_python_and_partial_aggregates(spark):
         q1 = plan(analytics.q1_region(l.fact, l.dim_location))
         assert "partial_sum" in q1 and "partial_count" in q1
         from eventstar.plans import staging
-        again, _ = staging.stage(l.raw, l.stg.select("event_id"))  # against a history
+        again, _ = staging.stage_extracted(staging.extract(l.raw), l.stg.select("event_id"), 100)
         stg = plan(again)
         assert "LeftAnti" in stg and "LeftSemi" in stg and "partial_min" in stg
     finally:

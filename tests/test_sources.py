@@ -12,8 +12,8 @@ from eventstar.sources.pages import (
     explode_features,
     page_accounting,
     parse_pages,
+    page_errors,
     read_page_files,
-    unreadable_page_errors,
 )
 from tests.conftest import feature, features_df
 
@@ -36,8 +36,10 @@ def test_pages_from_files(spark):
     acc = {os.path.basename(r.page_id): r for r in page_accounting(parsed).collect()}
     assert acc["p1.json"].complete and not acc["p2.json"].complete
     assert not acc["p3.json"].readable and acc["p4.json"].feature_count == 0
-    errs = unreadable_page_errors(parsed, "b1").collect()
-    assert len(errs) == 1 and errs[0].error_type == "page_error"
+    errs = page_errors(parsed, "b1").collect()
+    assert sorted(e.error_message.split(":")[0] for e in errs) == [
+        "Page declares 5 features, has 1", "Unreadable page"]
+    assert all(e.error_type == "page_error" and "/p" in e.error_message for e in errs)
 
 
 def test_catalog_window(spark):

@@ -14,7 +14,7 @@ COLS = ["event_id", "magnitude", "magnitude_type", "place", "event_time", "latit
 
 
 def test_stream_equals_batch(spark):
-    streamed = replay_fixture_stream(spark, SF_SMALL, n_files=3).select(*COLS)
+    streamed = replay_fixture_stream(spark, SF_SMALL, pages_per_file=4).select(*COLS)
     batch = build_layers(spark, [Batch(fixture_features(spark, SF_SMALL), "b1")]).stg.select(*COLS)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0

@@ -81,3 +81,15 @@ def test_threshold():
     assert not threshold_exceeded(499, 500)
     assert threshold_exceeded(500, 500)
     assert not threshold_exceeded(10**6, None)
+
+
+def test_falsy_and_long_ids_and_required_fields(spark):
+    docs = [feature(eid=0), feature(eid=False), feature(eid="0"), feature(eid="x" * 51),
+            feature(eid="x" * 50), feature(mag=None)]
+    got = [r.error_message for r in validate(features_df(spark, docs)).collect()]
+    assert got == ["Missing required field: id"] * 3 + ["Validation error: id longer than 50", None, None]
+    cfg = PipelineConfig(required_fields=("id", "properties.mag"))
+    got = [r.error_message for r in validate(features_df(spark, docs), cfg).collect()]
+    assert got[-1] == "Missing required field: properties.mag"
+    errors = error_rows(split(validate(features_df(spark, docs)))[1], "b").collect()
+    assert max(len(r.event_id) for r in errors) == 50
