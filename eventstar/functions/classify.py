@@ -17,11 +17,7 @@ from pyspark.sql import functions as F
 DEPTH_SHALLOW_BELOW = 70
 DEPTH_INTERMEDIATE_BELOW = 300
 #
-# Regions, first matching box wins (bounds inclusive), otherwise "Other":
-#   Continental US: latitude 24..49,  longitude -125..-65
-#   Alaska:         latitude 55..72,  longitude -170..-140
-#   Hawaii:         latitude 18..23,  longitude -161..-154
-#   Antarctica:     latitude -90..-60
+# Regions: name, latitude and longitude bounds (inclusive); the first matching box wins.
 REGION_BOXES = [
     ("Continental US", (24, 49), (-125, -65)),
     ("Alaska", (55, 72), (-170, -140)),

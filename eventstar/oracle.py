@@ -243,6 +243,56 @@ SELECT CAST(seq // 100 AS BIGINT) AS page_id, count(*) AS declared_count,
        count(*) AS feature_count, TRUE AS readable, TRUE AS complete
 FROM fx GROUP BY 1"""
 
+    early = f"source_ts < TIMESTAMP '{SPLIT_HIGH}' AND seq % 11 <> 9"
+    late = f"source_ts >= TIMESTAMP '{SPLIT_LOW}'"
+    increment = f"""
+WITH fx AS ({FIXTURE}),
+{VALIDATED},
+old AS ({_stg(early, _q(BATCH_1))}),
+new AS (SELECT * FROM ({_stg(late, _q(BATCH_2))}) WHERE event_id NOT IN (SELECT event_id FROM old))
+"""
+    q["dim_time_increment"] = increment + """
+SELECT DISTINCT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS time_key, CAST(d AS TIMESTAMP) AS date_actual,
+       CAST(weekofyear(d) AS INTEGER) AS week_of_year
+FROM (SELECT CAST(event_time AS DATE) AS d FROM new)
+WHERE d NOT IN (SELECT CAST(event_time AS DATE) FROM old)"""
+    q["dim_location_increment"] = increment + f"""
+SELECT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, place,
+       {depth_case('depth')} AS depth_category, {region_case('latitude', 'longitude')} AS region
+FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, coalesce(place, '')
+                                   ORDER BY event_time, event_id) AS rn FROM new) n
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM old o WHERE o.latitude = n.latitude
+  AND o.longitude = n.longitude AND coalesce(o.place, '') = coalesce(n.place, ''))"""
+    q["dim_event_type_increment"] = increment + f"""
+SELECT DISTINCT magnitude_type, {type_case('magnitude_type', 1)} AS magnitude_category,
+       {type_case('magnitude_type', 2)} AS description
+FROM new WHERE magnitude_type NOT IN (SELECT magnitude_type FROM old WHERE magnitude_type IS NOT NULL)"""
+    q["fact_increment"] = increment + """
+SELECT event_id, CAST(strftime(CAST(event_time AS DATE), '%Y%m%d') AS INTEGER) AS time_key,
+       CAST(magnitude AS DOUBLE) AS magnitude, event_time FROM new"""
+    q["retry_batch"] = STAR + """
+SELECT event_id, time_key, CAST(magnitude AS DOUBLE) AS magnitude FROM fact"""
+    q["retry_empties_errors"] = f"""
+WITH fx AS ({FIXTURE}),
+{VALIDATED}
+SELECT 'b0' AS batch_id, error_message, count(*) AS n_errors
+FROM v WHERE error_message IS NOT NULL AND seq % 2 = 0 GROUP BY error_message"""
+    q["window_ingestion"] = f"""
+WITH fx AS ({FIXTURE}),
+{VALIDATED},
+w AS (SELECT * FROM v WHERE time_ms = 0 OR time_ms BETWEEN epoch_us(TIMESTAMP '{WINDOW[0]}') // 1000
+                                                       AND epoch_us(TIMESTAMP '{WINDOW[1]}') // 1000)
+SELECT count(*) AS events_fetched, count(error_message) AS events_invalid,
+       count(*) - count(error_message) AS records_fetched,
+       count(*) - count(error_message) AS records_inserted FROM w"""
+    q["page_error_rows"] = f"""
+WITH fx AS ({FIXTURE}),
+p AS (SELECT CAST(seq // 100 AS BIGINT) AS page_id, count(*) AS n FROM fx GROUP BY 1)
+SELECT 'page_error' AS error_type,
+       CASE page_id % 4 WHEN 1 THEN concat('Page declares 7777 features, has ', n, ': ', page_id)
+                        ELSE concat('Unreadable page: ', page_id) END AS error_message
+FROM p WHERE page_id % 4 IN (1, 2)"""
+
     q["validate_valid"] = f"""
 WITH fx AS ({FIXTURE}),
 {VALIDATED}

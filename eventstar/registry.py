@@ -20,7 +20,7 @@ from eventstar.plans.layers import Batch, Layers, build_layers, staged_increment
 from eventstar.plans.pipeline import layer_counts_frame
 from eventstar.sources.catalog import catalog_window
 from eventstar.sources.fixture import fixture_features, fixture_pages
-from eventstar.sources.pages import explode_features, page_accounting, parse_pages
+from eventstar.sources.pages import explode_features, page_accounting, page_errors, parse_pages
 
 STG_OUT = ["event_id", "magnitude", "magnitude_type", "place", "event_time", "updated_time",
            "latitude", "longitude", "depth", "status", "tsunami", "significance",
@@ -225,6 +225,110 @@ def stored_pipeline(spark: SparkSession, sf_dir: str, events_per_batch: int = 10
     return pipe
 
 
+def _scratch_pipeline(spark: SparkSession, name: str, config: PipelineConfig = PipelineConfig()):
+    import os
+
+    from eventstar.plans.pipeline import Pipeline
+    from eventstar.session import scratch_path
+    return Pipeline(spark, os.path.join(scratch_path(spark, name), "layers"), config)
+
+
+#: No error limit: the fixture's share of broken rows is fixed, their number is not.
+_NO_LIMIT = PipelineConfig(max_errors=None)
+
+
+def _second_load(spark: SparkSession, sf_dir: str):
+    """Two stored loads of overlapping batches; the first lacks one magnitude
+    type.  The rows of load "second" went through every anti-join against
+    history."""
+    pipe = _scratch_pipeline(spark, "increment", _NO_LIMIT)
+    feats = fixture_features(spark, sf_dir, extra=", ts AS source_ts, event_id AS seq")
+    early = (F.col("source_ts") < F.lit(_ts(oracle.SPLIT_HIGH)).cast("timestamp_ntz")) \
+        & (F.col("seq") % 11 != 9)
+    late = F.col("source_ts") >= F.lit(_ts(oracle.SPLIT_LOW)).cast("timestamp_ntz")
+    for name, rows in (("first", early), ("second", late)):
+        pipe.ingest_batch(feats.filter(rows).select("feature"), name)
+        pipe.run_transformations(name)
+    return pipe.store
+
+
+def _of_second(spark, sf_dir, table, *cols):
+    return _second_load(spark, sf_dir).read(table).filter("load_id = 'second'").select(*cols)
+
+
+def dim_time_increment(spark, sf_dir):
+    """Days that the second load adds."""
+    return _of_second(spark, sf_dir, "dim_time", "time_key", "date_actual", "week_of_year")
+
+
+def dim_location_increment(spark, sf_dir):
+    """Locations that the second load adds."""
+    return _of_second(spark, sf_dir, "dim_location", "latitude", "longitude", "place",
+                      "depth_category", "region")
+
+
+def dim_event_type_increment(spark, sf_dir):
+    """Magnitude types that the second load adds."""
+    return _of_second(spark, sf_dir, "dim_event_type", "magnitude_type", "magnitude_category",
+                      "description")
+
+
+def fact_increment(spark, sf_dir):
+    """Facts that the second load adds."""
+    return _of_second(spark, sf_dir, "fact_events", "event_id", "time_key", "magnitude",
+                      "event_time")
+
+
+def retry_batch(spark, sf_dir):
+    """A batch landed in part, transformed, landed again whole under its id,
+    and transformed again: nothing is lost or doubled."""
+    pipe = _scratch_pipeline(spark, "retry", _NO_LIMIT)
+    feats = fixture_features(spark, sf_dir, extra=", event_id AS seq")
+    for load, rows in (("L1", F.col("seq") % 3 == 0), ("L2", F.lit(True))):
+        pipe.ingest_batch(feats.filter(rows).select("feature"), "b1")
+        pipe.run_transformations(load)
+    return pipe.store.read("fact_events").select("event_id", "time_key", "magnitude")
+
+
+def retry_empties_errors(spark, sf_dir):
+    """Error rows left after a batch with broken features is landed again
+    without them: those of the other batch only."""
+    pipe = _scratch_pipeline(spark, "retry-errors", _NO_LIMIT)
+    feats = fixture_features(spark, sf_dir, extra=", event_id AS seq")
+    broken = validate(feats).filter("error_message IS NOT NULL").select("feature", "seq")
+    sound = validate(feats).filter("error_message IS NULL").select("feature", "seq")
+    for batch, part in (("b0", 0), ("b1", 1)):
+        pipe.ingest_batch(broken.unionByName(sound).filter(F.col("seq") % 2 == part)
+                          .select("feature"), batch)
+    pipe.ingest_batch(sound.filter("seq % 2 = 1").select("feature"), "b1")
+    return pipe.store.read("ingestion_errors").groupBy("batch_id", "error_message").agg(
+        F.count(F.lit(1)).alias("n_errors"))
+
+
+def window_ingestion(spark, sf_dir):
+    """Statistics of a windowed ingestion: every feature without a readable
+    time is offered to validation beside those of the window."""
+    pipe = _scratch_pipeline(spark, "window", _NO_LIMIT)
+    stats = pipe.run_ingestion(fixture_features(spark, sf_dir), _ts(oracle.WINDOW[0]),
+                               _ts(oracle.WINDOW[1]), batch_id="w")
+    audit = pipe.store.read("ingestion_audit").select("records_fetched", "records_inserted")
+    return audit.select(F.lit(stats["events_fetched"]).cast("bigint").alias("events_fetched"),
+                        F.lit(stats["events_invalid"]).cast("bigint").alias("events_invalid"),
+                        "records_fetched", "records_inserted")
+
+
+def page_error_rows(spark, sf_dir):
+    """Pages with a wrong count, without features and unreadable ones."""
+    pages = fixture_pages(spark, sf_dir)
+    kind = F.pmod("page_id", F.lit(4))
+    broken = pages.select("page_id", F.when(kind == 1, F.regexp_replace(
+        "value", '"count":[0-9]+', '"count":7777')).when(kind == 2, F.lit("<html>"))
+        .when(kind == 3, F.lit('{"type":"FeatureCollection"}')).otherwise(F.col("value"))
+        .alias("value"))
+    rows = page_errors(parse_pages(broken), "b1")
+    return rows.select("error_type", "error_message")
+
+
 def integrity(spark, sf_dir):
     """Integrity checks over the stored warehouse built from the fixture."""
     st = stored_pipeline(spark, sf_dir).store
@@ -295,6 +399,14 @@ _QUERIES = {
         "q7_recent_errors": q7_recent_errors,
         "integrity_checks": integrity,
         "stream_increment": stream_increment,
+        "dim_time_increment": dim_time_increment,
+        "dim_location_increment": dim_location_increment,
+        "dim_event_type_increment": dim_event_type_increment,
+        "fact_increment": fact_increment,
+        "retry_batch": retry_batch,
+        "retry_empties_errors": retry_empties_errors,
+        "window_ingestion": window_ingestion,
+        "page_error_rows": page_error_rows,
 }
 
 

@@ -126,3 +126,35 @@ def test_q7_latest_errors_first(spark):
                                        "error_message string, occurred_at timestamp")
     got = [r.event_id for r in analytics.q7_recent_errors(errs).collect()]
     assert got == [f"e{i:02d}" for i in range(14, 4, -1)]
+
+
+def test_classification_boundaries_by_literal(spark):
+    from pyspark.sql import functions as F
+
+    from eventstar.functions import classify
+    depths = [("69.999", "Shallow"), ("70", "Intermediate"), ("299.999", "Intermediate"),
+              ("300", "Deep"), (None, "Deep"), ("-5", "Shallow")]
+    df = spark.createDataFrame(depths, "d string, want string").select(
+        classify.depth_category(F.col("d").cast("decimal(8,3)")).alias("got"), "want")
+    assert [r for r in df.collect() if r.got != r.want] == []
+    places = [(24, -125, "Continental US"), (49, -65, "Continental US"), (49.000001, -65, "Other"),
+              (24, -125.000001, "Other"), (55, -170, "Alaska"), (72, -140, "Alaska"),
+              (72.000001, -140, "Other"), (55, -139.999999, "Other"), (18, -161, "Hawaii"),
+              (23, -154, "Hawaii"), (17.999999, -155, "Other"), (23, -153.999999, "Other"),
+              (-60, 10, "Antarctica"), (-90, -180, "Antarctica"), (-59.999999, 0, "Other"), (0, 0, "Other")]
+    df = spark.createDataFrame([(float(a), float(b), w) for a, b, w in places],
+                               "a double, b double, want string").select(
+        classify.region(F.col("a").cast("decimal(9,6)"), F.col("b").cast("decimal(9,6)")).alias("got"), "want")
+    assert [r for r in df.collect() if r.got != r.want] == []
+    types = [("mb", "Body Wave", "Body wave magnitude"), ("mb_lg", "Body Wave", "Body wave magnitude"),
+             ("ms", "Surface Wave", "Surface wave magnitude"),
+             ("ms_20", "Surface Wave", "Surface wave magnitude"),
+             ("mw", "Moment", "Moment magnitude"), ("mww", "Moment", "Moment magnitude"),
+             ("mwc", "Moment", "Moment magnitude"), ("mwb", "Moment", "Moment magnitude"),
+             ("ml", "Local", "Local (Richter) magnitude"), ("mlg", "Local", "Local (Richter) magnitude"),
+             ("md", "Duration", "Duration magnitude"), ("mwr", "Other", "Other magnitude type"),
+             ("Mw", "Other", "Other magnitude type"), ("", "Other", "Other magnitude type")]
+    df = spark.createDataFrame(types, "t string, c string, d string").select(
+        classify.magnitude_category(F.col("t")).alias("gc"),
+        classify.magnitude_description(F.col("t")).alias("gd"), "c", "d")
+    assert [r for r in df.collect() if (r.gc, r.gd) != (r.c, r.d)] == []
