@@ -51,7 +51,8 @@ def main() -> None:
     n_files = max(1, math.ceil(n_events / EVENTS_PER_BATCH))
     (fixture_pages(spark, sf_dir).repartitionByRange(n_files, "page_id").select("value")
      .write.mode("overwrite").text(landing))
-    files = sorted(os.path.join(landing, f) for f in os.listdir(landing) if f.endswith(".txt"))
+    files = sorted(r[0] for r in spark.read.text(landing).select("_metadata.file_path")
+                   .distinct().collect())
 
     pipe = Pipeline(spark, os.path.join(root, "layers"))
     times: dict[str, float] = {}

@@ -251,6 +251,11 @@ class Pipeline:
                 st.read("dim_location", exclude_load=load_id),
                 st.read("dim_event_type", exclude_load=load_id),
                 src_rows=src.count())
+            twice = warehouse.key_collisions(
+                inc, st.read("dim_location", exclude_load=load_id),
+                st.read("dim_event_type", exclude_load=load_id)).limit(1).collect()
+            if twice:
+                raise ViolationError(f"warehouse: two dimension rows with the key {twice[0][0]}")
             if self.config.on_violation == "fail":
                 bad = inc.violations.select("event_id").limit(1).collect()
                 if bad:
