@@ -161,3 +161,40 @@ def filter_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> D
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures, base rule and line-first verdict of every document."""
     return quality_report(table(spark, sf_dir, "documents"))
+
+
+#: The same in DuckDB.
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+g AS (SELECT rid, i, concat(w[i], ' ', w[i + 1], ' ', w[i + 2]) AS k
+      FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 1))) AS i FROM w)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS n FROM g) WHERE n > 1),
+rep AS (SELECT rid, count(DISTINCT p) AS n_repeat
+        FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY rid),
+ls AS (SELECT rid, string_split(t, chr(10)) AS ls FROM d),
+l AS (SELECT rid, unnest(range(1, len(ls) + 1)) AS no, unnest(ls) AS line FROM ls),
+lw AS (SELECT * FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l) WHERE len(w) > 0),
+f AS (SELECT rid, line, len(w) AS n, no = max(no) OVER (PARTITION BY rid) AS is_last, lower(line) AS low,
+             length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols,
+             (length(line) - length(replace(line, '!!', ''))) // 2 AS shouts,
+             len(list_filter(w, lambda x: x IN ('|', '»', '›', '•', '·', '/', '>'))) AS bars FROM lw),
+j AS (SELECT rid, line, n, symbols * 100 <= 10 * n AND NOT (bars > 0 AND bars * 100 >= 20 * n)
+        AND shouts * 100 <= 30 * n
+        AND NOT regexp_matches(low, 'lorem ipsum|javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|subscribe to|sign up to|click here|read more')
+        AND (is_last OR regexp_matches(line, '(^|[.!?…:;])["\x27”’»)\]]*\s*$')) AS passes FROM f),
+lines AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup, coalesce(sum(n) FILTER (WHERE NOT passes), 0) AS lost
+          FROM j GROUP BY rid),
+b AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) for x in w]), 0) AS word_chars,
+             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+             coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words,
+             coalesce(lost, 0) AS n_lost_words
+      FROM w LEFT JOIN rep USING (rid) LEFT JOIN lines USING (rid)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       CAST(n_lost_words AS BIGINT) AS n_lost_words,
+       NOT base_failed AND 100 * n_lost_words <= 30 * n_words AS kept
+FROM v
+"""

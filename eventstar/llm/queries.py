@@ -11,11 +11,11 @@ from eventstar.llm.html import op2_html_extraction
 from eventstar.llm.jaccard import op5_ngram_jaccard
 from eventstar.llm.linededup import OP1_SQL, op1_line_dedup
 from eventstar.llm.packing import op10_best_fit_packing
-from eventstar.llm.quality import op9_quality_rules
+from eventstar.llm.quality import OP9_SQL, op9_quality_rules
 from eventstar.llm.tokencount import op4_token_counts
 from eventstar.llm.toxicity import op6_toxicity
 from eventstar.llm.urlfilter import OP3_SQL, op3_url_filters
-from eventstar.llm.warc import op8_warc
+from eventstar.llm.warc import OP8_SQL, op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
@@ -30,6 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL,
-                              "op3_url_filters": OP3_SQL,
-                              "op7_decontamination": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op3_url_filters": OP3_SQL,
+    "op7_decontamination": OP7_SQL,
+    "op8_warc": OP8_SQL,
+    "op9_quality_rules": OP9_SQL,
+}

@@ -224,3 +224,19 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(resolve_revisits(page_records(table(spark, sf_dir, "pages"))), path)
     return read_archives(spark, path, payload=False).drop("payload")
+
+
+#: The same in DuckDB; url as the archives hold it.
+OP8_SQL = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, url, strlen(html) AS n, sha1(html) AS hex,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p),
+b AS (SELECT page_id, url, n, first, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(hex, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INT) + 1, 1)
+        for i in range(32)], '') AS digest FROM h)
+SELECT page_id, replace(replace(replace(url, chr(9), '%09'), chr(10), '%0A'), chr(13), '%0D') AS url,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
