@@ -334,3 +334,28 @@ def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links and copies of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "keeper")
+
+
+#: The same in DuckDB: all pairs of classes that share a shingle.
+OP5_SQL = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(translate(lower(coalesce(text, '')),
+        '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', '                                '), '[^\s]+') AS w
+      FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]))
+        END AS s FROM d),
+k AS (SELECT doc_id, len(s) AS n, s, md5(array_to_string(s, '|')) AS cid FROM s),
+c AS (SELECT cid, any_value(s) AS s, any_value(n) AS n, count(*) AS copies, min(doc_id) AS low
+      FROM k WHERE n > 0 GROUP BY cid),
+t AS (SELECT cid, n, unnest(s) AS g FROM c),
+links AS (SELECT a.cid AS a, b.cid AS b FROM t a JOIN t b ON a.g = b.g AND a.cid <> b.cid
+          GROUP BY a.cid, b.cid, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n)),
+near AS (SELECT a AS cid, sum(copies) AS linked FROM links JOIN c ON c.cid = links.b GROUP BY a),
+r(cid, other) AS (SELECT cid, cid FROM c UNION SELECT r.cid, links.b FROM r JOIN links ON links.a = r.other),
+roots AS (SELECT r.cid, min(c.low) AS class_id FROM r JOIN c ON c.cid = r.other GROUP BY r.cid)
+SELECT k.doc_id, CASE WHEN k.n = 0 THEN k.doc_id ELSE roots.class_id END AS class_id,
+       CASE WHEN k.n = 0 THEN 0 ELSE CAST(coalesce(near.linked, 0) + c.copies - 1 AS BIGINT) END AS n_links,
+       CASE WHEN k.n = 0 THEN 1 ELSE c.copies END AS n_copies
+FROM k LEFT JOIN c ON c.cid = k.cid LEFT JOIN near ON near.cid = k.cid LEFT JOIN roots ON roots.cid = k.cid
+"""

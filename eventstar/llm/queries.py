@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventstar.llm.decontam import OP7_SQL, op7_decontamination
 from eventstar.llm.html import op2_html_extraction
-from eventstar.llm.jaccard import op5_ngram_jaccard
+from eventstar.llm.jaccard import OP5_SQL, op5_ngram_jaccard
 from eventstar.llm.linededup import OP1_SQL, op1_line_dedup
 from eventstar.llm.packing import op10_best_fit_packing
 from eventstar.llm.quality import OP9_SQL, op9_quality_rules
@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op3_url_filters": OP3_SQL,
+    "op5_ngram_jaccard": OP5_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
