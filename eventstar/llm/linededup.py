@@ -7,8 +7,9 @@ removed does not matter, so the result does not depend on the order of work.
 
 * Equal sets form a class first, by partial aggregation: a line that a third
   of the corpus repeats is one row per task in the shuffle.
-* Tokens are ordered by rarity: counts of all tokens in a fixed number of hash
-  buckets (a table of constant size), ties by hash.  Any fixed order is exact;
+* Tokens are ordered by rarity: a shingle is at most as frequent as its words,
+  whose counts over the whole corpus are kept in a fixed number of hash
+  buckets (a table of constant size); ties by hash.  Any fixed order is exact;
   rarity only keeps the lists short.
 * Of each class the prefix that a similar set must meet is joined on its
   tokens, with length and positional filters in the join; the smaller set of a
@@ -20,14 +21,17 @@ have no lines and stay as they are; lines without words are never removed;
 rows of one doc_id are one position in the order, so equal lines at the same
 place of them do not remove each other; a null doc_id comes first; extra
 columns are kept by ``remove_duplicate_lines`` and not read otherwise.  Tokens
-are 64-bit hashes, classes 128-bit hashes.
+are 48-bit hashes beside their rarity, classes 128-bit hashes.
 """
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventstar.functions.jsonpaths import with_column_once
 from eventstar.llm.common import materialize, small_side, table
 from eventstar.llm.decontam import words
 
@@ -37,16 +41,47 @@ BUCKETS = 1 << 16
 UP, DOWN = 4, 5
 
 
-def line_tokens(line: Column) -> Column:
-    """Distinct five-word shingle hashes; empty without words."""
-    w = F.transform(words(line), lambda x: F.xxhash64(x))
-    n = F.size(w)
+#: Anything but digits, letters and characters beyond ASCII parts words.
+_PARTS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def line_words(line: Column) -> Column:
+    """Hashes of a line's lower-case words."""
+    return F.transform(F.array_remove(F.split(F.lower(line), _PARTS), ""), lambda x: F.xxhash64(x))
+
+
+def with_tokens(lines: DataFrame, ranks: Column) -> DataFrame:
+    """``lines`` without ``line``, with ``tokens``: the distinct five-word
+    shingles, empty without words.
+
+    A token is a number whose upper bits are its rarity: a shingle is at most
+    as frequent as its first and its last word, whose ``ranks`` (by bucket)
+    bound it.  The lower 48 bits are its hash.
+
+    Each step is a column of its own, used by name in the next: written as one
+    expression, Spark would evaluate the inner steps once per use.
+    """
     part = lambda c, at, size: F.slice(c, at, F.greatest(F.lit(0), size))        # noqa: E731
-    two = F.zip_with(part(w, 1, n - 1), part(w, 2, n - 1), lambda a, b: F.xxhash64(a, b))
-    four = F.zip_with(part(two, 1, n - 3), part(two, 3, n - 3), lambda a, b: F.xxhash64(a, b))
-    five = F.zip_with(part(four, 1, n - 4), part(w, 5, n - 4), lambda a, b: F.xxhash64(a, b))
-    return (F.when(n >= SHINGLE, F.array_distinct(five)).when(n > 0, F.array(F.xxhash64(w)))
-            .otherwise(F.array().cast("array<bigint>")))
+    pair = lambda a, b: F.xxhash64(a, b)                                         # noqa: E731
+    seen = lambda x: F.get(ranks, F.pmod(x, F.lit(BUCKETS)).cast("int"))         # noqa: E731
+    rank = lambda a, b: F.least(seen(a), seen(b)).cast("bigint")                 # noqa: E731
+    code = lambda r, h: F.shiftleft(r, 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1)))
+    keep = [c for c in lines.columns if c != "line"]
+    n = F.size("w")
+    one = lines.select(*keep, line_words(F.col("line")).alias("w"))
+    two = one.select(*keep, "w",
+                     F.zip_with(part("w", 1, n - 1), part("w", 2, n - 1), pair).alias("two"))
+    four = two.select(*keep, "w", F.zip_with(part("two", 1, n - 3), part("two", 3, n - 3), pair)
+                      .alias("four"))
+    five = four.select(
+        *keep, "w",
+        F.zip_with(part("w", 1, n - 4), part("w", 5, n - 4), rank).alias("rank"),
+        F.zip_with(part("four", 1, n - 4), part("w", 5, n - 4), pair).alias("five"))
+    coded = five.select(*keep, "w", F.array_distinct(F.zip_with("rank", "five", code)).alias("coded"))
+    tokens = (F.when(n >= SHINGLE, F.col("coded")).when(n > 0, F.array(code(F.lit(0).cast("bigint"),
+                                                                            F.xxhash64("w"))))
+              .otherwise(F.array().cast("array<bigint>")))
+    return with_column_once(coded, "tokens", tokens).select(*keep, "tokens")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -56,39 +91,35 @@ def lines_of(docs: DataFrame) -> DataFrame:
                        F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _class_keys(tokens: Column) -> list[Column]:
-    ordered = F.sort_array(tokens)
-    return [F.xxhash64(ordered).alias("c1"), F.xxhash64(F.lit(1), ordered).alias("c2")]
+def _class_keys() -> list[Column]:
+    """128 bits of the sorted ``tokens``."""
+    return [F.xxhash64("tokens").alias("c1"), F.xxhash64(F.lit(1), "tokens").alias("c2")]
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Counts of all tokens by hash bucket, as one array of BUCKETS numbers."""
-    counts = (lines_of(docs).select(F.explode(line_tokens(F.col("line"))).alias("t"))
-              .groupBy(F.pmod("t", F.lit(BUCKETS)).cast("int").alias("bucket"))
+    """Logarithmic counts of all words by hash bucket: a constant array of
+    BUCKETS numbers, whatever the size of the corpus."""
+    counts = (docs.select(F.explode(F.split(F.lower("text"), _PARTS)).alias("word"))
+              .groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
               .agg(F.count(F.lit(1)).alias("n")))
-    counts = materialize(counts, "rarity")                       # BUCKETS rows at most
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    row = F.struct("bucket", F.coalesce("n", F.lit(0)).alias("n"))
-    return (every.join(F.broadcast(counts), "bucket", "left")
-            .agg(F.transform(F.sort_array(F.collect_list(row)), lambda x: x["n"])).scalar())
+    ranks = [0] * BUCKETS
+    for bucket, n in counts.collect():                           # BUCKETS rows at most
+        ranks[bucket] = min(32767, int(log2(n + 1) * 512))
+    # folded to one literal when the plan is optimized
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
-def prefixes(docs: DataFrame) -> DataFrame:
+def prefixes(docs: DataFrame, ranks: Column) -> DataFrame:
     """doc_id, text_key, line_no, c1, c2, size, prefix of every line with
-    words.  A prefix entry is the token's rarity above its hash bits."""
-    counted = rarity(docs)
-    lines = (lines_of(docs).select("doc_id", "text_key", "line_no",
-                                   line_tokens(F.col("line")).alias("tokens"))
-             .filter(F.size("tokens") > 0).withColumn("counts", counted))
-    code = F.transform("tokens", lambda t: F.shiftleft(
-        F.least(F.lit(32767), F.log2(F.get("counts", F.pmod(t, F.lit(BUCKETS)).cast("int")) + 1) * 1024)
-        .cast("bigint"), 48).bitwiseOR(t.bitwiseAND(F.lit((1 << 48) - 1))))
+    words.  The prefix holds the rarest tokens."""
+    lines = with_tokens(lines_of(docs), ranks).filter(F.size("tokens") > 0)
     n = F.size("tokens")
     # a similar set shares ceil(0.8 n) tokens at least, so one of the first n - that + 1
     length = n - F.ceil(n * UP / DOWN).cast("int") + 1
-    return materialize(lines.select("doc_id", "text_key", "line_no", *_class_keys(F.col("tokens")),
-                                    n.alias("size"), F.slice(F.sort_array(code), 1, length)
-                                    .alias("prefix")), "line-prefixes")
+    ordered = lines.select("doc_id", "text_key", "line_no", F.sort_array("tokens").alias("tokens"))
+    return materialize(ordered.select(
+        "doc_id", "text_key", "line_no", *_class_keys(), n.alias("size"),
+        F.slice("tokens", 1, length).alias("prefix")), "line-prefixes")
 
 
 def candidate_pairs(lines: DataFrame) -> DataFrame:
@@ -113,7 +144,7 @@ def candidate_pairs(lines: DataFrame) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def similar_classes(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def similar_classes(docs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
     """a, b: verified pairs of classes."""
     pairs = materialize(candidate_pairs(lines), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
@@ -122,13 +153,12 @@ def similar_classes(docs: DataFrame, lines: DataFrame) -> DataFrame:
               .select("at.*"))
     places = small_side(materialize(places, "line-places"))
     named = places.withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
-    tokens = F.col("tokens")
     sets = (lines_of(docs)
             .join(named, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
                   & (F.col("line_no") == F.col("p_no")), "left_semi")
-            .select(line_tokens(F.col("line")).alias("tokens"))
-            .select(*_class_keys(tokens), "tokens").dropDuplicates(["c1", "c2"]))
-    sets = materialize(sets, "line-sets")
+            .select("line"))
+    sets = materialize(with_tokens(sets, ranks).select(F.sort_array("tokens").alias("tokens"))
+                       .select(*_class_keys(), "tokens").dropDuplicates(["c1", "c2"]), "line-sets")
     a = sets.select(F.col("c1").alias("a"), F.col("c2").alias("a2"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("c1").alias("b"), F.col("c2").alias("b2"), F.col("tokens").alias("b_tokens"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -140,11 +170,12 @@ def similar_classes(docs: DataFrame, lines: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, removed: the numbers of the lines to remove, for
     every document that has some."""
-    lines = prefixes(docs)
+    ranks = rarity(docs)
+    lines = prefixes(docs, ranks)
     at = F.struct("doc_id", "line_no")
     own = lines.groupBy("c1", "c2").agg(F.min(at).alias("own"), F.count(F.lit(1)).alias("n"))
     own = materialize(own, "line-classes")
-    pairs = materialize(similar_classes(docs, lines), "line-links")
+    pairs = materialize(similar_classes(docs, lines, ranks), "line-links")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("b2").alias("a2"),
                                           F.col("a").alias("b"), F.col("a2").alias("b2")))
     # the first line of any similar class
@@ -192,7 +223,7 @@ OP1_SQL = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS no, unnest(ls) AS line FROM d),
 w AS (SELECT doc_id, no, line, regexp_extract_all(
-        translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        lower(line),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM l),
 t AS (SELECT doc_id, no, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
         ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS t

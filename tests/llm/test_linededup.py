@@ -8,8 +8,7 @@ from tests.llm.helpers import awkward, docs_frame, prose
 
 
 def tokens(line):
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
-    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line.lower())
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
@@ -78,9 +77,9 @@ def test_awkward_rows(spark):
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 40])
 def test_token_sets(spark, n):
     line = prose(7, n, 99)
-    row = spark.createDataFrame([(line,)], "line string").select(L.line_tokens(
-        __import__("pyspark.sql.functions").sql.functions.col("line")).alias("t")).first()
-    assert len(row.t) == len(set(row.t)) == len(tokens(line))
+    frame = spark.createDataFrame([(line,)], "line string")
+    row = L.with_tokens(frame, L.rarity(frame.selectExpr("line AS text"))).first()
+    assert len(row.tokens) == len(set(row.tokens)) == len(tokens(line))
 
 
 def test_no_python_in_the_plan(spark, capsys):
