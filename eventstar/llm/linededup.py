@@ -7,10 +7,9 @@ removed does not matter, so the result does not depend on the order of work.
 
 * Equal sets form a class first, by partial aggregation: a line that a third
   of the corpus repeats is one row per task in the shuffle.
-* Tokens are ordered by rarity: a shingle is at most as frequent as its words,
-  whose counts over the whole corpus are kept in a fixed number of hash
-  buckets (a table of constant size); ties by hash.  Any fixed order is exact;
-  rarity only keeps the lists short.
+* Tokens are ordered by rarity: counts of all shingles of the corpus in a
+  fixed number of hash buckets (a table of constant size), ties by hash.  Any
+  fixed order is exact; rarity only keeps the lists short.
 * Of each class the prefix that a similar set must meet is joined on its
   tokens, with length and positional filters in the join; the smaller set of a
   pair needs only its shorter index prefix.
@@ -50,38 +49,39 @@ def line_words(line: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(line), _PARTS), ""), lambda x: F.xxhash64(x))
 
 
-def with_tokens(lines: DataFrame, ranks: Column) -> DataFrame:
-    """``lines`` without ``line``, with ``tokens``: the distinct five-word
-    shingles, empty without words.
-
-    A token is a number whose upper bits are its rarity: a shingle is at most
-    as frequent as its first and its last word, whose ``ranks`` (by bucket)
-    bound it.  The lower 48 bits are its hash.
+def with_shingles(lines: DataFrame) -> DataFrame:
+    """``lines`` without ``line``, with ``shingles``: a hash of each five words
+    in a row (of all words, if fewer), repeats included; empty without words.
 
     Each step is a column of its own, used by name in the next: written as one
     expression, Spark would evaluate the inner steps once per use.
     """
     part = lambda c, at, size: F.slice(c, at, F.greatest(F.lit(0), size))        # noqa: E731
-    pair = lambda a, b: F.xxhash64(a, b)                                         # noqa: E731
-    seen = lambda x: F.get(ranks, F.pmod(x, F.lit(BUCKETS)).cast("int"))         # noqa: E731
-    rank = lambda a, b: F.least(seen(a), seen(b)).cast("bigint")                 # noqa: E731
-    code = lambda r, h: F.shiftleft(r, 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1)))
+    # word k of a shingle is shifted by 0, 5, 11, 16 and 17 bits: order counts
+    pair = lambda by: lambda x, y: x.bitwiseXOR(F.shiftleft(y, by))              # noqa: E731
     keep = [c for c in lines.columns if c != "line"]
     n = F.size("w")
     one = lines.select(*keep, line_words(F.col("line")).alias("w"))
-    two = one.select(*keep, "w",
-                     F.zip_with(part("w", 1, n - 1), part("w", 2, n - 1), pair).alias("two"))
-    four = two.select(*keep, "w", F.zip_with(part("two", 1, n - 3), part("two", 3, n - 3), pair)
+    two = one.select(*keep, "w", F.zip_with(part("w", 1, n - 1), part("w", 2, n - 1), pair(5)).alias("two"))
+    four = two.select(*keep, "w", F.zip_with(part("two", 1, n - 3), part("two", 3, n - 3), pair(11))
                       .alias("four"))
-    five = four.select(
-        *keep, "w",
-        F.zip_with(part("w", 1, n - 4), part("w", 5, n - 4), rank).alias("rank"),
-        F.zip_with(part("four", 1, n - 4), part("w", 5, n - 4), pair).alias("five"))
-    coded = five.select(*keep, "w", F.array_distinct(F.zip_with("rank", "five", code)).alias("coded"))
-    tokens = (F.when(n >= SHINGLE, F.col("coded")).when(n > 0, F.array(code(F.lit(0).cast("bigint"),
-                                                                            F.xxhash64("w"))))
-              .otherwise(F.array().cast("array<bigint>")))
-    return with_column_once(coded, "tokens", tokens).select(*keep, "tokens")
+    five = four.select(*keep, "w", F.zip_with(part("four", 1, n - 4), part("w", 5, n - 4), pair(17))
+                       .alias("five"))
+    return five.select(*keep, F.when(n >= SHINGLE, F.col("five")).when(n > 0, F.array(F.xxhash64("w")))
+                       .otherwise(F.array().cast("array<bigint>")).alias("shingles"))
+
+
+def _bucket(shingle: Column) -> Column:
+    return F.shiftrightunsigned(shingle, 48).cast("int")
+
+
+def with_tokens(lines: DataFrame, ranks: Column) -> DataFrame:
+    """``lines`` without ``line``, with ``tokens``: its distinct shingles,
+    rarity in the upper bits above 48 bits of the hash."""
+    keep = [c for c in lines.columns if c != "line"]
+    code = F.transform("shingles", lambda t: F.shiftleft(F.get(ranks, _bucket(t)).cast("bigint"), 48)
+                       .bitwiseOR(t.bitwiseAND(F.lit((1 << 48) - 1))))
+    return with_column_once(with_shingles(lines), "tokens", F.array_distinct(code)).select(*keep, "tokens")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -97,11 +97,10 @@ def _class_keys() -> list[Column]:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Logarithmic counts of all words by hash bucket: a constant array of
+    """Logarithmic counts of all shingles by hash bucket: a constant array of
     BUCKETS numbers, whatever the size of the corpus."""
-    counts = (docs.select(F.explode(F.split(F.lower("text"), _PARTS)).alias("word"))
-              .groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("n")))
+    counts = (with_shingles(lines_of(docs).select("line")).select(F.explode("shingles").alias("t"))
+              .groupBy(_bucket(F.col("t")).alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
     ranks = [0] * BUCKETS
     for bucket, n in counts.collect():                           # BUCKETS rows at most
         ranks[bucket] = min(32767, int(log2(n + 1) * 512))

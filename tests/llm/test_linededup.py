@@ -78,7 +78,7 @@ def test_awkward_rows(spark):
 def test_token_sets(spark, n):
     line = prose(7, n, 99)
     frame = spark.createDataFrame([(line,)], "line string")
-    row = L.with_tokens(frame, L.rarity(frame.selectExpr("line AS text"))).first()
+    row = L.with_tokens(frame, L.rarity(frame.selectExpr("1 AS doc_id", "line AS text"))).first()
     assert len(row.tokens) == len(set(row.tokens)) == len(tokens(line))
 
 
