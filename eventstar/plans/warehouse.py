@@ -130,14 +130,14 @@ def location_violations(src: DataFrame) -> DataFrame:
     )
 
 
-def key_collisions(inc: StarIncrement, dim_location: DataFrame,
+def key_collisions(new_location: DataFrame, new_event_type: DataFrame, dim_location: DataFrame,
                    dim_event_type: DataFrame) -> DataFrame:
     """Hash keys of new dimension rows that another row has as well (a new one
     or one of the dimension): different natural keys, so joining on them would
     double facts."""
     parts = []
-    for new, old, key in ((inc.dim_location, dim_location, "location_key"),
-                          (inc.dim_event_type, dim_event_type, "event_type_key")):
+    for new, old, key in ((new_location, dim_location, "location_key"),
+                          (new_event_type, dim_event_type, "event_type_key")):
         keys = new.select(F.col(key).alias("key"))
         parts.append(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                      .select("key"))

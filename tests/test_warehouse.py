@@ -161,14 +161,13 @@ def test_classification_boundaries_by_literal(spark):
 
 
 def test_key_collisions_are_found(spark):
-    from eventstar.plans.warehouse import StarIncrement, key_collisions
+    from eventstar.plans.warehouse import key_collisions
     old_l = spark.createDataFrame([(1,), (2,)], "location_key bigint")
     old_t = spark.createDataFrame([(9,)], "event_type_key bigint")
 
     def found(locations, types):
-        inc = StarIncrement(None, spark.createDataFrame([(x,) for x in locations], "location_key bigint"),
-                            spark.createDataFrame([(x,) for x in types], "event_type_key bigint"),
-                            None, None)
-        return sorted(r.key for r in key_collisions(inc, old_l, old_t).collect())
+        new_l = spark.createDataFrame([(x,) for x in locations], "location_key bigint")
+        new_t = spark.createDataFrame([(x,) for x in types], "event_type_key bigint")
+        return sorted(r.key for r in key_collisions(new_l, new_t, old_l, old_t).collect())
     assert found([3, 4], [5]) == []
     assert found([2, 3, 3], [9]) == [2, 3, 9]
