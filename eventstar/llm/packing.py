@@ -244,12 +244,18 @@ def complete(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[i
     bound = lower_bound(counts, capacity)
     volume = int((counts * np.arange(len(counts))).sum())
     allowed = lambda n: n * capacity - volume        # noqa: E731  waste that n sequences leave
-    # depth first over an explicit stack: (counts, patterns, sequences, waste)
-    stack = [(counts, (), 0, 0)]
+    # depth first over an explicit stack; the entries of one step share the
+    # counts before it: (counts, pattern, repeats, chosen, sequences, waste)
+    stack = [(counts, (), 0, (), 0, 0)]
     nodes = 0
     while stack and least > bound and nodes < MAX_NODES:
-        left, chosen, used, waste = stack.pop()
+        before, pattern, times, chosen, used, waste = stack.pop()
         nodes += 1
+        if waste > allowed(least - 1):
+            continue
+        left = before.copy()
+        for length in pattern:
+            left[length] -= times
         lengths = np.flatnonzero(left)
         if not lengths.size:
             if used < least:
@@ -258,8 +264,6 @@ def complete(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[i
                     node, pattern, times = node
                     best.append((pattern, times))
             continue
-        if waste > allowed(least - 1):
-            continue
         top = int(lengths[-1])
         rest = left.copy()
         rest[top] -= 1
@@ -267,11 +271,9 @@ def complete(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[i
             pattern = (top, *filling)
             values, per = np.unique(pattern, return_counts=True)
             times = int((left[values] // per).min())
-            after = left.copy()
-            after[values] -= times * per
             lost = waste + times * (capacity - sum(pattern))
             if lost <= allowed(least - 1):
-                stack.append((after, (chosen, pattern, times), used + times, lost))
+                stack.append((left, pattern, times, (chosen, pattern, times), used + times, lost))
     return best
 
 
