@@ -99,7 +99,10 @@ def _class_keys() -> list[Column]:
 def rarity(docs: DataFrame) -> Column:
     """Logarithmic counts of all shingles by hash bucket: a constant array of
     BUCKETS numbers, whatever the size of the corpus."""
-    counts = (with_shingles(lines_of(docs).select("line")).select(F.explode("shingles").alias("t"))
+    # outer: a plain explode adds a filter on its input, which would be pushed
+    # below the steps of the shingles and evaluate them once more each
+    counts = (with_shingles(lines_of(docs).select("line"))
+              .select(F.explode_outer("shingles").alias("t")).filter("t IS NOT NULL")
               .groupBy(_bucket(F.col("t")).alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
     ranks = [0] * BUCKETS
     for bucket, n in counts.collect():                           # BUCKETS rows at most
