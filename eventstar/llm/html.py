@@ -62,8 +62,13 @@ IMPLIED = {
 }
 MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s>/]*+)((?>[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>")
-_ATTR = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
+# A quote opens a string only right behind "=", elsewhere it is an ordinary character.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^ \t\n\r\f>/]*+)("
+                  r"(?>[ \t\n\r\f/]++|[^ \t\n\r\f>/][^ \t\n\r\f>/=]*+"
+                  r"(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"[^\"]*+\"|'[^']*+'|[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+|(?=>))"
+                  r"|(?![ \t\n\r\f]*+=)))*+)>")
+_ATTR = re.compile(r"([^ \t\n\r\f>/][^ \t\n\r\f>/=]*+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+"
+                   r"(?:\"([^\"]*+)\"|'([^']*+)'|([^ \t\n\r\f>\"'][^ \t\n\r\f>]*+))?+)?+")
 _BLANKS = str.maketrans("\t\n\r\f", "    ")
 _HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 

@@ -30,6 +30,18 @@ def test_render(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ('<a href="x"">text</a> more', "text more"), ("<a title=it's>text</a> more", "text more"),
+    ("<a title=it's>one</a> two <a title=it's>three</a>", "one two three"),
+    ("<p class='a'' hidden>x</p>y", "y"), ('<p title=a"b hidden>x</p>y', "y"),
+    ('a<br">b', 'ab'), ('<i>a</i">b', "ab"), ('<a "b>c', "c"), ('<a =">c', "c"), ("<a x=>c", "c"),
+    ("<a x = 'a>b' y=\"'>\">c", "c"), ('<a x="a"y=\'>\'>c', "c"), ("<a x=a/b'>c</a>d", "cd"),
+    ('a<a href="x>lost', "a"), ("a<a b='c' d=\"", "a"), ("a<a b=", "a"),
+])
+def test_stray_quotes_in_tags(html, text):
+    assert render(html) == text
+
+
 def test_deep_and_long_pages_are_linear():
     assert render("<div>" * 20000 + "x") == "x"
     assert render("<b" * 50000) == ""
