@@ -1,16 +1,20 @@
 """Benchmark decontamination with a positional inverted index.
 
 Terms are the words of the benchmark items.  Their frequencies in the whole
-corpus rank them; each window of an item is anchored at its two rarest terms,
-and only postings (term, document, position) of anchor terms are stored.
+corpus rank them; each window of an item is anchored at its rarest terms that
+occur, and only postings (term, document, position) of anchor terms are stored.
 Postings of an item's anchors, each offset by the term's place in the item,
 meet where the item is aligned with a document: alignments where the lists of
 two anchors intersect are candidates, which are then compared word by word.
 
 Phrase matches are windows of ``window`` consecutive item words (an item with
-fewer is one window).  Proximity matches are two anchors of an item that
-follow each other in a document and whose distance differs from that in the
-item by at most ``slop`` words.
+fewer is one window).  Proximity matches are items with a window of which all
+but ``missing(length)`` words, or of which two words out of the item's anchors
+(the two rarest occurring terms of each of its windows), stand at different
+document positions whose offsets from their places in the item differ by at
+most ``slop``; a single-word item is matched where it occurs.  A window with
+all but m words has two of its m + 2 rarest words, which find the candidates;
+these are then compared on all words.
 
 Only DataFrame operations are used.  Small sides (terms, anchors, candidates,
 items) are broadcast up to a counted size and shuffled beyond it.
@@ -68,17 +72,26 @@ def item_words(benchmark: DataFrame) -> DataFrame:
             .withColumn("n", F.size("item_words")))
 
 
-def anchors(items: DataFrame, frequency: DataFrame, window: int) -> DataFrame:
-    """item, part, place, term: the two rarest terms of each window."""
+def missing(length: Column) -> Column:
+    """Words of a window that a proximity match may lack (2 of 13)."""
+    return F.floor((length + 2) / 6)
+
+
+def anchors(items: DataFrame, frequency: DataFrame, window: int, near: bool = True) -> DataFrame:
+    """item, part, place, term, rare: the two rarest occurring terms of each
+    window (rare), and with ``near`` those that find proximity matches."""
     placed = items.select("item", "part", "n", F.posexplode("item_words").alias("place", "term"))
     ranked = placed.join(frequency, "term").select(
-        "item", "part", "place", "term", "freq",
+        "item", "part", "place", "term", "freq", F.least("n", F.lit(window)).alias("length"),
         F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - (window - 1)),
                              F.greatest(F.lit(0), F.least(F.col("place"), F.col("n") - window))))
         .alias("start"))
     order = Window.partitionBy("item", "part", "start").orderBy("freq", "place")
-    return (ranked.withColumn("rank", F.row_number().over(order)).filter("rank <= 2")
-            .select("item", "part", "place", "term").distinct())
+    absent = F.count_if(F.col("freq") == 0).over(Window.partitionBy("item", "part", "start"))
+    rank = F.row_number().over(order)
+    kept = ranked.withColumns({"rare": rank - absent <= 2, "found": rank <= missing(F.col("length")) + 2})
+    return (kept.filter((F.col("freq") > 0) & (F.col("rare") | (F.col("found") & F.lit(near))))
+            .groupBy("item", "part", "place", "term").agg(F.bool_or("rare").alias("rare")))
 
 
 def store_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -98,10 +111,11 @@ def frequencies(docs: DataFrame, items: DataFrame) -> DataFrame:
                        .select("term", F.coalesce("freq", F.lit(0)).alias("freq")), "term-freq")
 
 
-def aligned_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item, part, doc_id, text_key, place, pos: anchors met in documents."""
+def aligned_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                 near: bool = True) -> DataFrame:
+    """item, part, doc_id, text_key, place, pos, rare: anchors met in documents."""
     items = item_words(benchmark)
-    anchor = materialize(anchors(items, frequencies(docs, items), window), "anchors")
+    anchor = materialize(anchors(items, frequencies(docs, items), window, near), "anchors")
     postings = store_postings(docs, anchor.select("term").distinct())
     return materialize(postings.join(small_side(anchor), "term"), "hits")
 
@@ -112,7 +126,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     window, as the document positions it covers."""
     hits = aligned_hits(docs, benchmark, window) if hits is None else hits
     items = item_words(benchmark)
-    lists = (hits.groupBy("doc_id", "text_key", "item", "part",
+    lists = (hits.filter("rare").groupBy("doc_id", "text_key", "item", "part",
                           (F.col("pos") - F.col("place")).alias("shift"))
              .agg(F.count(F.lit(1)).alias("met")))
     candidates = materialize(
@@ -133,23 +147,64 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     (F.col("shift") + F.col("start")).alias("first"), "length"))
 
 
-def proximity_matches(hits: DataFrame, slop: int = SLOP) -> DataFrame:
-    """doc_id, text_key, item: items of which two anchors follow each other in
-    the document at about their distance in the item."""
-    order = Window.partitionBy("doc_id", "text_key", "item", "part").orderBy("pos", "place")
-    step = F.col("pos") - F.lag("pos").over(order) - (F.col("place") - F.lag("place").over(order))
-    return (hits.withColumn("step", step)
-            .withColumn("ahead", F.col("place") - F.lag("place").over(order))
-            .filter((F.col("ahead") > 0) & (F.abs("step") <= slop))
-            .select("doc_id", "text_key", "item").distinct())
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, hits: DataFrame,
+                      window: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """doc_id, text_key, item: items near a document."""
+    key = ["doc_id", "text_key", "item", "part"]
+    items = item_words(benchmark)
+    hits = hits.withColumn("shift", F.col("pos") - F.col("place"))
+    apart = (F.min("place") < F.max("place")) & (F.min("pos") < F.max("pos"))
+    # two anchors: all ranges of shifts that hold a hit
+    low = F.explode(F.sequence(F.col("shift") - slop, F.col("shift")))
+    pairs = (hits.filter("rare").select(*key, "place", "pos", low.alias("low"))
+             .groupBy(*key, "low").agg(apart.alias("apart")).filter("apart"))
+    single = hits.join(small_side(items.filter("n = 1").select("item", "part")),
+                       ["item", "part"], "left_semi")
+    # most words: two hits in neighbouring buckets of shifts make a candidate
+    bucket = F.floor(F.col("shift") / (slop + 1)).cast("int")
+    candidates = materialize(
+        hits.select(*key, "place", "pos", F.explode(F.array(bucket, bucket - 1)).alias("bucket"))
+        .groupBy(*key, "bucket").agg(apart.alias("apart")).filter("apart")
+        .select(*key, (F.col("bucket") * (slop + 1)).alias("low")), "near-candidates")
+    first = F.greatest(F.col("low"), F.lit(0))
+    end = F.col("low") + 2 * slop + 1 + F.col("n")
+    compared = (
+        _join_docs(_keyed(docs), small_side(
+            candidates.join(small_side(items.select("item", "part", "n")), ["item", "part"])), "inner")
+        .select(*key, "low", "n", first.alias("first"),
+                F.posexplode(F.slice(words(F.col("text")), first + 1, F.greatest(end - first, F.lit(0))))
+                .alias("at", "term"))
+        .join(small_side(items.select("item", "part", F.posexplode("item_words").alias("place", "term"))),
+              ["item", "part", "term"])
+        .withColumn("pos", F.col("first") + F.col("at"))
+        .filter((F.col("pos") - F.col("place")).between(F.col("low"), F.col("low") + 2 * slop + 1))
+        .groupBy(*key, "low", "n").agg(F.collect_set(F.struct("place", "pos")).alias("met")))
+    length = F.least(F.col("n"), F.lit(window))
+    need = length - missing(length)
+
+    def enough(met: Column) -> Column:
+        return ((F.size(F.array_distinct(met["place"])) >= need)
+                & (F.size(F.array_distinct(met["pos"])) >= need))
+
+    def in_window(met: Column) -> Column:
+        return F.exists(F.sequence(F.lit(0), F.col("n") - length), lambda s: enough(
+            F.filter(met, lambda h: (h["place"] >= s) & (h["place"] < s + length))))
+
+    def in_range(low: Column) -> Column:
+        return F.filter("met", lambda h: (h["pos"] - h["place"]).between(low, low + slop))
+
+    most = compared.filter(enough(F.col("met"))).filter(
+        F.exists(F.sequence(F.col("low"), F.col("low") + slop), lambda x: in_window(in_range(x))))
+    found = [df.select("doc_id", "text_key", "item") for df in (pairs, single, most)]
+    return found[0].unionAll(found[1]).unionAll(found[2]).distinct()
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                           slop: int = SLOP, percent: int = 5) -> DataFrame:
+                           slop: int | None = SLOP, percent: int = 5) -> DataFrame:
     """Per document: n_words, n_hit (words inside occurring windows), n_items,
     items_sha256, contaminated (hit words are at least ``percent`` per cent),
-    and n_near_items (proximity matches)."""
-    hits = aligned_hits(docs, benchmark, window)
+    and unless ``slop`` is None n_near_items (proximity matches)."""
+    hits = aligned_hits(docs, benchmark, window, slop is not None)
     found = materialize(phrase_matches(docs, benchmark, window, hits), "phrases")
     # hit words of a document: what each occurrence adds to those before it
     order = Window.partitionBy("doc_id", "text_key").orderBy("first", "end")
@@ -161,27 +216,29 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int =
              .groupBy("doc_id", "text_key").agg(F.sum("new").alias("n_hit")))
     items = (found.groupBy("doc_id", "text_key")
              .agg(F.sort_array(F.collect_set("item")).alias("items")))
-    near = (proximity_matches(hits, slop).groupBy("doc_id", "text_key")
-            .agg(F.count(F.lit(1)).alias("n_near_items")))
-    per_doc = near
-    for side in (spans, items):
-        per_doc = _join_docs(per_doc, side, "full")
+    per_doc = _join_docs(spans, items, "full")
+    if slop is not None:
+        near = (proximity_matches(docs, benchmark, hits, window, slop).groupBy("doc_id", "text_key")
+                .agg(F.count(F.lit(1)).alias("n_near_items")))
+        per_doc = _join_docs(per_doc, near, "full")
     counted = _keyed(docs).select("doc_id", "text_key",
                                   F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     listed = F.coalesce("items", F.array().cast("array<string>"))
+    near = [] if slop is None else [
+        F.coalesce("n_near_items", F.lit(0)).cast("bigint").alias("n_near_items")]
     return (_join_docs(counted, per_doc, "left")
             .select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"),
                     F.size(listed).cast("bigint").alias("n_items"),
                     F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
                     ((n_hit > 0) & (n_hit * 100 >= F.col("n_words") * percent)).alias("contaminated"),
-                    F.coalesce("n_near_items", F.lit(0)).cast("bigint").alias("n_near_items")))
+                    *near))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         percent: int = 5) -> DataFrame:
     """The rows of documents that are not contaminated, all columns."""
-    bad = materialize(decontamination_report(docs, benchmark, window, percent=percent)
+    bad = materialize(decontamination_report(docs, benchmark, window, None, percent)
                       .filter("contaminated").select("doc_id", "text_key").distinct(), "contaminated")
     bad = small_side(bad).withColumnsRenamed({"doc_id": "bad_id", "text_key": "bad_key"})
     return docs.join(bad, docs["doc_id"].cast("bigint").eqNullSafe(bad["bad_id"])

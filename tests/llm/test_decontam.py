@@ -93,6 +93,70 @@ def test_proximity(spark):
     assert got == {0: (1, 0), 1: (0, 0)}
 
 
+def near_brute(texts, items, window=13, slop=5):
+    """Per text the number of items near it, by comparing all words."""
+    docs = [words(t) for t in texts]
+    freq = {}
+    for w in docs:
+        for t in w:
+            freq[t] = freq.get(t, 0) + 1
+    kinds = {}
+    for item, t in items:
+        if item is not None and words(t):
+            kinds.setdefault(item, []).append(words(t))
+    out = []
+    for w in docs:
+        near = set()
+        for item, texts_of in kinds.items():
+            for iw in texts_of:
+                length = min(window, len(iw))
+                need = length - (length + 2) // 6
+                windows = [range(s, s + length) for s in range(len(iw) - length + 1)]
+                rare = {p for ps in windows for p in sorted(
+                    (p for p in ps if iw[p] in freq), key=lambda p: (freq[iw[p]], p))[:2]}
+                met = [(p, q) for q, x in enumerate(w) for p, y in enumerate(iw) if x == y]
+                for low in {q - p for p, q in met}:
+                    box = [(p, q) for p, q in met if low <= q - p <= low + slop]
+                    two = [(p, q) for p, q in box if p in rare]
+                    if len(iw) == 1 or (len({p for p, _ in two}) > 1 and len({q for _, q in two}) > 1) \
+                            or any(len({p for p, _ in box if p in ps}) >= need
+                                   and len({q for p, q in box if p in ps}) >= need for ps in windows):
+                        near.add(item)
+        out.append(len(near))
+    return out
+
+
+def test_proximity_of_edited_copies(spark):
+    """Replaced and repeated words, against brute force."""
+    rng = random.Random(7)
+    common = [f"c{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choice(common) if rng.random() < .8 else f"r{i}x{k}"
+                          for k in range(rng.choice([4, 9, 13, 13, 20]))))
+             for i in range(12)]
+    items += [(20, "solo"), (21, "c1 c1 c2 c1 c1"), (22, items[0][1]), (23, "c1 " * 15),
+              (24, "never seen words at all"), (None, "c1 c2 c3")]
+    texts = [" ".join(rng.choice(common) for _ in range(40)) for _ in range(3)]
+    texts += ["solo", "c1 " * 60, "c1 c1 c1 c2 c1", "", " ".join(f"r{i}x{k}" for i in range(12) for k in range(20))]
+    for i in range(12):
+        w = items[i][1].split()
+        at = [k for k, x in enumerate(w) if x[0] == "r"] + [0, len(w) - 1]
+        for n in (1, 2, 3, 5):
+            copy = list(w)
+            for k in at[:n]:
+                copy[k] = f"new{k}"
+            texts.append(" ".join([*texts[0].split()[:20], *copy[:6], "c1", *copy[6:], "c2"]))
+        texts.append(" ".join(w))
+    docs = docs_frame(spark, texts)
+    bench = spark.createDataFrame([(i, t, "") for i, t in items], ITEMS)
+    got = {r.doc_id: r for r in D.decontamination_report(docs, bench).collect()}
+    assert [got[i].n_near_items for i in range(len(texts))] == near_brute(texts, items)
+    assert all(r.n_near_items >= r.n_items for r in got.values())
+    rare = " ".join(f"q{k}" for k in range(13))
+    docs = docs_frame(spark, [rare.replace("q0 ", "other ").replace("q5", "words"), "q0 x q5", "c1"])
+    bench = spark.createDataFrame([(1, rare, "")], ITEMS)
+    assert {r.doc_id: r.n_near_items for r in D.decontamination_report(docs, bench).collect()}[0] == 1
+
+
 def test_no_python_in_the_plan(spark, capsys):
     docs = docs_frame(spark, [prose(1, 50)])
     D.decontamination_report(docs, spark.createDataFrame([(1, prose(1, 50), "")], ITEMS)).explain()
