@@ -6,8 +6,12 @@ table rows; the renderer, driven by the builder's open and close events, emits
 all visible text with block spacing, list markers and aligned table cells.
 
 Not visible: comments, head, script, style, template, noscript (scripting is
-taken as on), title, and elements with ``hidden``, ``display:none`` or
-``visibility:hidden``, a ``dialog`` without ``open``, with all they contain.
+taken as on), title, iframe, noembed, noframes, datalist, audio, video, canvas,
+and elements with ``hidden``, ``display:none`` or ``visibility:hidden``, a
+``dialog`` without ``open``, with all they contain; in svg all but ``text`` and
+``foreignObject``, and these within the elements of SVG_INVISIBLE; in math
+annotations and ``mphantom``.  Nothing is loaded, so an object shows its
+fallback.
 
 Defined results: null or empty html renders as empty text; plain text renders
 as itself with white space collapsed; a tag that never ends drops the rest, as
@@ -18,7 +22,7 @@ columns other than ``page_id`` and ``html`` are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -31,7 +35,20 @@ from eventstar.llm.common import arrow_map, slices, table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
 INVISIBLE = frozenset("head script style template noscript title iframe noembed noframes "
-                      "datalist object audio video canvas svg math".split())
+                      "datalist audio video canvas".split())
+SVG_INVISIBLE = frozenset("defs desc metadata title style script symbol clippath mask marker "
+                          "pattern".split())
+MATH_INVISIBLE = frozenset("annotation annotation-xml mphantom".split())
+#: Elements of svg and math that hold html again.
+HTML_INSIDE = {"svg": frozenset("foreignobject desc title".split()),
+               "label": frozenset("foreignobject desc title".split()),
+               "math": frozenset("mi mo mn ms mtext".split())}
+#: Start tags that end svg and math.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+    "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Elements of svg and math that are parted from their neighbours by a blank.
+APART = frozenset("text mtd mtr".split())
 HEAD_ONLY = frozenset("base basefont bgsound link meta noframes script style template title "
                       "noscript".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -44,7 +61,8 @@ CLOSE_P = HEADINGS | frozenset(
 SPACED = HEADINGS | frozenset("p ul ol menu dir dl blockquote pre table figure hr fieldset".split())
 BLOCKS = CLOSE_P | SPACED | frozenset("body html caption option optgroup legend textarea".split())
 #: Elements that limit the search for an element to close.
-SCOPE = frozenset("html table td th caption button object template marquee applet".split())
+SCOPE = frozenset("html table td th caption button object template marquee applet "
+                  "foreignobject".split())
 #: Start tag -> open elements it ends, and where the search for them stops.
 IMPLIED = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -73,8 +91,9 @@ _BLANKS = str.maketrans("\t\n\r\f", "    ")
 _HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 
-def scan(html: str) -> Iterator[tuple[str, str, str]]:
-    """("text", text, ""), ("start", name, attributes) and ("end", name, "")."""
+def scan(html: str, foreign: Callable[[], bool] = lambda: False) -> Iterator[tuple[str, str, str]]:
+    """("text", text, ""), ("start", name, attributes) and ("end", name, "");
+    ``foreign`` tells whether the reader is inside svg or math."""
     at, n = 0, len(html)
     while at < n:
         lt = html.find("<", at)
@@ -90,7 +109,10 @@ def scan(html: str) -> Iterator[tuple[str, str, str]]:
             if m[1]:
                 yield "end", name, ""
                 continue
+            markup = (name in RAW_TEXT or name == "plaintext") and foreign()
             yield "start", name, m[3]
+            if markup:
+                continue
             if name in RAW_TEXT:
                 close = re.compile(rf"</{name}(?=[\s>/])", re.I).search(html, at)
                 stop = close.start() if close else n
@@ -103,6 +125,10 @@ def scan(html: str) -> Iterator[tuple[str, str, str]]:
         elif html.startswith("<!--", lt):
             end = html.find("-->", lt + 4)
             at = n if end < 0 else end + 3
+        elif html.startswith("<![CDATA[", lt) and foreign():
+            end = html.find("]]>", lt + 9)
+            yield "text", html[lt + 9:end if end >= 0 else n].replace("&", "&amp;"), ""
+            at = n if end < 0 else end + 3
         elif html.startswith(("<!", "<?", "</"), lt):
             end = html.find(">", lt)
             at = n if end < 0 else end + 1
@@ -120,6 +146,11 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
+def self_closing(text: str) -> bool:
+    """Whether attributes end with a slash that is not part of a value."""
+    return text.endswith("/") and all(m.end() < len(text) for m in _ATTR.finditer(text))
+
+
 class Flow:
     """Lines of text with collapsed white space and pending block breaks."""
 
@@ -326,24 +357,43 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     out = Renderer()
-    stack: list[tuple[str, dict[str, str], bool]] = []     # name, attributes, invisible
+    # name, attributes, invisible, "" for html or the kind of foreign content
+    stack: list[tuple[str, dict[str, str], bool, str]] = []
     hidden = 0
 
+    def kind_now() -> str:
+        return stack[-1][3] if stack else ""
+
+    def kind_of(name: str, outer: str) -> str:
+        if name in ("svg", "math"):
+            return name
+        if outer and name in HTML_INSIDE[outer]:
+            return ""
+        return "label" if outer == "svg" and name == "text" else outer
+
+    def apart(name: str, outer: str) -> None:
+        if outer and name in APART and not hidden:
+            out.text(" ")
+
     def push(name: str, attrs: dict[str, str]) -> None:
         nonlocal hidden
-        unseen = (name in INVISIBLE or "hidden" in attrs or (name == "dialog" and "open" not in attrs)
+        outer = kind_now()
+        apart(name, outer)
+        unseen = (name in INVISIBLE or (name in MATH_INVISIBLE if outer == "math" else
+                                        bool(outer) and name in SVG_INVISIBLE) or "hidden" in attrs or (name == "dialog" and "open" not in attrs)
                   or ("style" in attrs and bool(_HIDDEN_STYLE.search(attrs["style"]))))
         if not hidden and not unseen:
             out.open(name, attrs)
-        stack.append((name, attrs, unseen))
+        stack.append((name, attrs, unseen, kind_of(name, outer)))
         hidden += unseen
 
     def pop() -> None:
         nonlocal hidden
-        name, attrs, unseen = stack.pop()
+        name, attrs, unseen, _ = stack.pop()
         hidden -= unseen
         if not hidden and not unseen:
             out.close(name, attrs)
+        apart(name, kind_now())
 
     def find(names: tuple[str, ...], stops: frozenset | tuple) -> int:
         for i in range(len(stack) - 1, -1, -1):
@@ -357,15 +407,21 @@ def render(html: str | None) -> str:
         while len(stack) > i:
             pop()
 
-    for kind, name, rest in scan(html):
+    def leave_foreign() -> None:
+        while kind_now():
+            pop()
+
+    for kind, name, rest in scan(html, lambda: bool(kind_now())):
         top = stack[-1][0] if stack else ""
         if kind == "text":
             if top == "head" and name.strip(" \t\n\r\f"):
                 pop()
-            if not hidden:
+            if not hidden and kind_now() != "svg":
                 out.text(name)
             continue
         if kind == "start":
+            if name in BREAKOUT:
+                leave_foreign()
             if top == "head" and name not in HEAD_ONLY:
                 pop()
             if name in ("html", "body") and any(e[0] == name for e in stack):
@@ -386,10 +442,13 @@ def render(html: str | None) -> str:
                 if not hidden and "hidden" not in attrs:
                     out.open(name, attrs)
                 continue
+            outer = kind_now()
             push(name, attrs)
-            if rest.endswith("/") and name in ("svg", "math"):
+            if (outer or name in ("svg", "math")) and self_closing(rest):
                 pop()
             continue
+        if name in ("br", "p"):
+            leave_foreign()
         if name == "br":
             if not hidden:
                 out.open("br", {})
@@ -401,7 +460,8 @@ def render(html: str | None) -> str:
             stops = ("table",) if name != "table" else ()
             if (i := find((name,), stops)) >= 0:
                 close_to(i)
-        elif name in BLOCKS or name in INVISIBLE or name == "select":
+        elif name in BLOCKS or name in INVISIBLE or kind_now() \
+                or name in ("select", "object", "svg", "math", "foreignobject"):
             if (i := find((name,), SCOPE - {name})) >= 0:
                 close_to(i)
         else:

@@ -42,6 +42,26 @@ def test_stray_quotes_in_tags(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"),
+    ("<math><semantics><mi>y</mi><annotation>tex</annotation></semantics></math>z", "yz"),
+    ("<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr></mtable></math>", "1 2"),
+    ("a<svg><title>t</title><desc>d</desc><defs><text>n</text></defs><style>s{}</style>"
+     "<script>x()</script><g><path d=M0/></path><text>la<tspan>bel</tspan></text><text>two</text></g>"
+     "</svg>b", "a label two b"),
+    ("<svg>raw<text/>raw<title/><text>c</text></svg>d", "c d"),
+    ("<svg><text><![CDATA[a > &amp; b]]></text></svg>", "a > &amp; b"),
+    ("<svg><foreignObject><p>html</p></foreignObject></svg>z", "html\n\nz"),
+    ("<svg><path d='M0'><p>after", "after"), ("<a><svg><path></a>after", "after"),
+    ("<div><svg><path></div>after", "after"), ("<svg style='display:none'><text>a</text></svg>b", "b"),
+    ("<svg/>a<math/>b", "ab"),
+    ("<object data=x><param name=p>fall <b>back</b></object> z", "fall back z"),
+    ("<object><p>a</object>b", "a\n\nb"), ("<video>v</video><canvas>c</canvas>a", "a"),
+])
+def test_svg_math_and_object(html, text):
+    assert render(html) == text
+
+
 def test_deep_and_long_pages_are_linear():
     assert render("<div>" * 20000 + "x") == "x"
     assert render("<b" * 50000) == ""
