@@ -22,7 +22,8 @@ items) are broadcast up to a counted size and shuffled beyond it.
 Defined results: null or empty texts have no words and no hits; an item
 without words has no window; repeated rows of a document get the same result;
 rows that share a doc_id but differ in text are judged apart; items that
-repeat an item_id count as one item; extra columns are not read; without items
+repeat an item_id count as one item; items with a null item_id count for n_hit
+and contaminated, but are neither listed nor counted as items; extra columns are not read; without items
 nothing is hit.
 """
 
@@ -64,10 +65,12 @@ def _join_docs(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 
 def item_words(benchmark: DataFrame) -> DataFrame:
-    """item, n, item_words of each distinct item with words."""
-    return (benchmark.select(F.col("item_id").cast("string").alias("item"),
+    """item (``=`` and the item_id, empty if that is null), n, item_words of each
+    distinct item with words."""
+    named = F.concat(F.lit("="), F.col("item_id").cast("string"))
+    return (benchmark.select(F.coalesce(named, F.lit("")).alias("item"),
                              words(F.col("text")).alias("item_words"))
-            .filter((F.size("item_words") > 0) & F.col("item").isNotNull()).distinct()
+            .filter(F.size("item_words") > 0).distinct()
             .withColumn("part", F.xxhash64("item_words"))
             .withColumn("n", F.size("item_words")))
 
@@ -215,10 +218,12 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int =
                  F.col("first"), F.coalesce(before, F.col("first")))))
              .groupBy("doc_id", "text_key").agg(F.sum("new").alias("n_hit")))
     items = (found.groupBy("doc_id", "text_key")
-             .agg(F.sort_array(F.collect_set("item")).alias("items")))
+             .agg(F.sort_array(F.collect_set(F.when(F.col("item") != "", F.expr("substring(item, 2)"))))
+                  .alias("items")))
     per_doc = _join_docs(spans, items, "full")
     if slop is not None:
-        near = (proximity_matches(docs, benchmark, hits, window, slop).groupBy("doc_id", "text_key")
+        near = (proximity_matches(docs, benchmark, hits, window, slop).filter("item != ''")
+                .groupBy("doc_id", "text_key")
                 .agg(F.count(F.lit(1)).alias("n_near_items")))
         per_doc = _join_docs(per_doc, near, "full")
     counted = _keyed(docs).select("doc_id", "text_key",

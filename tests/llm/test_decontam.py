@@ -84,6 +84,15 @@ def test_awkward_rows(spark):
     assert D.decontamination_report(docs_frame(spark, []), bench).count() == 0
 
 
+def test_nameless_items_count_as_hits(spark):
+    docs = docs_frame(spark, ["a nameless item here", "named one", "none"])
+    bench = spark.createDataFrame([(None, "nameless item here", ""), (3, "named one", "")], ITEMS)
+    sha = [hashlib.sha256(x).hexdigest() for x in (b"", b"3")]
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated, r.n_near_items)
+           for r in D.decontamination_report(docs, bench).collect()}
+    assert got == {0: (3, 0, sha[0], True, 0), 1: (2, 1, sha[1], True, 1), 2: (0, 0, sha[0], False, 0)}
+
+
 def test_proximity(spark):
     item = prose(200, 30)
     w = item.split()
