@@ -1,8 +1,10 @@
 """WARC archives with revisit resolution.
 
-Only headers (id, digest, size) are shuffled to find, for each payload digest,
+Headers (id, digest, size) are shuffled to find, for each payload digest,
 the record that stays a ``response``; the others become ``revisit`` records
-that refer to it and carry no payload.  Archives are written by Spark's text
+that refer to it and carry no payload.  The rows then join the narrow list of
+revisits; once that outgrows the automatic broadcast, payloads are shuffled
+too.  Archives are written by Spark's text
 writer, whose record separator is the WARC one (bytes pass unchanged), so any
 store that Spark reaches will do; they are read back as binary files and
 parsed record by record by Content-Length.
