@@ -34,6 +34,22 @@ def small_side(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_RO
     return F.broadcast(df) if n <= limit else df
 
 
+def join_hot(rows: DataFrame, info: DataFrame, key: str, weight: str, total: int,
+             how: str = "inner", share: int = 1000) -> DataFrame:
+    """``rows`` joined to the one row that ``info`` has per key, where a key may
+    hold a large part of ``rows``.
+
+    ``weight`` is the column of ``info`` (kept) with the key's number of rows
+    out of ``total``.  Keys with at least a ``share``-th of them, of which there
+    are ``share`` at most, are joined by broadcast where the rows are; the
+    others are shuffled.
+    """
+    hot = info.filter(F.col(weight) * share >= total)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(
+        cold.join(info.filter(F.col(weight) * share < total), key, how))
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch inside the tasks."""
