@@ -12,6 +12,7 @@ from eventstar.llm.jaccard import OP5_SQL, op5_ngram_jaccard
 from eventstar.llm.linededup import OP1_SQL, op1_line_dedup
 from eventstar.llm.neardup import OP13_SQL, op13_minhash_dedup
 from eventstar.llm.packing import op10_best_fit_packing
+from eventstar.llm.phrases import OP11_SQL, op11_phrase_mining
 from eventstar.llm.quality import OP9_SQL, op9_quality_rules
 from eventstar.llm.tokencount import op4_token_counts
 from eventstar.llm.toxicity import op6_toxicity
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_phrase_mining": op11_phrase_mining,
     "op13_minhash_dedup": op13_minhash_dedup,
 }
 
@@ -39,5 +41,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op11_phrase_mining": OP11_SQL,
     "op13_minhash_dedup": OP13_SQL,
 }
