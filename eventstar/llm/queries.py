@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventstar.llm.convtrie import OP12_SQL, op12_conversation_trie
 from eventstar.llm.decontam import OP7_SQL, op7_decontamination
 from eventstar.llm.html import op2_html_extraction
 from eventstar.llm.jaccard import OP5_SQL, op5_ngram_jaccard
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_minhash_dedup": op13_minhash_dedup,
 }
 
@@ -42,5 +44,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_warc": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
     "op11_phrase_mining": OP11_SQL,
+    "op12_conversation_trie": OP12_SQL,
     "op13_minhash_dedup": OP13_SQL,
 }
