@@ -231,8 +231,8 @@ def merge_stripes(stripes: DataFrame, min_count: int) -> DataFrame:
             rows.column("n").to_numpy()
         word = pc.not_equal(rows.column("next"), "").to_numpy()
         total = np.add.reduceat(n, starts)
-        longest = np.maximum.reduceat(np.where(word, n, 0), starts)
         stays = word & (n >= min_count)
+        longest = np.maximum.reduceat(np.where(stays, n, 0), starts)
         offsets = pa.array(np.r_[0, np.cumsum(np.add.reduceat(stays.astype(np.int64), starts))].astype(np.int32))
         kept = rows.filter(pa.array(stays)).combine_chunks()
         lists = [pa.ListArray.from_arrays(offsets, pa.array(kept.column(c).to_pylist(), t))
