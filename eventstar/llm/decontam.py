@@ -256,17 +256,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-#: The same in DuckDB by comparing all windows of documents with all of items.
+#: The same in DuckDB: all windows of documents compared with all of items, and
+#: all words near each other with those of items.
 OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
-             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
-win AS (SELECT DISTINCT item, least(13, len(w)) AS len,
-               array_to_string(w[s:s + least(13, len(w)) - 1], ' ') AS k
-        FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 11))) AS s FROM b WHERE len(w) > 0)),
+b AS (SELECT row_number() OVER () AS pid, item, w, len(w) AS n, least(13, len(w)) AS len FROM (
+        SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, len, array_to_string(w[s:s + len - 1], ' ') AS k
+        FROM (SELECT item, w, len, unnest(range(1, n - len + 2)) AS s FROM b)),
 lens AS (SELECT DISTINCT len FROM win),
 dw AS (SELECT rid, s, len, array_to_string(w[s:s + len - 1], ' ') AS k
        FROM (SELECT rid, w, len, unnest(range(1, greatest(1, len(w) - len + 2))) AS s
@@ -275,9 +276,40 @@ m AS (SELECT dw.rid, dw.s, dw.len, win.item FROM dw JOIN win ON dw.k = win.k AND
 h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM
         (SELECT rid, unnest(range(s, s + len)) AS p FROM (SELECT DISTINCT rid, s, len FROM m)) GROUP BY rid),
 i AS (SELECT rid, count(DISTINCT item) AS n_items,
-             string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY rid)
+             string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m WHERE item IS NOT NULL GROUP BY rid),
+dp AS (SELECT rid, unnest(w) AS term, unnest(range(len(w))) AS pos FROM d),
+ip AS (SELECT pid, n, len, unnest(w) AS term, unnest(range(n)) AS place FROM b WHERE item IS NOT NULL),
+fr AS (SELECT t.term, count(dp.term) AS freq
+       FROM (SELECT DISTINCT term FROM ip) t LEFT JOIN dp ON dp.term = t.term GROUP BY t.term),
+rk AS (SELECT pid, place, term, len, freq, row_number() OVER (PARTITION BY pid, s ORDER BY freq, place) AS rank,
+              count(*) FILTER (WHERE freq = 0) OVER (PARTITION BY pid, s) AS absent
+       FROM (SELECT ip.*, freq, unnest(range(greatest(0, place - 12),
+                                             greatest(0, least(place, n - 13)) + 1)) AS s
+             FROM ip JOIN fr ON fr.term = ip.term)),
+anchor AS (SELECT pid, place, term, bool_or(rank - absent <= 2) AS rare FROM rk
+           WHERE freq > 0 AND (rank - absent <= 2 OR rank <= (len + 2) // 6 + 2) GROUP BY pid, place, term),
+hits AS (SELECT rid, pid, place, pos, pos - place AS shift, rare
+         FROM dp JOIN anchor ON anchor.term = dp.term),
+two AS (SELECT DISTINCT x.rid, x.pid FROM hits x JOIN hits y
+        ON x.rid = y.rid AND x.pid = y.pid AND x.place < y.place AND x.pos <> y.pos
+        AND abs(x.shift - y.shift) <= 5 WHERE x.rare AND y.rare),
+one AS (SELECT DISTINCT dp.rid, ip.pid FROM dp JOIN ip ON ip.term = dp.term WHERE ip.n = 1),
+cand AS (SELECT rid, pid, low FROM (SELECT rid, pid, place, pos, 6 * CAST(unnest(
+           [floor(shift / 6.0), floor(shift / 6.0) - 1]) AS BIGINT) AS low FROM hits)
+         GROUP BY rid, pid, low HAVING min(place) < max(place) AND min(pos) < max(pos)),
+met AS (SELECT c.rid, c.pid, low, n, len, place, pos FROM cand c JOIN dp ON dp.rid = c.rid
+        JOIN ip ON ip.pid = c.pid AND ip.term = dp.term WHERE pos - place BETWEEN low AND low + 11),
+most AS (SELECT DISTINCT rid, pid FROM (
+           SELECT rid, pid, len, low, x, place, pos,
+                  unnest(range(greatest(0, place - len + 1), least(place, n - len) + 1)) AS s
+           FROM (SELECT *, unnest(range(low, low + 6)) AS x FROM met) WHERE pos - place BETWEEN x AND x + 5)
+         GROUP BY rid, pid, len, low, x, s
+         HAVING count(DISTINCT place) >= len - (len + 2) // 6 AND count(DISTINCT pos) >= len - (len + 2) // 6),
+near AS (SELECT rid, count(DISTINCT item) AS n_near
+         FROM (FROM two UNION FROM one UNION FROM most) u JOIN b ON b.pid = u.pid GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
-FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN i ON d.rid = i.rid
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated,
+       CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN i ON d.rid = i.rid LEFT JOIN near ON d.rid = near.rid
 """

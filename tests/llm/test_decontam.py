@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import duckdb
+
 from eventstar.llm import decontam as D
 from tests.llm.helpers import awkward, docs_frame, prose
 
@@ -30,6 +32,32 @@ def brute(text, items, window=13):
             bool(hit) and 20 * len(hit) >= len(w))
 
 
+def test_the_statement_says_the_same_of_nameless_items_and_near_matches(spark, tmp_path):
+    items, texts = planted(spark)
+    rng = random.Random(9)
+    for i in range(6):                                    # replaced, repeated and moved words
+        item = items[i][1].split()
+        for k in (1, 2, 4):
+            edited = list(item)
+            for at in rng.sample(range(len(edited)), k):
+                edited[at] = rng.choice(["cut", item[0], item[-1]])
+            texts.append(" ".join(["before", *edited, "behind"]))
+    texts += ["a nameless item here indeed", "nameless " * 5, None]
+    docs = docs_frame(spark, texts, clash="pos")
+    bench = spark.createDataFrame([(i, t, "clash") for i, t in items], ITEMS)
+    con = duckdb.connect()
+    for name, df in (("documents", docs.select("doc_id", "text")), ("benchmark", bench)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path / name}/*.parquet')")
+    want = con.execute(D.OP7_SQL)
+    columns = [c[0] for c in want.description]
+    got = D.decontamination_report(docs, bench).drop("text_key")
+    assert sorted(got.columns) == sorted(columns)
+    rows = sorted(map(tuple, got.select(*columns).collect()))
+    assert rows == sorted(want.fetchall())
+    assert [r[columns.index("n_hit")] for r in rows if r[0] == len(texts) - 3] == [3]
+
+
 def planted(spark):
     rng = random.Random(4)
     items = [(i, prose(100 + i, rng.randint(15, 40))) for i in range(6)]

@@ -64,11 +64,13 @@ def test_stages_stand_empty_tables(spark):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
 def test_queries_equal_their_statements(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(Q.ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
-    got = Q.QUERIES[name](spark, SF).select(*columns).collect()
+    got = Q.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    got = got.select(*columns).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
 
 
