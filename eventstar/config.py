@@ -24,6 +24,10 @@ class PipelineConfig:
     """
 
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
+    # "hash": keys computed from natural keys; "dense": 1, 2, 3, ... without gaps.
+    surrogate_keys: str = "hash"
+    # Buckets of the staging table by event id (a catalog table); None: plain folders.
+    staging_buckets: int | None = None
     max_errors: int | None = DEFAULT_MAX_ERRORS
     on_violation: str = "quarantine"
     # Paths of the feature document that must hold a value.
@@ -38,3 +42,5 @@ class PipelineConfig:
     def __post_init__(self) -> None:
         if self.on_violation not in ("quarantine", "fail"):
             raise ValueError("on_violation must be 'quarantine' or 'fail'")
+        if self.surrogate_keys not in ("hash", "dense"):
+            raise ValueError("surrogate_keys must be 'hash' or 'dense'")

@@ -218,7 +218,9 @@ def _comparable(name: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _comparable(name, sql) for name, sql in _statements().items()}
+    from eventstar.layer_queries import STATEMENTS       # it builds on the texts of this module
+
+    return {name: _comparable(name, sql) for name, sql in (_statements() | STATEMENTS).items()}
 
 
 def _statements() -> dict[str, str]:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventstar.config import PipelineConfig
-from eventstar.plans import staging, warehouse
+from eventstar.operators.violations import violations
+from eventstar.plans import densekeys, staging, warehouse
 from eventstar.plans.ingest import run_ingestion
 from eventstar.plans.store import LayerStore
 from eventstar.sources.catalog import catalog_window, lookback_window
@@ -57,7 +58,8 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, root: str, config: PipelineConfig = PipelineConfig()):
         self.spark = spark
-        self.store = LayerStore(spark, root)
+        buckets = {"stg_events": ("event_id", config.staging_buckets)} if config.staging_buckets else {}
+        self.store = LayerStore(spark, root, buckets)
         self.config = config
 
     # -- ingestion ---------------------------------------------------------
@@ -208,7 +210,7 @@ class Pipeline:
             # The counted increment decides whether its keys are broadcast
             # against the staged history (see anti_join_increment).
             n = x.count()
-            new_rows, rejected = staging.stage_extracted(x, staged_ids, n)
+            new_rows, rejected = staging.stage_extracted(x, staged_ids, n, self.config.staging_buckets)
             if self.config.on_violation == "fail":
                 bad = rejected.select("event_id", "reject_reason").limit(1).collect()
                 if bad:
@@ -244,13 +246,13 @@ class Pipeline:
         stg = st.read("stg_events").filter(F.col("load_id").isin(loads))
         fact = st.read("fact_events").filter(F.col("load_id").isin(unfinished))
         src = warehouse.unloaded(stg, fact).persist(StorageLevel.MEMORY_AND_DISK)
+        dense = self.config.surrogate_keys == "dense"
         try:
-            inc = warehouse.increment(
-                src,
-                st.read("dim_time", exclude_load=load_id),
-                st.read("dim_location", exclude_load=load_id),
-                st.read("dim_event_type", exclude_load=load_id),
-                src_rows=src.count())
+            n = src.count()
+            make = densekeys.dense_increment if dense else warehouse.increment
+            inc = make(src, st.read("dim_time", exclude_load=load_id),
+                       st.read("dim_location", exclude_load=load_id),
+                       st.read("dim_event_type", exclude_load=load_id), src_rows=n)
             if self.config.on_violation == "fail":
                 bad = inc.violations.select("event_id").limit(1).collect()
                 if bad:
@@ -262,7 +264,11 @@ class Pipeline:
                 writes.append(lambda: st.write(self._with_documents(inc.violations),
                                                "ingestion_errors", f"{load_id}-warehouse"))
             _side_by_side(*writes)  # dimensions first, then the fact
-            self._check_keys(load_id)
+            if dense:
+                inc.fact = densekeys.dense_facts(src, st.read("dim_location"), st.read("dim_event_type"),
+                                                 st.read("fact_events", exclude_load=load_id), n)
+            else:
+                self._check_keys(load_id)
             # Sorted by time within each file: min/max statistics then let
             # time-window filters (Q6) skip row groups.
             st.write(inc.fact.sortWithinPartitions("event_time"), "fact_events", load_id)
@@ -295,6 +301,14 @@ class Pipeline:
         rows = layer_counts_frame(self.tables()).collect()  # six rows
         return {r["layer"]: int(r["row_count"]) for r in rows}
 
+    def load_violations(self, load_id: str) -> DataFrame:
+        """What the rows of one load break beside those of all others: rule,
+        key and number of rows (see ``eventstar.operators.violations``)."""
+        names = ["stg_events", "dim_time", "dim_location", "dim_event_type", "fact_events"]
+        mine = {t: self.store.read(t).filter(F.col("load_id") == load_id).drop("load_id") for t in names}
+        others = {t: self.store.read(t, exclude_load=load_id).drop("load_id") for t in names}
+        return violations(mine, others)
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every layer table as a temporary view (``prefix`` + table
         name) so analysts can query the warehouse with ``spark.sql``; Catalyst

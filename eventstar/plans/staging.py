@@ -14,7 +14,7 @@ from eventstar.functions.jsonpaths import (
     with_column_once,
 )
 from eventstar.operators.firstwins import first_per_key
-from eventstar.operators.joins import anti_join_increment
+from eventstar.operators.joins import anti_join_increment, merge_anti_join
 from eventstar.schemas import STG_EVENTS, STRING_BOUNDS
 
 STAGING_ERROR = "staging_error"
@@ -118,22 +118,26 @@ def stage(raw: DataFrame, staged_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage_extracted(extract(raw), staged_ids)
 
 
-def stage_extracted(x: DataFrame, staged_ids: DataFrame,
-                    x_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def stage_extracted(x: DataFrame, staged_ids: DataFrame, x_rows: int | None = None,
+                    buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """:func:`stage` over already extracted rows (see :func:`extract`).
 
     First-wins per event_id over (ingested_at, batch_id) runs as a partial
     aggregate; the increment is then anti-joined against every staged id
     without shuffling the staged history when the increment is small
-    (:func:`anti_join_increment`).
+    (:func:`anti_join_increment`).  A history stored in ``buckets`` by event id
+    is merge-joined where it lies, whatever the increment's size; the new rows
+    come out in those buckets.
     """
     good = x.filter(F.col("reject_reason").isNull())
     payload = [c for c in _STG_COLS if c != "event_id"]
     first = first_per_key(good, ["event_id"], ["ingested_at", "source_batch_id"], payload)
+    bad = x.filter(F.col("reject_reason").isNotNull())
+    if buckets:
+        new_rows = merge_anti_join(first, staged_ids, "event_id", buckets)
+        return new_rows.select(*_STG_COLS), merge_anti_join(bad, staged_ids, "event_id", buckets)
     new_rows = anti_join_increment(first, staged_ids, ["event_id"], x_rows).select(*_STG_COLS)
-    rejected = anti_join_increment(x.filter(F.col("reject_reason").isNotNull()), staged_ids,
-                                   ["event_id"], x_rows)
-    return new_rows, rejected
+    return new_rows, anti_join_increment(bad, staged_ids, ["event_id"], x_rows)
 
 
 def reject_error_rows(rejected: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventstar import oracle
+from eventstar import layer_queries, oracle
 from eventstar.config import PipelineConfig
 from eventstar.functions.jsonpaths import parse_feature
 from eventstar.operators.checks import integrity_checks
@@ -369,7 +369,7 @@ def _planned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _planned(fn) for name, fn in _QUERIES.items()}
+    return {name: _planned(fn) for name, fn in (_QUERIES | layer_queries.QUERIES).items()}
 
 
 _QUERIES = {

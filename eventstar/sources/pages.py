@@ -20,11 +20,12 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("page_id"), "value"))
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Pages with ``metadata_count``, ``features`` (array of text), ``readable``
     (false when the page is not a FeatureCollection; an object without a
     ``features`` key is an empty one) and ``complete`` (it has as many
-    features as it declares, if it declares a number)."""
+    features as it declares, if it declares a number).  Columns named in
+    ``keep`` are carried along."""
     p = with_column_once(pages, "_p", F.from_json("value", PAGE_SCHEMA))
     features = F.col("_p.features")
     bare = (F.coalesce(F.startswith(F.get_json_object("value", "$"), F.lit("{")), F.lit(False))
@@ -36,14 +37,15 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         features.alias("features"),
         (features.isNotNull() | bare).alias("readable"),
         F.coalesce(count == F.coalesce(F.size(features), F.lit(0)), F.lit(True)).alias("complete"),
+        *keep,
     )
 
 
-def explode_features(parsed: DataFrame) -> DataFrame:
+def explode_features(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per feature text (column ``feature``) of the readable pages;
     an empty page contributes nothing."""
     return parsed.filter("readable").select(
-        "page_id", F.explode("features").alias("feature"))
+        "page_id", F.explode("features").alias("feature"), *keep)
 
 
 def page_accounting(parsed: DataFrame) -> DataFrame:
