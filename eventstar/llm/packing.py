@@ -71,19 +71,21 @@ class Tokens:
         import public_tokenizers
         import tiktoken
 
-        model = json.loads(Path(path).read_text())["model"]
+        file = json.loads(Path(path).read_text())
+        model = file["model"]
+        special = {t["content"]: t["id"] for t in file["added_tokens"]}
         at = byte_of_char()
         ranks = {bytes(at[c] for c in piece): i for piece, i in model["vocab"].items()
                  if all(c in at for c in piece)}
-        ranks = {piece: i for piece, i in ranks.items() if not piece.startswith(b"<|endoftext")}
+        ranks = {piece: i for piece, i in ranks.items() if i not in special.values()}
         self.bpe = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN,
-                                     mergeable_ranks=ranks, special_tokens={})
+                                     mergeable_ranks=ranks, special_tokens=special)
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for piece, i in ranks.items():
             self.width[i] = len(piece)
         self.kept: dict[str, bytes] = {}            # ids of " " + chunk
         self.keep = keep
-        self.odd = re.compile(r"\s ")
+        self.odd = re.compile("|".join([r"\s ", *map(re.escape, special)]))
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """Ids of each " " + chunk: all in one call, cut at the chunks' ends."""
@@ -95,7 +97,7 @@ class Tokens:
         return [raw[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def _whole(self, text: str) -> bytes:
-        return np.asarray(self.bpe.encode_to_numpy(text, disallowed_special=()), "<u4").tobytes()
+        return np.asarray(self.bpe.encode_to_numpy(text, allowed_special="all"), "<u4").tobytes()
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""

@@ -225,7 +225,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, deduplicated by payload, read back."""
     path = scratch_path(spark, "warc")
     write_archives(resolve_revisits(page_records(table(spark, sf_dir, "pages"))), path)
-    return read_archives(spark, path, payload=False).drop("payload")
+    return read_archives(spark, path, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
 #: The same in DuckDB; url as the archives hold it.
