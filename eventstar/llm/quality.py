@@ -2,9 +2,10 @@
 
 Each line of a text is judged on its own by three rules (punctuation,
 navigation, boilerplate); failing lines are removed; a document is rejected
-if it loses too large a share of its words, if fewer than ``min_kept_words``
-remain, or if the whole-text base rule fails (fewer than 50 words, or more
-than half of the words inside repeated 3-word windows).
+if it loses too large a share of its words, or if the whole-text base rule
+fails (fewer than 50 words, or more than half of the words inside repeated
+3-word windows).  A phrase of page furniture fails a line only if it makes a
+fair part of it: an article may mention one.
 
 Defined results: a null text counts as empty; a text without words fails the
 base rule; lines are ``\n``-split, and a line without words is neither judged
@@ -26,7 +27,10 @@ from eventstar.llm.common import arrow_map, slices, table
 
 SYMBOLS = "#*$%&|<>"
 #: Marks that end a sentence, and the closing marks that may follow them.
-ENDS, CLOSERS = ".!?…:;", "\"'”’»)]"
+#: Latin, Armenian, Arabic, Devanagari, Tibetan, Myanmar, Ethiopic,
+#: Khmer and East Asian marks.
+ENDS = ".!?…:;։؟۔।॥།။።។。！？．：；｡"
+CLOSERS = "\"'”’»)]」』）］】〉》"
 #: Tokens that separate links of a navigation bar.
 SEPARATORS = {s.encode() for s in ("|", "»", "›", "•", "·", "/", ">")}
 #: Phrases of page furniture, compared in lower case.
@@ -46,6 +50,8 @@ class QualityRules:
     min_separator_percent: int = 20
     #: exclamation runs ("!!") per 100 words that make a line shouting
     max_shout_percent: int = 30
+    #: words of boilerplate phrases per 100 words that fail a line
+    min_boilerplate_percent: int = 10
     #: a document that loses more than this share (percent) of its words goes
     max_lost_percent: int = 30
 
@@ -64,7 +70,9 @@ def line_passes(line: str, words: list[bytes], last: bool, rules: QualityRules)
         return False
     low = line.lower()
     if any(phrase in low for phrase in BOILERPLATE):
-        return False
+        found = sum(low.count(phrase) * len(phrase.split()) for phrase in BOILERPLATE)
+        if found * 100 >= rules.min_boilerplate_percent * n:
+            return False
     return last or line.rstrip().rstrip(CLOSERS)[-1:] in ENDS
 
 
@@ -179,11 +187,16 @@ lw AS (SELECT * FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS
 f AS (SELECT rid, line, len(w) AS n, no = max(no) OVER (PARTITION BY rid) AS is_last, lower(line) AS low,
              length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols,
              (length(line) - length(replace(line, '!!', ''))) // 2 AS shouts,
-             len(list_filter(w, lambda x: x IN ('|', '»', '›', '•', '·', '/', '>'))) AS bars FROM lw),
+             len(list_filter(w, lambda x: x IN ('|', '»', '›', '•', '·', '/', '>'))) AS bars,
+             list_sum([(length(lower(line)) - length(replace(lower(line), x, ''))) // length(x)
+                       * len(string_split(x, ' ')) for x in
+                       ['lorem ipsum', 'javascript', 'cookie policy', 'privacy policy', 'terms of use',
+                        'terms of service', 'all rights reserved', 'subscribe to', 'sign up to', 'click here',
+                        'read more']]) AS furniture FROM lw),
 j AS (SELECT rid, line, n, symbols * 100 <= 10 * n AND NOT (bars > 0 AND bars * 100 >= 20 * n)
         AND shouts * 100 <= 30 * n
-        AND NOT regexp_matches(low, 'lorem ipsum|javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|subscribe to|sign up to|click here|read more')
-        AND (is_last OR regexp_matches(line, '(^|[.!?…:;])["\x27”’»)\]]*\s*$')) AS passes FROM f),
+        AND NOT (furniture > 0 AND furniture * 100 >= 10 * n)
+        AND (is_last OR regexp_matches(line, '(^|[.!?…:;։؟۔।॥།။።។。！？．：；｡])["\x27”’»)\]」』）］】〉》]*\s*$')) AS passes FROM f),
 lines AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup, coalesce(sum(n) FILTER (WHERE NOT passes), 0) AS lost
           FROM j GROUP BY rid),
 b AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) for x in w]), 0) AS word_chars,

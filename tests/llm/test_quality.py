@@ -48,3 +48,12 @@ def test_frames(spark):
         r.doc_id for r in rows if r.kept and r.doc_id is not None)
     assert Q.quality_report(docs_frame(spark, [])).count() == 0
     assert Q.filter_documents(docs_frame(spark, [])).count() == 0
+
+
+def test_sound_documents_of_all_scripts_and_long_lines_stay():
+    article = " ".join(f"w{i}" for i in range(200)) + " javascript " + " ".join(f"x{i}" for i in range(7)) + "."
+    assert Q.judge(article)[-1]
+    for end in "।؟。។…":
+        lines = "\n".join(" ".join(f"{end}{i}k{j}" for j in range(12)) + end for i in range(8))
+        assert Q.judge(lines)[-1] and Q.judge(lines)[-2] == 0
+    assert Q.judge("\n".join(f"Read more about{i} c{i}." for i in range(60)))[-2] == 240
