@@ -7,11 +7,14 @@ problem is fully described by a histogram of at most ``CAPACITY`` counts,
 whatever the number of documents.  The histogram is solved by bin completion:
 
 * around the longest unpacked length, enumerate the undominated fillings of
-  the rest of the sequence (one longest fitting length dominates every
-  filling that it contains; an exact fit dominates all);
-* branch over the fillings, prune a branch whose waste so far makes the lower
-  bound reach the incumbent, which best-fit decreasing provides first;
-* apply a chosen filling as often as the counts allow, in one step.
+  the rest of the sequence, least waste first (a filling is dominated if a
+  length left over can replace some of its parts and fill more, or as much
+  with fewer parts; an exact single part dominates all);
+* branch over the fillings and over how often they are used, most often first;
+  prune a branch whose waste leaves no room to beat the incumbent, which
+  best-fit decreasing provides first;
+* stop when the incumbent meets the lower bound or the search has made
+  ``MAX_STEPS`` steps.
 
 The result is a list of patterns with repeat counts.  Pieces find their place
 from their rank among the pieces of the same length; ranks are counted in
@@ -27,6 +30,8 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -38,9 +43,9 @@ from pyspark.sql import functions as F
 from eventstar.llm.common import arrow_map, materialize, slices, table
 
 CAPACITY = 2048
-#: Fillings considered at one step of the search, and steps of the search.
-#: Beyond them the incumbent stands: the packing stays whole and valid.
-MAX_FILLINGS, MAX_NODES = 16, 2500
+#: Steps of the search (of enumeration, too).  Beyond them the best packing
+#: found stands; it is whole and valid, but not proven least.
+MAX_STEPS = 6_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -163,26 +168,38 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
 # ---------------------------------------------------------------- packing
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of best-fit decreasing: around the longest length, always the
-    longest length that still fits, as often as the counts allow."""
-    counts = counts.copy()
-    out = []
-    while (left := np.flatnonzero(counts)).size:
-        pattern, room = [], capacity
-        used: dict[int, int] = {}
-        for length in left[::-1].tolist():
-            while length <= room and used.get(length, 0) < counts[length]:
-                k = min(room // length, int(counts[length]) - used.get(length, 0))
-                pattern += [length] * k
-                used[length] = used.get(length, 0) + k
-                room -= k * length
-            if room <= 0:
-                break
-        times = min(int(counts[n]) // k for n, k in used.items())
-        for n, k in used.items():
-            counts[n] -= times * k
-        out.append((tuple(pattern), times))
-    return out
+    """Patterns of best-fit decreasing: lengths from the longest down, each into
+    the sequence with the least room that holds it.  Sequences of equal content
+    are one entry, so the work does not grow with the counts."""
+    rooms: dict[int, dict[tuple[int, ...], int]] = {}
+    order: list[int] = []                                # rooms of open sequences, ascending
+
+    def put(room: int, pattern: tuple[int, ...], n: int) -> None:
+        if room not in rooms:
+            rooms[room] = {}
+            insort(order, room)
+        rooms[room][pattern] = rooms[room].get(pattern, 0) + n
+
+    for length in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[length])
+        while left:
+            at = bisect_left(order, length)
+            room = order[at] if at < len(order) else capacity
+            if at < len(order):
+                pattern, n = rooms[room].popitem()
+                if not rooms[room]:
+                    del rooms[room]
+                    del order[at]
+            else:
+                pattern, n = (), left                    # new sequences
+            # what is left of a room after one part is the least room again
+            each = min(room // length, left)
+            full = min(n, left // each)
+            put(room - each * length, (*pattern, *[length] * each), full)
+            left -= full * each
+            if pattern and n > full:
+                put(room, pattern, n - full)
+    return [(pattern, n) for group in rooms.values() for pattern, n in group.items()]
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -202,80 +219,138 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return best
 
 
-def fillings(counts: np.ndarray, room: int, limit: int = MAX_FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first.
-
-    With the longest fitting length ``a``: ``(a,)`` dominates all fillings
-    whose parts fit into it.  So either one part, or two parts of which the
-    longer is the longest that fits beside the shorter, and so on down by
-    completing greedily; an exact single part ends the search.
-    """
-    have = np.flatnonzero(counts[:room + 1])
-    if not have.size:
-        return [()]
-    longest = int(have[-1])
-    if longest == room:
-        return [(room,)]
-    found: dict[tuple[int, ...], int] = {}
-    for first in have[::-1].tolist():
-        rest, parts = room - first, [first]
-        take = {first: 1}
-        while rest:
-            fit = have[:np.searchsorted(have, rest, "right")][::-1]
-            nxt = next((int(x) for x in fit if take.get(int(x), 0) < counts[x]), 0)
-            if not nxt:
-                break
-            parts.append(nxt)
-            take[nxt] = take.get(nxt, 0) + 1
-            rest -= nxt
-        key = tuple(sorted(parts, reverse=True))
-        found[key] = rest
-        if rest == 0 and len(found) >= limit:
-            break
-        if len(found) >= 8 * limit:
-            break
-    return sorted(found, key=lambda p: (found[p], len(p), [-x for x in p]))[:limit]
-
-
-def complete(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+class Exhausted(Exception):
+    """The search has made all its steps."""
+
+
+class Steps:
+    def __init__(self, most: int) -> None:
+        self.left = most
+
+    def take(self, n: int = 1) -> None:
+        self.left -= n
+        if self.left < 0:
+            raise Exhausted
+
+
+def undominated(parts: tuple[int, ...], waste: int, left: list[int]) -> bool:
+    """Whether no length that is left over could take the place of some parts
+    (of none: be added) and fill more, or fill the same with fewer parts.
+    Such an exchange never costs a sequence, so dominated fillings need not be
+    tried.  ``left`` are the lengths of which some remain beside ``parts``."""
+    none, some, two = 1, 0, 0                            # sums of no, one or more, two or more parts
+    for p in parts:
+        two |= (two | some) << p
+        some |= (some | none) << p
+    sums = none | some
+    for x in left:
+        low = max(0, x - waste)
+        if sums >> low & ((1 << x - low) - 1) or two >> x & 1:
+            return False
+    return True
+
+
+def fillings(counts: np.ndarray, room: int, steps: Steps) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room``, least waste first, made as they
+    are asked for.  An exact single part dominates all others."""
+    have = np.flatnonzero(counts[:room + 1])[::-1].tolist()
+    if not have:
+        yield ()
+        return
+    if have[0] == room:
+        yield (room,)
+        return
+    steps.take(len(have))
+    # sums that lengths from the k-th on can make, whatever their counts
+    within = (1 << room + 1) - 1
+    reach = [1]
+    for length in reversed(have):
+        sums, by = reach[-1], length
+        while by <= room:
+            sums |= sums << by & within
+            by *= 2
+        reach.append(sums)
+    reach.reverse()
+
+    def exact(k: int, total: int) -> Iterator[tuple[int, ...]]:
+        """Parts from the k-th length on that add up to ``total``."""
+        steps.take()
+        if not total:
+            yield ()
+        elif reach[k] >> total & 1:
+            for n in range(min(total // have[k], int(counts[have[k]])), -1, -1):
+                for rest in exact(k + 1, total - n * have[k]):
+                    yield (*[have[k]] * n, *rest)
+
+    for waste in range(room + 1):
+        for parts in exact(0, room - waste):
+            used = Counter(parts)
+            steps.take(len(have))
+            if undominated(parts, waste, [x for x in have if counts[x] > used[x]]):
+                yield parts
+
+
+def complete(counts: np.ndarray, capacity: int = CAPACITY, most_steps: int = MAX_STEPS
+             ) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and their repeats that hold every length exactly ``counts``
-    times; proven least if the search ends before ``MAX_NODES`` steps."""
+    times: the fewest sequences, if the search ends within ``most_steps``, else
+    the best found, best-fit decreasing at first (``lower_bound`` tells how far
+    from the least it can be)."""
     counts = counts.astype(np.int64)
     best = best_fit(counts, capacity)
     least = sum(t for _, t in best)
     bound = lower_bound(counts, capacity)
     volume = int((counts * np.arange(len(counts))).sum())
-    allowed = lambda n: n * capacity - volume        # noqa: E731  waste that n sequences leave
-    # depth first over an explicit stack; the entries of one step share the
-    # counts before it: (counts, pattern, repeats, chosen, sequences, waste)
-    stack = [(counts, (), 0, (), 0, 0)]
-    nodes = 0
-    while stack and least > bound and nodes < MAX_NODES:
-        before, pattern, times, chosen, used, waste = stack.pop()
-        nodes += 1
-        if waste > allowed(least - 1):
-            continue
-        left = before.copy()
-        for length in pattern:
-            left[length] -= times
-        lengths = np.flatnonzero(left)
-        if not lengths.size:
-            if used < least:
-                best, least, node = [], used, chosen
-                while node:
-                    node, pattern, times = node
-                    best.append((pattern, times))
-            continue
-        top = int(lengths[-1])
-        rest = left.copy()
-        rest[top] -= 1
-        for filling in reversed(fillings(rest, capacity - top)):
+    steps = Steps(most_steps)
+
+    def spare(lost: int) -> bool:
+        """Whether a packing that has wasted ``lost`` can still beat the incumbent."""
+        return lost <= (least - 1) * capacity - volume
+
+    def choices(left: np.ndarray, lost: int, before: tuple[int, ...]) -> Iterator[tuple]:
+        """Patterns around the longest length left, and their repeats.  The
+        pattern before is not chosen again: its repeats were."""
+        top = int(np.flatnonzero(left)[-1])
+        left[top] -= 1
+        found = fillings(left.copy(), capacity - top, steps)
+        left[top] += 1
+        for filling in found:
             pattern = (top, *filling)
+            waste = capacity - sum(pattern)
+            if not spare(lost + waste):
+                return                                   # later ones waste more
+            if pattern == before:
+                continue
             values, per = np.unique(pattern, return_counts=True)
-            times = int((left[values] // per).min())
-            lost = waste + times * (capacity - sum(pattern))
-            if lost <= allowed(least - 1):
-                stack.append((left, pattern, times, (chosen, pattern, times), used + times, lost))
+            for times in range(int((left[values] // per).min()), 0, -1):
+                if spare(lost + times * waste):
+                    yield pattern, times, lost + times * waste
+
+    chosen: list[tuple[tuple[int, ...], int]] = []
+    left = counts.copy()
+    stack = [choices(left, 0, ())] if least > bound else []
+    try:
+        while stack and least > bound:
+            steps.take()
+            step = next(stack[-1], None)
+            if step is None:
+                stack.pop()
+                if chosen:
+                    pattern, times = chosen.pop()
+                    np.add.at(left, list(pattern), times)
+                continue
+            pattern, times, lost = step
+            chosen.append((pattern, times))
+            np.subtract.at(left, list(pattern), times)
+            if left.any():
+                stack.append(choices(left, lost, pattern))
+                continue
+            if sum(t for _, t in chosen) < least:
+                best, least = list(chosen), sum(t for _, t in chosen)
+            chosen.pop()
+            np.add.at(left, list(pattern), times)
+    except Exhausted:
+        pass
     return best
 
 

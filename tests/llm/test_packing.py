@@ -61,22 +61,94 @@ def exact_least(lengths, capacity):
     return best
 
 
+def check_packing(lengths, capacity, found):
+    used = np.zeros(capacity + 1, int)
+    for pattern, times in found:
+        assert sum(pattern) <= capacity and times > 0
+        for x in pattern:
+            used[x] += times
+    assert (used == np.bincount(lengths, minlength=capacity + 1)).all()
+    return sum(t for _, t in found)
+
+
+def packed(lengths, capacity, **options):
+    counts = np.bincount(lengths, minlength=capacity + 1)
+    return check_packing(lengths, capacity, P.complete(counts, capacity, **options))
+
+
+def plain_best_fit(lengths, capacity):
+    bins = []
+    for x in sorted(lengths, reverse=True):
+        fits = [i for i, room in enumerate(bins) if room >= x]
+        if fits:
+            bins[min(fits, key=lambda i: bins[i])] -= x
+        else:
+            bins.append(capacity - x)
+    return len(bins)
+
+
 def test_bin_completion_is_least_on_small_cases():
     rng = random.Random(1)
-    for _ in range(60):
-        lengths = [rng.randint(1, 20) for _ in range(rng.randint(1, 9))]
+    beaten = 0
+    for _ in range(10_000):
+        capacity = rng.choice([10, 20, 30])
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+        counts = np.bincount(lengths, minlength=capacity + 1)
+        least = exact_least(lengths, capacity)
+        assert packed(lengths, capacity) == least >= P.lower_bound(counts, capacity)
+        beaten += plain_best_fit(lengths, capacity) > least
+    assert beaten
+    assert packed([3, 4, 4, 6, 10, 10, 10, 12, 12, 13, 17, 19], 30) == 4
+    assert packed([7, 6, 5, 5, 4, 3], 10) == 3
+
+
+def test_the_incumbent_is_best_fit_decreasing():
+    rng = random.Random(2)
+    for _ in range(500):
+        lengths = [rng.randint(1, 40) for _ in range(rng.randint(1, 80))]
+        found = P.best_fit(np.bincount(lengths, minlength=41), 40)
+        assert check_packing(lengths, 40, found) == plain_best_fit(lengths, 40)
+        assert packed(lengths, 40, most_steps=0) == plain_best_fit(lengths, 40)
+
+
+def test_fillings_are_all_undominated_ones():
+    counts = np.bincount([6, 5, 4, 4], minlength=14)
+    assert list(P.fillings(counts, 13, P.Steps(10**6))) == [(5, 4, 4), (6, 5)]
+    assert list(P.fillings(counts, 4, P.Steps(10**6))) == [(4,)]
+    assert list(P.fillings(counts, 3, P.Steps(10**6))) == [()]
+    rng = random.Random(3)
+    for _ in range(300):
+        lengths = [rng.randint(1, 12) for _ in range(rng.randint(1, 8))]
+        room = rng.randint(1, 20)
         counts = np.bincount(lengths, minlength=21)
-        found = P.complete(counts, 20)
-        used = np.zeros(21, int)
-        for pattern, times in found:
-            assert sum(pattern) <= 20
-            for x in pattern:
-                used[x] += times
-        assert (used == counts).all()
-        assert sum(t for _, t in found) == exact_least(lengths, 20) >= P.lower_bound(counts, 20)
-    # first-fit style packing needs 3 here: 6+4 | 5+5 | ... against 7+3, 6+4, 5+5
-    counts = np.bincount([7, 6, 5, 5, 4, 3], minlength=11)
-    assert sum(t for _, t in P.complete(counts, 10)) == 3
+        got = list(P.fillings(counts, room, P.Steps(10**7)))
+        every = {tuple(sorted((x for i, x in enumerate(lengths) if m >> i & 1), reverse=True))
+                 for m in range(1 << len(lengths))}
+        fit = {f for f in every if sum(f) <= room}
+
+        def dominated(f):
+            rest = list(lengths)
+            for x in f:
+                rest.remove(x)
+            for m in range(1 << len(f)):
+                part = [x for i, x in enumerate(f) if m >> i & 1]
+                for x in rest:
+                    if sum(part) <= x <= sum(part) + room - sum(f) and (x > sum(part) or len(part) > 1):
+                        return True
+            return False
+
+        want = {f for f in fit if not dominated(f)}
+        assert set(got) == ({(room,)} if room in lengths else want) and len(got) == len(set(got))
+        assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
+
+
+def test_large_counts_cost_no_more():
+    rng = np.random.default_rng(4)
+    counts = np.zeros(P.CAPACITY + 1, np.int64)
+    counts[1:] = rng.integers(0, 10**9, P.CAPACITY)
+    found = P.complete(counts)
+    assert sum(t * sum(p) for p, t in found) == (counts * np.arange(len(counts))).sum()
+    assert sum(t for _, t in found) <= 1.005 * P.lower_bound(counts, P.CAPACITY) + 1
 
 
 def test_placement_is_whole_and_gapless(spark, reference):
