@@ -28,6 +28,8 @@ class PipelineConfig:
     surrogate_keys: str = "hash"
     # Buckets of the staging table by event id (a catalog table); None: plain folders.
     staging_buckets: int | None = None
+    # Keep the partial states of Q1-Q5 per load, so that reports read no facts.
+    report_states: bool = False
     max_errors: int | None = DEFAULT_MAX_ERRORS
     on_violation: str = "quarantine"
     # Paths of the feature document that must hold a value.

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from eventstar import oracle
 from eventstar.config import PipelineConfig
 from eventstar.functions.jsonpaths import parse_feature
+from eventstar.operators.validate import error_rows, split, validate
 from eventstar.operators.violations import violations
+from eventstar.plans import analytics
 from eventstar.plans.layers import Batch, build_layers
 from eventstar.plans.pipeline import Pipeline
-from eventstar.session import scratch_path
+from eventstar.session import scratch_path, written
 from eventstar.sources.catalog import catalog_window
-from eventstar.sources.fixture import fixture_features, read_events
+from eventstar.sources.fixture import feature_json, fixture_features, read_events, seismic_rows
 from eventstar.streaming.stateful import replay_with_state
 
 STAGED = ["event_id", "magnitude", "magnitude_type", "place", "event_time", "latitude", "longitude",
@@ -34,7 +36,7 @@ def _pipeline(spark: SparkSession, name: str, **options) -> Pipeline:
     return Pipeline(spark, f"{scratch_path(spark, name)}/layers", config)
 
 
-def _halves(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+def halves(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     """Two overlapping loads that cover all events: those before SPLIT_HIGH
     without one magnitude type and without some places; those from SPLIT_LOW,
     and all that the first leaves out."""
@@ -64,7 +66,7 @@ def staging_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging stored in buckets by event id, after two overlapping loads and
     the second landed once more under another id."""
     pipe = _pipeline(spark, "bucketed", staging_buckets=BUCKETS)
-    loads = _halves(spark, sf_dir)
+    loads = halves(spark, sf_dir)
     for name, feats in [*loads, ("third", loads[1][1])]:
         pipe.ingest_batch(feats, name)
         pipe.run_transformations(name)
@@ -86,7 +88,7 @@ def dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of all rows of the star schema after two loads: locations, event
     types, and facts with the rows they refer to."""
     pipe = _pipeline(spark, "dense", surrogate_keys="dense")
-    for name, feats in _halves(spark, sf_dir):
+    for name, feats in halves(spark, sf_dir):
         pipe.ingest_batch(feats, name)
         pipe.run_transformations(name)
     star = pipe.star()
@@ -208,7 +210,118 @@ r AS (SELECT *, row_number() OVER (ORDER BY time_ms DESC, event_id ASC NULLS FIR
 SELECT event_id, time_ms FROM r WHERE n <= (SELECT count(*) // 2 FROM events)"""
 
 
+DAYS = 10 * 86_400_000
+
+
+def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's features with times over more than a year, and ``seq``."""
+    rows = seismic_rows(read_events(spark, sf_dir), extra=", event_id AS seq")
+    spread = F.when(F.col("time_ms") == 0, F.col("time_ms")).otherwise(
+        F.col("time_ms") + F.col("seq") % 40 * DAYS)
+    return feature_json(rows.withColumn("time_ms", spread))
+
+
+SPREAD_FIXTURE = f"""SELECT * REPLACE (CASE WHEN time_ms = 0 THEN 0 ELSE time_ms + seq % 40 * {DAYS} END AS time_ms)
+FROM ({oracle.FIXTURE})"""
+
+
+def reports_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in the reports that have an order: report, rank,
+    label."""
+    feats = _spread(spark, sf_dir)
+    lay = build_layers(spark, [Batch(feats.select("feature"), oracle.BATCH_1)])
+    fact = written(lay.fact, "spread-fact")
+    place, day, kind = (written(t, "spread-dim") for t in (lay.dim_location, lay.dim_time, lay.dim_event_type))
+    invalid = split(validate(feats))[1]
+    at = F.timestamp_seconds(1_700_000_000 + F.col("seq"))
+    errors = error_rows(invalid, oracle.BATCH_1, at)
+    month = F.concat_ws("-", "year", "month")
+    parts = [("q1", analytics.q1_region(fact, place, True), F.col("region")),
+             ("q2", analytics.q2_weekday(fact, day, True), F.trim("day_name")),
+             ("q3", analytics.q3_depth(fact, place, True), F.col("depth_category")),
+             ("q4", analytics.q4_month(fact, day, True), month),
+             ("q5", analytics.q5_magtype(fact, kind, True), F.col("magnitude_type")),
+             ("q7", analytics.q7_recent_errors(errors, True), F.unix_seconds("occurred_at").cast("string"))]
+    out = None
+    for name, df, label in parts:
+        rows = df.select(F.lit(name).alias("report"), F.col("rank").cast("bigint").alias("rank"),
+                         label.alias("label"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _report(name: str) -> str:
+    """A report's statement behind the common table expressions of the star."""
+    return oracle.statements()[name][len(oracle.STAR):]
+
+
+def reports_ranked_sql() -> str:
+    star = oracle.STAR.replace(oracle.FIXTURE, SPREAD_FIXTURE)
+    return star + f""",
+r1 AS ({_report("q1_region")}), r2 AS ({_report("q2_weekday")}), r3 AS ({_report("q3_depth")}),
+r4 AS ({_report("q4_month")}), r5 AS ({_report("q5_magtype")}),
+wd AS (SELECT r2.*, w.n FROM r2 JOIN (SELECT unnest(['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday',
+       'Friday', 'Saturday']) AS d, unnest(range(7)) AS n) w ON w.d = trim(r2.day_name)),
+er AS (SELECT 1700000000 + seq AS sec FROM v WHERE error_message IS NOT NULL),
+o AS (SELECT 'q1' AS report, row_number() OVER (ORDER BY event_count DESC, region) AS rank, region AS label FROM r1
+UNION ALL SELECT 'q2', row_number() OVER (ORDER BY n), trim(day_name) FROM wd
+UNION ALL SELECT 'q3', row_number() OVER (ORDER BY avg_significance DESC NULLS FIRST, depth_category),
+                 depth_category FROM r3
+UNION ALL SELECT 'q4', row_number() OVER (ORDER BY year, month), concat(year, '-', month) FROM r4
+UNION ALL SELECT 'q5', row_number() OVER (ORDER BY event_count DESC, magnitude_type), magnitude_type FROM r5
+UNION ALL SELECT 'q7', row_number() OVER (ORDER BY sec DESC), CAST(sec AS VARCHAR) FROM er)
+SELECT * FROM o WHERE report <> 'q7' OR rank <= 10"""
+
+
+def reports_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q5 from the stored states of three loads, no fact read: one row per
+    report row, its values as text."""
+    pipe = _pipeline(spark, "merged", report_states=True)
+    feats = _spread(spark, sf_dir)
+    for k in range(3):
+        pipe.ingest_batch(feats.filter(F.col("seq") % 3 == k).select("feature"), f"b{k}")
+        pipe.run_transformations(f"b{k}")
+    out = None
+    for name, df in pipe.merged_reports().items():
+        rows = df.select(F.lit(name).alias("report"), F.concat_ws("|", *[
+            F.coalesce(_plain(df, c), F.lit("null")) for c in sorted(df.columns)]).alias("cells"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _plain(df: DataFrame, name: str):
+    """A cell as text that both engines write alike."""
+    kind = dict(df.dtypes)[name]
+    if kind == "double" or kind.startswith("decimal"):
+        return F.round(F.col(name).cast("double") * 1000).cast("bigint").cast("string")
+    return F.col(name).cast("string")
+
+
+def reports_merged_sql() -> str:
+    # a location has the depth category of the first event of the first load that has it
+    star = oracle.STAR.replace(oracle.FIXTURE, SPREAD_FIXTURE).replace(
+        "ORDER BY event_time, event_id) AS rn",
+        "ORDER BY CAST(substr(event_id, 3) AS BIGINT) % 3, event_time, event_id) AS rn")
+    thousand = lambda c: f"coalesce(CAST(CAST(round(CAST({c} AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR), 'null')"
+    text = lambda c: f"coalesce(CAST({c} AS VARCHAR), 'null')"                                        # noqa: E731
+    numbers = {"avg_magnitude", "max_magnitude", "min_magnitude", "avg_significance", "stddev_magnitude",
+               "median_magnitude"}
+    columns = {
+        "q1_region": "avg_magnitude event_count max_magnitude min_magnitude region tsunami_events",
+        "q2_weekday": "avg_magnitude day_name event_count is_weekend major_events",
+        "q3_depth": "avg_magnitude avg_significance depth_category event_count strong_events",
+        "q4_month": "avg_magnitude event_count max_magnitude month month_name total_significance year",
+        "q5_magtype": "avg_magnitude event_count magnitude_category magnitude_type median_magnitude stddev_magnitude"}
+    parts = []
+    for name, cols in columns.items():
+        cells = ", ".join(thousand(c) if c in numbers else text(c) for c in cols.split())
+        parts.append(f"SELECT '{name}' AS report, concat_ws('|', {cells}) AS cells FROM ({_report(name)})")
+    return star + "\nUNION ALL\n".join(parts)
+
+
 QUERIES = {
+    "reports_ranked": reports_ranked,
+    "reports_merged": reports_merged,
     "staging_bucketed": staging_bucketed,
     "stream_dedup_state": stream_dedup_state,
     "dense_keys": dense_keys,
@@ -216,10 +329,13 @@ QUERIES = {
     "catalog_top_n": catalog_top_n,
 }
 
-STATEMENTS = {
-    "staging_bucketed": STAGING_BUCKETED,
-    "stream_dedup_state": STREAM_DEDUP_STATE,
-    "dense_keys": DENSE_KEYS,
-    "violations_delta": VIOLATIONS_DELTA,
-    "catalog_top_n": CATALOG_TOP_N,
-}
+def statements() -> dict[str, str]:
+    return {
+        "staging_bucketed": STAGING_BUCKETED,
+        "stream_dedup_state": STREAM_DEDUP_STATE,
+        "dense_keys": DENSE_KEYS,
+        "violations_delta": VIOLATIONS_DELTA,
+        "catalog_top_n": CATALOG_TOP_N,
+        "reports_ranked": reports_ranked_sql(),
+        "reports_merged": reports_merged_sql(),
+    }

@@ -218,12 +218,13 @@ def _comparable(name: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from eventstar.layer_queries import STATEMENTS       # it builds on the texts of this module
+    from eventstar import layer_queries                  # it builds on the texts of this module
 
-    return {name: _comparable(name, sql) for name, sql in (_statements() | STATEMENTS).items()}
+    found = statements() | layer_queries.statements()
+    return {name: _comparable(name, sql) for name, sql in found.items()}
 
 
-def _statements() -> dict[str, str]:
+def statements() -> dict[str, str]:
     q = {}
     q["landed_features"] = f"""
 WITH fx AS ({FIXTURE}),
@@ -245,8 +246,8 @@ SELECT CAST(seq // 100 AS BIGINT) AS page_id, count(*) AS declared_count,
        count(*) AS feature_count, TRUE AS readable, TRUE AS complete
 FROM fx GROUP BY 1"""
 
-    early = f"source_ts < TIMESTAMP '{SPLIT_HIGH}' AND seq % 11 <> 9"
-    late = f"source_ts >= TIMESTAMP '{SPLIT_LOW}'"
+    early = f"source_ts < TIMESTAMP '{SPLIT_HIGH}' AND seq % 11 <> 9 AND seq % 701 % 5 <> 3"
+    late = f"source_ts >= TIMESTAMP '{SPLIT_LOW}' OR seq % 11 = 9 OR seq % 701 % 5 = 3"
     increment = f"""
 WITH fx AS ({FIXTURE}),
 {VALIDATED},
@@ -326,16 +327,21 @@ WHERE error_message IS NOT NULL"""
 
     q["error_threshold"] = f"""
 WITH fx AS ({FIXTURE}),
-{VALIDATED}
-SELECT count(*) AS invalid_count, 500 AS max_errors, count(*) >= 500 AS exceeded
-FROM v WHERE error_message IS NOT NULL"""
+{VALIDATED},
+c AS (SELECT count(error_message) AS bad, count(*) - count(error_message) AS good FROM v)
+SELECT 'default' AS run, bad AS invalid_count, 500 AS max_errors, bad >= 500 AS exceeded,
+       CASE WHEN bad >= 500 THEN 0 ELSE good END AS raw_rows FROM c
+UNION ALL SELECT 'reached', bad, bad, TRUE, 0 FROM c
+UNION ALL SELECT 'missed', bad, bad + 1, FALSE, good FROM c"""
 
     q["batch_audit"] = f"""
 WITH fx AS ({FIXTURE}),
-{VALIDATED}
-SELECT {_q(BATCH_1)} AS batch_id, count(*) AS records_fetched,
-       count(DISTINCT event_id) AS records_inserted, 'success' AS status
-FROM v WHERE error_message IS NULL"""
+{VALIDATED},
+c AS (SELECT count(*) AS n FROM v WHERE error_message IS NULL)
+SELECT {_q(BATCH_1)} AS batch_id, n AS records_fetched, n AS records_inserted, 'success' AS status,
+       CAST(NULL AS VARCHAR) AS error_message, TRUE AS in_time FROM c
+UNION ALL SELECT {_q(BATCH_2)}, 2 * n, 0, 'failed',
+                 concat(n, ' duplicated event ids in batch ', {_q(BATCH_2)}), TRUE FROM c"""
 
     q["staging_load"] = STAR + f"SELECT {STG_COLS} FROM stg"
 

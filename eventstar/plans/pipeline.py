@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventstar.config import PipelineConfig
 from eventstar.operators.violations import violations
-from eventstar.plans import densekeys, staging, warehouse
+from eventstar.plans import analytics, densekeys, staging, warehouse
 from eventstar.plans.ingest import run_ingestion
 from eventstar.plans.store import LayerStore
 from eventstar.sources.catalog import catalog_window, lookback_window
@@ -272,6 +272,10 @@ class Pipeline:
             # Sorted by time within each file: min/max statistics then let
             # time-window filters (Q6) skip row groups.
             st.write(inc.fact.sortWithinPartitions("event_time"), "fact_events", load_id)
+            if self.config.report_states:
+                mine = st.read("fact_events").filter(F.col("load_id") == load_id)
+                _side_by_side(*[lambda n=n, s=s: st.write(s, f"state_{n}", load_id)
+                                for n, s in analytics.partial_states(mine).items()])
         finally:
             src.unpersist()
         return loads
@@ -301,6 +305,19 @@ class Pipeline:
         rows = layer_counts_frame(self.tables()).collect()  # six rows
         return {r["layer"]: int(r["row_count"]) for r in rows}
 
+    def merged_reports(self) -> dict[str, DataFrame]:
+        """Q1-Q5 from the states that the loads have stored: their size follows
+        the keys, not the events, and the fact is not read.  Needs
+        ``report_states`` for all loads."""
+        st = self.store
+        s = {n: analytics.merged_states(n, st.read(f"state_{n}")) for n in analytics.PARTIALS}
+        days, places = st.read("dim_time"), st.read("dim_location")
+        return {"q1_region": analytics.q1_report(s["by_location"], places),
+                "q2_weekday": analytics.q2_report(s["by_day"], days),
+                "q3_depth": analytics.q3_report(s["significant"], places),
+                "q4_month": analytics.q4_report(s["by_day"], days),
+                "q5_magtype": analytics.q5_report(s["by_type"], st.read("dim_event_type"))}
+
     def load_violations(self, load_id: str) -> DataFrame:
         """What the rows of one load break beside those of all others: rule,
         key and number of rows (see ``eventstar.operators.violations``)."""

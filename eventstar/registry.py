@@ -16,6 +16,7 @@ from eventstar.functions.jsonpaths import parse_feature
 from eventstar.operators.checks import integrity_checks
 from eventstar.operators.validate import split, validate
 from eventstar.plans import analytics
+from eventstar.plans.ingest import DuplicateInBatch, ErrorThresholdExceeded
 from eventstar.plans.layers import Batch, Layers, build_layers, staged_increment
 from eventstar.plans.pipeline import layer_counts_frame
 from eventstar.sources.catalog import catalog_window
@@ -89,23 +90,38 @@ def validate_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    limit = PipelineConfig().max_errors
-    _, invalid = split(validate(fixture_features(spark, sf_dir)))
-    n = F.count(F.lit(1))
-    return invalid.agg(n.alias("invalid_count"), F.lit(limit).alias("max_errors"),
-                       (n >= limit).alias("exceeded"))
+    """Ingestion of the same broken features under three limits: the default,
+    one that their number reaches, and one that it just misses."""
+    feats = fixture_features(spark, sf_dir)
+    n = split(validate(feats))[1].count()
+    outcome = []
+    for run, limit in (("default", PipelineConfig().max_errors), ("reached", n), ("missed", n + 1)):
+        pipe = _scratch_pipeline(spark, "threshold", PipelineConfig(max_errors=limit))
+        try:
+            pipe.ingest_batch(feats, run)
+            exceeded = False
+        except ErrorThresholdExceeded:
+            exceeded = True
+        counts = pipe.store.read("ingestion_errors").agg(F.count(F.lit(1)).alias("invalid_count")).join(
+            pipe.store.read("raw_events").agg(F.count(F.lit(1)).alias("raw_rows")))
+        outcome.append(counts.select(F.lit(run).alias("run"), "invalid_count", F.lit(limit).alias("max_errors"),
+                                     F.lit(exceeded).alias("exceeded"), "raw_rows"))
+    return outcome[0].unionByName(outcome[1]).unionByName(outcome[2])
 
 
 def batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit counts of one batch: valid features offered, raw rows kept."""
-    lay = layers(spark, sf_dir)
-    offered = lay.valid.select(F.lit(1).alias("f"), F.lit(0).alias("i"))
-    kept = lay.raw.select(F.lit(0).alias("f"), F.lit(1).alias("i"))
-    return offered.unionByName(kept).agg(
-        F.lit(oracle.BATCH_1).alias("batch_id"),
-        F.sum("f").cast("bigint").alias("records_fetched"),
-        F.sum("i").cast("bigint").alias("records_inserted"),
-        F.lit("success").alias("status"))
+    """The stored audit rows of a batch and of one that failed, as it offers
+    every event twice under the rule that this fails."""
+    pipe = _scratch_pipeline(spark, "audit", PipelineConfig(max_errors=None, on_violation="fail"))
+    feats = fixture_features(spark, sf_dir)
+    pipe.ingest_batch(feats, oracle.BATCH_1)
+    try:
+        pipe.ingest_batch(feats.unionByName(feats), oracle.BATCH_2)
+    except DuplicateInBatch:
+        pass
+    return pipe.store.read("ingestion_audit").select(
+        "batch_id", "records_fetched", "records_inserted", "status", "error_message",
+        (F.col("start_time") <= F.col("end_time")).alias("in_time"))
 
 
 def staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,15 +255,11 @@ _NO_LIMIT = PipelineConfig(max_errors=None)
 
 def _second_load(spark: SparkSession, sf_dir: str):
     """Two stored loads of overlapping batches; the first lacks one magnitude
-    type.  The rows of load "second" went through every anti-join against
-    history."""
+    type and some places.  The rows of load "second" went through every
+    anti-join against history."""
     pipe = _scratch_pipeline(spark, "increment", _NO_LIMIT)
-    feats = fixture_features(spark, sf_dir, extra=", ts AS source_ts, event_id AS seq")
-    early = (F.col("source_ts") < F.lit(_ts(oracle.SPLIT_HIGH)).cast("timestamp_ntz")) \
-        & (F.col("seq") % 11 != 9)
-    late = F.col("source_ts") >= F.lit(_ts(oracle.SPLIT_LOW)).cast("timestamp_ntz")
-    for name, rows in (("first", early), ("second", late)):
-        pipe.ingest_batch(feats.filter(rows).select("feature"), name)
+    for name, rows in layer_queries.halves(spark, sf_dir):
+        pipe.ingest_batch(rows, name)
         pipe.run_transformations(name)
     return pipe.store
 

@@ -76,6 +76,13 @@ TRANSFORM_LOG = _struct(("kind", S), ("consumed_id", S), ("version", TS), ("comp
 # One row per transformation run: "started", replaced by "completed".
 TRANSFORM_RUNS = _struct(("state", S), ("at", TS))
 
+# Partial states of the reports Q1-Q5, per load (see ``eventstar.plans.analytics``).
+_MAG_STATE = (("n", L), ("s_mag", L), ("n_mag", L))
+STATE_BY_LOCATION = _struct(("location_key", L), *_MAG_STATE, ("mx", MAG), ("mn", MAG), ("ts", L))
+STATE_SIGNIFICANT = _struct(("location_key", L), *_MAG_STATE, ("s_sig", L), ("n_sig", L), ("strong", L))
+STATE_BY_DAY = _struct(("time_key", I), *_MAG_STATE, ("major", L), ("mx", MAG), ("s_sig", L))
+STATE_BY_TYPE = _struct(("event_type_key", L), ("magnitude", MAG), ("c", L))
+
 # Table name -> schema.  Every stored table also carries a ``load_id``
 # partition column (see ``eventstar.plans.store``).
 TABLES = {
@@ -89,6 +96,10 @@ TABLES = {
     "fact_events": FACT_EVENTS,
     "transform_log": TRANSFORM_LOG,
     "transform_runs": TRANSFORM_RUNS,
+    "state_by_location": STATE_BY_LOCATION,
+    "state_significant": STATE_SIGNIFICANT,
+    "state_by_day": STATE_BY_DAY,
+    "state_by_type": STATE_BY_TYPE,
 }
 
 # Declared string bounds (column -> max length) checked before rows are kept.
