@@ -19,7 +19,14 @@ from eventstar.plans.layers import Batch, build_layers
 from eventstar.plans.pipeline import Pipeline
 from eventstar.session import scratch_path, written
 from eventstar.sources.catalog import catalog_window
-from eventstar.sources.fixture import feature_json, fixture_features, read_events, seismic_rows
+from eventstar.sources.fixture import (
+    feature_json,
+    fixture_features,
+    fixture_pages,
+    read_events,
+    seismic_rows,
+)
+from eventstar.sources.pages import fetch_accounting, parse_pages
 from eventstar.streaming.stateful import replay_with_state
 
 STAGED = ["event_id", "magnitude", "magnitude_type", "place", "event_time", "latitude", "longitude",
@@ -319,7 +326,78 @@ def reports_merged_sql() -> str:
     return star + "\nUNION ALL\n".join(parts)
 
 
+def _fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's pages as five fetches: one that declares its total, one
+    that declares more than there is, one with a failing page, one that
+    declares half, one that declares nothing."""
+    pages = fixture_pages(spark, sf_dir).withColumns({
+        "fetch_id": F.col("page_id") % 5, "page_no": F.floor(F.col("page_id") / 5).cast("bigint")})
+    pages = written(pages, "fetches")
+    total = pages.groupBy("fetch_id").agg(
+        F.sum(F.get_json_object("value", "$.metadata.count").cast("bigint")).alias("total"))
+    kind, count = F.col("fetch_id"), '"count":[0-9]+'
+    declared = F.when(kind == 1, F.col("total") + 1000).when(kind == 3, F.floor(F.col("total") / 2)) \
+        .otherwise(F.col("total"))
+    text = (F.when((kind == 2) & (F.col("page_no") == 1), F.lit("<html>"))
+            .when(kind == 4, F.regexp_replace("value", count, ""))
+            .otherwise(F.regexp_replace("value", F.lit(count), F.concat(F.lit('"count":'), declared.cast("string")))))
+    parsed = pages.join(total, "fetch_id").select("page_id", text.alias("value"), "fetch_id", "page_no")
+    return parse_pages(parsed, ("fetch_id", "page_no"))
+
+
+def fetch_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounting over whole fetches, without a cap and with one."""
+    parsed = _fetches(spark, sf_dir)
+    cols = ["fetch_id", "page_no", "feature_count", "declared_count", "fetched", "kept", "state"]
+    return fetch_accounting(parsed).select(F.lit(0).alias("cap"), *cols).unionByName(
+        fetch_accounting(parsed, 150).select(F.lit(150).alias("cap"), *cols))
+
+
+FETCH_ACCOUNTS = f"""
+WITH fx AS ({oracle.FIXTURE}),
+p AS (SELECT seq // 100 % 5 AS fetch_id, seq // 100 // 5 AS page_no, count(*) AS n FROM fx GROUP BY ALL),
+t AS (SELECT fetch_id, sum(n) AS total FROM p GROUP BY fetch_id),
+d AS (SELECT p.fetch_id, page_no, fetch_id = 2 AND page_no = 1 AS bad,
+             CASE WHEN fetch_id = 2 AND page_no = 1 THEN 0 ELSE n END AS n,
+             CASE fetch_id WHEN 1 THEN total + 1000 WHEN 3 THEN total // 2 WHEN 4 THEN 0
+                           ELSE CASE WHEN fetch_id = 2 AND page_no = 1 THEN 0 ELSE total END END AS declared
+      FROM p JOIN t USING (fetch_id)),
+r AS (SELECT cap, d.*, sum(n) OVER (PARTITION BY cap, fetch_id ORDER BY page_no) AS fetched
+      FROM d, (SELECT unnest([0, 150]) AS cap)),
+e AS (SELECT *, CASE WHEN bad THEN 'failed' WHEN n = 0 THEN 'empty' WHEN cap > 0 AND fetched >= cap THEN 'capped'
+                     WHEN fetched >= declared THEN 'complete' END AS ending FROM r),
+l AS (SELECT *, coalesce(page_no > min(page_no) FILTER (WHERE ending IS NOT NULL)
+                         OVER (PARTITION BY cap, fetch_id), false) AS behind FROM e)
+SELECT CAST(cap AS INTEGER) AS cap, fetch_id, page_no, n AS feature_count, CAST(declared AS BIGINT) AS declared_count,
+       CAST(fetched AS BIGINT) AS fetched,
+       CAST(CASE WHEN behind THEN 0 WHEN cap = 0 THEN n ELSE greatest(0, least(n, cap - (fetched - n))) END AS BIGINT)
+         AS kept,
+       CASE WHEN behind THEN 'surplus' ELSE coalesce(ending, 'read') END AS state
+FROM l"""
+
+
+def batch_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of a batch in which every seventh event comes three times, with
+    other documents."""
+    feats = fixture_features(spark, sf_dir, extra=", event_id AS seq")
+    other = [feats.filter("seq % 7 = 0").withColumn("feature", F.regexp_replace(
+        "feature", '"sig":[0-9]+', f'"sig":{s}')) for s in ("5000", "0")]
+    pipe = _pipeline(spark, "first-wins")
+    pipe.ingest_batch(feats.unionByName(other[0]).unionByName(other[1]).select("feature"), "b")
+    raw = pipe.store.read("raw_events")
+    return raw.select("event_id", F.get_json_object("raw_data", "$.properties.sig").cast("int").alias("significance"))
+
+
+BATCH_FIRST_WINS = f"""
+WITH fx AS ({oracle.FIXTURE}),
+{oracle.VALIDATED}
+SELECT event_id, CAST(CASE WHEN seq % 7 = 0 THEN 0 ELSE significance END AS INTEGER) AS significance
+FROM v WHERE error_message IS NULL"""
+
+
 QUERIES = {
+    "fetch_accounting": fetch_accounts,
+    "batch_first_wins": batch_first_wins,
     "reports_ranked": reports_ranked,
     "reports_merged": reports_merged,
     "staging_bucketed": staging_bucketed,
@@ -337,5 +415,7 @@ def statements() -> dict[str, str]:
         "violations_delta": VIOLATIONS_DELTA,
         "catalog_top_n": CATALOG_TOP_N,
         "reports_ranked": reports_ranked_sql(),
+        "fetch_accounting": FETCH_ACCOUNTS,
+        "batch_first_wins": BATCH_FIRST_WINS,
         "reports_merged": reports_merged_sql(),
     }

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Keys met twice whose broadcast is hinted.
+BROADCAST_KEYS = 500_000
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str],
                   payload: list[str] | None = None) -> DataFrame:
@@ -31,3 +34,27 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str],
     best = F.min(F.struct(*ordered, *[F.col(c) for c in rest])).alias("_w")
     return (df.groupBy(*keys).agg(best)
             .select(*keys, *[F.col(f"_w.{in_order.get(c, c)}").alias(c) for c in payload]))
+
+
+def first_per_key_sparse(df: DataFrame, keys: list[str], order: list[Column | str],
+                         payload: list[str]) -> DataFrame:
+    """:func:`first_per_key` where few keys occur twice.
+
+    Only the keys are counted; rows of keys met once, nearly all, are neither
+    aggregated nor shuffled with what they carry.  The keys met twice are
+    broadcast up to a counted number and shuffled beyond it.  ``df`` is read
+    twice, so it should be persisted or cheap; null keys are keys.
+    """
+    named = {k: f"_k{i}" for i, k in enumerate(keys)}
+    twice = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+             .select(*[F.col(k).alias(a) for k, a in named.items()])).persist()
+    n = twice.count()
+    if not n:
+        twice.unpersist()
+        return df.select(*keys, *payload)
+    side = F.broadcast(twice) if n <= BROADCAST_KEYS else twice
+    same = F.lit(True)
+    for k, a in named.items():
+        same &= df[k].eqNullSafe(side[a])
+    again = first_per_key(df.join(side, same, "left_semi"), keys, order, payload)
+    return df.join(side, same, "left_anti").select(*keys, *payload).unionByName(again)

@@ -72,3 +72,20 @@ def newest(df: DataFrame, time: str, ties: list[Column | str], n: int) -> DataFr
     if wanted < there:
         level = numbered(level, ties, "_rank").filter(F.col("_rank") <= wanted).drop("_rank")
     return above.unionByName(level)
+
+
+def running_sum(df: DataFrame, key: str, position: str, value: str, name: str,
+                block: int = 100_000) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the same
+    ``key`` up to this ``position`` (a bigint, unique within the key).
+
+    Sums run within blocks of positions and the blocks' sums are added, so a
+    key of any length is no single group.
+    """
+    rows = df.withColumn("_block", F.floor(F.col(position) / block))
+    blocks = rows.groupBy(key, "_block").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(key, "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(key, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn(name, F.sum(value).over(inside)).join(offsets, [key, "_block"])
+            .withColumn(name, F.col(name) + F.col("_before")).drop("_block", "_before"))
