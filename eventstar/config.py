@@ -30,6 +30,8 @@ class PipelineConfig:
     staging_buckets: int | None = None
     # Keep the partial states of Q1-Q5 per load, so that reports read no facts.
     report_states: bool = False
+    # Loads appear in all tables at once, by a manifest; the fact has month folders.
+    publish_atomically: bool = False
     max_errors: int | None = DEFAULT_MAX_ERRORS
     on_violation: str = "quarantine"
     # Paths of the feature document that must hold a value.
@@ -46,3 +48,5 @@ class PipelineConfig:
             raise ValueError("on_violation must be 'quarantine' or 'fail'")
         if self.surrogate_keys not in ("hash", "dense"):
             raise ValueError("surrogate_keys must be 'hash' or 'dense'")
+        if self.publish_atomically and self.staging_buckets:
+            raise ValueError("publish_atomically and staging_buckets cannot be combined")

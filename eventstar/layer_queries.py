@@ -16,7 +16,7 @@ from eventstar.operators.validate import error_rows, split, validate
 from eventstar.operators.violations import violations
 from eventstar.plans import analytics
 from eventstar.plans.layers import Batch, build_layers
-from eventstar.plans.pipeline import Pipeline
+from eventstar.plans.pipeline import Pipeline, layer_counts_frame
 from eventstar.session import scratch_path, written
 from eventstar.sources.catalog import catalog_window
 from eventstar.sources.fixture import (
@@ -395,7 +395,112 @@ SELECT event_id, CAST(CASE WHEN seq % 7 = 0 THEN 0 ELSE significance END AS INTE
 FROM v WHERE error_message IS NULL"""
 
 
+class Stopped(RuntimeError):
+    """A run that ends between two tables."""
+
+
+def _stop_at(pipe: Pipeline, table: str, load_id: str) -> None:
+    """One transformation run whose write of ``table`` fails."""
+    write = pipe.store.write
+
+    def failing(df: DataFrame, name: str, load: str) -> None:
+        if name == table:
+            raise Stopped(table)
+        write(df, name, load)
+
+    pipe.store.write = failing
+    try:
+        pipe.run_transformations(load_id)
+    except Stopped:
+        pass
+    finally:
+        del pipe.store.write
+
+
+def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a load, after one that stopped between the
+    dimensions and the fact, and after that was done again."""
+    pipe = _pipeline(spark, "published", publish_atomically=True)
+    root = pipe.store.root
+    (one, first), (two, second) = halves(spark, sf_dir)
+    out = None
+
+    def look(stage: str) -> None:
+        nonlocal out
+        tables = Pipeline(spark, root, pipe.config).tables()          # a reader of its own
+        rows = written(layer_counts_frame(tables), "counts").filter("layer <> 'raw_events'")
+        rows = rows.select(F.lit(stage).alias("stage"), "layer", "row_count")
+        out = rows if out is None else out.unionByName(rows)
+
+    pipe.ingest_batch(first, one)
+    pipe.run_transformations(one)
+    look("first")
+    pipe.ingest_batch(second, two)
+    _stop_at(pipe, "fact_events", two)
+    look("stopped")
+    Pipeline(spark, root, pipe.config).run_transformations(two)       # another process takes over
+    look("resumed")
+    return out
+
+
+PUBLISH_ATOMIC = HALVES + """,
+seen AS (SELECT 'first' AS stage, * FROM staged WHERE early UNION ALL SELECT 'stopped', * FROM staged WHERE early
+         UNION ALL SELECT 'resumed', * FROM staged)
+SELECT stage, 'staging_events' AS layer, count(*) AS row_count FROM seen GROUP BY stage
+UNION ALL SELECT stage, 'fact_events', count(*) FROM seen GROUP BY stage
+UNION ALL SELECT stage, 'dim_time', count(DISTINCT CAST(event_time AS DATE)) FROM seen GROUP BY stage
+UNION ALL SELECT stage, 'dim_location', count(DISTINCT (latitude, longitude, coalesce(place, ''))) FROM seen GROUP BY stage
+UNION ALL SELECT stage, 'dim_event_type', count(DISTINCT magnitude_type) FROM seen GROUP BY stage"""
+
+
+def compaction_keeps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 over a fact in month folders: three loads, the first two compacted
+    before the third came and all after it; the rows by what they were read
+    from, with the number of load folders that readers see."""
+    pipe = _pipeline(spark, "compacted", publish_atomically=True)
+    feats = _spread(spark, sf_dir)
+    out = None
+
+    def look(stage: str) -> None:
+        nonlocal out
+        star = Pipeline(spark, pipe.store.root, pipe.config).star()
+        top = analytics.q6_high_impact(star["fact"], star["dim_time"], star["dim_location"],
+                                       star["dim_event_type"], as_of=dt.date(2024, 12, 1))
+        loads = star["fact"].select("load_id").distinct().agg(F.count(F.lit(1)).alias("n_loads"))
+        rows = written(top.select("event_id", "magnitude", "significance").join(loads), "top")
+        rows = rows.select(F.lit(stage).alias("stage"), "*")
+        out = rows if out is None else out.unionByName(rows)
+
+    for k in range(3):
+        pipe.ingest_batch(feats.filter(F.col("seq") % 3 == k).select("feature"), f"b{k}")
+        pipe.run_transformations(f"b{k}")
+        if k == 1:
+            look("two loads")
+            pipe.store.compact("fact_events")
+            look("compacted")
+    look("third load")
+    pipe.store.compact("fact_events", 2)
+    look("compacted again")
+    return out
+
+
+COMPACTION_KEEPS_ROWS = f"""
+WITH fx AS ({SPREAD_FIXTURE}),
+{oracle.VALIDATED},
+f AS (SELECT * FROM v WHERE error_message IS NULL AND magnitude IS NOT NULL AND magnitude_type IS NOT NULL
+      AND magnitude >= 5 AND make_timestamp(time_ms * 1000) >= TIMESTAMP '2024-11-01 00:00:00'),
+s AS (SELECT 'two loads' AS stage, 2 AS n_loads, f.* FROM f WHERE seq % 3 < 2
+      UNION ALL SELECT 'compacted', 1, f.* FROM f WHERE seq % 3 < 2
+      UNION ALL SELECT 'third load', 2, f.* FROM f UNION ALL SELECT 'compacted again', 1, f.* FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY magnitude DESC, significance DESC, event_id) AS rank
+      FROM s)
+SELECT stage, event_id, CAST(magnitude AS DOUBLE) AS magnitude, significance, CAST(n_loads AS BIGINT) AS n_loads
+FROM r WHERE rank <= 20"""
+
+
 QUERIES = {
+    "publish_atomic": publish_atomic,
+    "compaction_keeps_rows": compaction_keeps_rows,
     "fetch_accounting": fetch_accounts,
     "batch_first_wins": batch_first_wins,
     "reports_ranked": reports_ranked,
@@ -416,6 +521,8 @@ def statements() -> dict[str, str]:
         "catalog_top_n": CATALOG_TOP_N,
         "reports_ranked": reports_ranked_sql(),
         "fetch_accounting": FETCH_ACCOUNTS,
+        "publish_atomic": PUBLISH_ATOMIC,
+        "compaction_keeps_rows": COMPACTION_KEEPS_ROWS,
         "batch_first_wins": BATCH_FIRST_WINS,
         "reports_merged": reports_merged_sql(),
     }

@@ -195,6 +195,8 @@ def q6_high_impact(fact: DataFrame, dim_time: DataFrame, dim_location: DataFrame
     day = F.lit(as_of) if as_of is not None else F.current_date()
     since = F.timestamp_add("DAY", F.lit(-RECENT_DAYS), day.cast("timestamp_ntz"))
     f = fact.filter((F.col("magnitude") >= F.lit(MAJOR)) & (F.col("event_time") >= since))
+    if "event_month" in fact.columns:                    # a fact in month folders opens those only
+        f = f.filter(F.col("event_month") >= F.date_format(since, "yyyy-MM"))
     j = (f.join(F.broadcast(dim_time.select("time_key", "date_actual")), "time_key")
          .join(dim_location.select("location_key", "place", "region", "depth_category"),
                "location_key")

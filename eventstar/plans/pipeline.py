@@ -15,6 +15,7 @@ from eventstar.config import PipelineConfig
 from eventstar.operators.violations import violations
 from eventstar.plans import analytics, densekeys, staging, warehouse
 from eventstar.plans.ingest import run_ingestion
+from eventstar.plans.publish import PublishedStore
 from eventstar.plans.store import LayerStore
 from eventstar.sources.catalog import catalog_window, lookback_window
 from eventstar.sources.pages import explode_features, page_errors, parse_pages
@@ -59,7 +60,8 @@ class Pipeline:
     def __init__(self, spark: SparkSession, root: str, config: PipelineConfig = PipelineConfig()):
         self.spark = spark
         buckets = {"stg_events": ("event_id", config.staging_buckets)} if config.staging_buckets else {}
-        self.store = LayerStore(spark, root, buckets)
+        self.store = PublishedStore(spark, root) if config.publish_atomically else \
+            LayerStore(spark, root, buckets)
         self.config = config
 
     # -- ingestion ---------------------------------------------------------
@@ -145,8 +147,10 @@ class Pipeline:
         simply redone by the next one.
         """
         load_id = self._open(load_id or str(uuid.uuid4()))
+        self.store.begin(load_id)
         batches = self.load_staging(load_id)
         loads = self.load_warehouse(load_id)
+        self.store.publish(load_id)
         self._close(load_id, batches, loads)
         return self.layer_counts()
 

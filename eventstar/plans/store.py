@@ -27,7 +27,7 @@ LOAD_ID = "load_id"
 _ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
 
 
-def _folder(load_id: str) -> str:
+def folder_of(load_id: str) -> str:
     name = "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 0x20 else c for c in load_id)
     return f"{LOAD_ID}={name}"
 
@@ -59,8 +59,14 @@ class LayerStore:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
 
+    def begin(self, load_id: str) -> None:
+        """A transformation run starts to write ``load_id``."""
+
+    def publish(self, load_id: str) -> None:
+        """The run has written all tables of ``load_id``."""
+
     def has(self, table: str, load_id: str) -> bool:
-        return self.exists(os.path.join(self.path(table), _folder(load_id)))
+        return self.exists(os.path.join(self.path(table), folder_of(load_id)))
 
     def read(self, table: str, exclude_load: str | None = None) -> DataFrame:
         """The table (all loads, or all but ``exclude_load``); an absent
@@ -83,7 +89,7 @@ class LayerStore:
         if table in self.buckets:
             return self._write_buckets(df.select(*cols), table, load_id)
         (df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(os.path.join(self.path(table), _folder(load_id))))
+         .parquet(os.path.join(self.path(table), folder_of(load_id))))
 
     def _cataloged(self, table: str) -> str:
         """The name of a bucketed table; registered if it is not yet."""
