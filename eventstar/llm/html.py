@@ -7,11 +7,15 @@ all visible text with block spacing, list markers and aligned table cells.
 
 Not visible: comments, head, script, style, template, noscript (scripting is
 taken as on), title, iframe, noembed, noframes, datalist, audio, video, canvas,
-and elements with ``hidden``, ``display:none`` or ``visibility:hidden``, a
-``dialog`` without ``open``, with all they contain; in svg all but ``text`` and
-``foreignObject``, and these within the elements of SVG_INVISIBLE; in math
-annotations and ``mphantom``.  Nothing is loaded, so an object shows its
-fallback.
+``rp``, and elements with ``hidden`` or ``display:none``, a ``dialog`` without
+``open``, with all they contain; text under ``visibility:hidden`` or
+``collapse``, unless an element within is ``visible`` again; in svg all but
+``text`` and ``foreignObject``, and these within the elements of SVG_INVISIBLE;
+in math annotations and ``mphantom``.  Nothing is loaded, so an object shows
+its fallback.
+
+Work grows with the page, however deep it nests: open elements are found by
+name, not by walking the stack.
 
 Defined results: null or empty html renders as empty text; plain text renders
 as itself with white space collapsed; a tag that never ends drops the rest, as
@@ -22,8 +26,11 @@ columns other than ``page_id`` and ``html`` are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +42,7 @@ from eventstar.llm.common import arrow_map, slices, table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
 INVISIBLE = frozenset("head script style template noscript title iframe noembed noframes "
-                      "datalist audio video canvas".split())
+                      "datalist audio video canvas rp".split())
 SVG_INVISIBLE = frozenset("defs desc metadata title style script symbol clippath mask marker "
                           "pattern".split())
 MATH_INVISIBLE = frozenset("annotation annotation-xml mphantom".split())
@@ -88,7 +95,9 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^ \t\n\r\f>/]*+)("
 _ATTR = re.compile(r"([^ \t\n\r\f>/][^ \t\n\r\f>/=]*+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+"
                    r"(?:\"([^\"]*+)\"|'([^']*+)'|([^ \t\n\r\f>\"'][^ \t\n\r\f>]*+))?+)?+")
 _BLANKS = str.maketrans("\t\n\r\f", "    ")
-_HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+# Strings, comments and parentheses of a style, which may hold ";" and ":".
+_STYLE_OPAQUE = re.compile(r"\"[^\"]*+\"|'[^']*+'|/\*.*?\*/|\([^)]*+\)", re.S)
+_COMMENT_END = re.compile(r"--!?>")
 
 
 def scan(html: str, foreign: Callable[[], bool] = lambda: False) -> Iterator[tuple[str, str, str]]:
@@ -123,8 +132,11 @@ def scan(html: str, foreign: Callable[[], bool] = lambda: False) -> Iterator[tup
                 yield "text", html[at:], ""
                 return
         elif html.startswith("<!--", lt):
-            end = html.find("-->", lt + 4)
-            at = n if end < 0 else end + 3
+            if html.startswith((">", "->"), lt + 4):       # <!--> and <!---> are whole comments
+                at = html.index(">", lt) + 1
+            else:
+                end = _COMMENT_END.search(html, lt + 4)
+                at = end.end() if end else n
         elif html.startswith("<![CDATA[", lt) and foreign():
             end = html.find("]]>", lt + 9)
             yield "text", html[lt + 9:end if end >= 0 else n].replace("&", "&amp;"), ""
@@ -146,6 +158,19 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
+def declared(style: str) -> dict[str, str]:
+    """The values of ``display`` and ``visibility`` that a style ends up with."""
+    out: dict[str, tuple[bool, str]] = {}
+    if "display" in style.lower() or "visibility" in style.lower():
+        for part in _STYLE_OPAQUE.sub(" ", style).lower().split(";"):
+            name, colon, value = part.partition(":")
+            value, _, weight = value.partition("!")
+            key, important = name.strip(), weight.strip() == "important"
+            if colon and key in ("display", "visibility") and important >= out.get(key, (False, ""))[0]:
+                out[key] = (important, value.strip())
+    return {key: value for key, (_, value) in out.items()}
+
+
 def self_closing(text: str) -> bool:
     """Whether attributes end with a slash that is not part of a value."""
     return text.endswith("/") and all(m.end() < len(text) for m in _ATTR.finditer(text))
@@ -229,7 +254,7 @@ class Grid:
             self.new_row()
         row, col = self.rows[-1], 0
         if row:
-            last = max(row)
+            last = next(reversed(row))              # columns ascend
             col = last + row[last][1]
         while col in self.taken:
             col += 1
@@ -249,18 +274,34 @@ class Grid:
         self.covered_later = []
 
     def lines(self) -> list[str]:
-        """Columns padded to their widest cell, two blanks between them."""
+        """Columns padded to their widest cell, two blanks between them; a
+        spanning cell lies over its columns, the last of which is widened if
+        it needs more."""
         rows = [r for r in self.rows if any(cell for cell, _ in r.values())]
         columns = sorted({c for r in rows for c in r})
-        width = {c: max((len(x) for r in rows if c in r and r[c][1] == 1 for x in r[c][0]),
-                        default=0) for c in columns}
+        at = {c: i for i, c in enumerate(columns)}
+        width = [0] * len(columns)
+        spans = []
+        for r in rows:
+            for c, (cell, span) in r.items():
+                end = bisect_left(columns, c + span)
+                longest = max(map(len, cell), default=0)
+                if end - at[c] == 1:
+                    width[at[c]] = max(width[at[c]], longest)
+                else:
+                    spans.append((end - at[c], at[c], end, longest))
+        for _, start, end, longest in sorted(spans):
+            width[end - 1] += max(0, longest - sum(width[start:end]) - 2 * (end - start - 1))
         out = list(self.caption)
         for r in rows:
             for k in range(max(len(cell) for cell, _ in r.values())):
-                parts = []
-                for c in columns:
-                    cell, span = r.get(c, ([], 1))
-                    parts.append((cell[k] if k < len(cell) else "").ljust(width[c]))
+                parts, i = [], 0
+                while i < len(columns):
+                    cell, span = r.get(columns[i], ([], 1))
+                    end = max(i + 1, bisect_left(columns, columns[i] + span))
+                    parts.append((cell[k] if k < len(cell) else "").ljust(
+                        sum(width[i:end]) + 2 * (end - i - 1)))
+                    i = end
                 out.append("  ".join(parts).rstrip())
         return out
 
@@ -352,17 +393,30 @@ class Renderer:
                 flow.blank = True
 
 
+class Element(NamedTuple):
+    """An open element."""
+
+    name: str                                       # empty: ended while inner ones stay open
+    attrs: dict[str, str]
+    unseen: bool                                    # not rendered, with all it contains
+    kind: str                                       # "" for html, else the kind of foreign content
+    seen: bool                                      # its own text is visible
+
+
 def render(html: str | None) -> str:
     """The visible text of a page."""
     if not html:
         return ""
     out = Renderer()
-    # name, attributes, invisible, "" for html or the kind of foreign content
-    stack: list[tuple[str, dict[str, str], bool, str]] = []
+    stack: list[Element] = []
+    places: dict[str, list[int]] = defaultdict(list)       # name -> its places in the stack
     hidden = 0
 
     def kind_now() -> str:
-        return stack[-1][3] if stack else ""
+        return stack[-1].kind if stack else ""
+
+    def seen_now() -> bool:
+        return not hidden and (not stack or stack[-1].seen)
 
     def kind_of(name: str, outer: str) -> str:
         if name in ("svg", "math"):
@@ -379,32 +433,48 @@ def render(html: str | None) -> str:
         nonlocal hidden
         outer = kind_now()
         apart(name, outer)
+        style = declared(attrs["style"]) if "style" in attrs else {}
         unseen = (name in INVISIBLE or (name in MATH_INVISIBLE if outer == "math" else
-                                        bool(outer) and name in SVG_INVISIBLE) or "hidden" in attrs or (name == "dialog" and "open" not in attrs)
-                  or ("style" in attrs and bool(_HIDDEN_STYLE.search(attrs["style"]))))
+                                        bool(outer) and name in SVG_INVISIBLE) or "hidden" in attrs
+                  or (name == "dialog" and "open" not in attrs) or style.get("display") == "none")
+        seen = not stack or stack[-1].seen
+        if style.get("visibility") in ("hidden", "collapse", "visible"):
+            seen = style["visibility"] == "visible"
         if not hidden and not unseen:
             out.open(name, attrs)
-        stack.append((name, attrs, unseen, kind_of(name, outer)))
+        places[name].append(len(stack))
+        stack.append(Element(name, attrs, unseen, kind_of(name, outer), seen))
         hidden += unseen
 
     def pop() -> None:
         nonlocal hidden
-        name, attrs, unseen, _ = stack.pop()
-        hidden -= unseen
-        if not hidden and not unseen:
-            out.close(name, attrs)
-        apart(name, kind_now())
+        e = stack.pop()
+        places[e.name].pop()
+        hidden -= e.unseen
+        while stack and not stack[-1].name:                # ended before
+            stack.pop()
+        if not hidden and not e.unseen:
+            out.close(e.name, e.attrs)
+        apart(e.name, kind_now())
+
+    def end_alone(i: int) -> None:
+        """Take the i-th element out; what was opened inside stays open."""
+        nonlocal hidden
+        e = stack[i]
+        places[e.name].pop()
+        hidden -= e.unseen
+        stack[i] = Element("", {}, False, stack[i - 1].kind if i else "", e.seen)
+
+    def last(names: Iterable[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     def find(names: tuple[str, ...], stops: frozenset | tuple) -> int:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stops:
-                return -1
-        return -1
+        """The innermost of ``names`` that no stop lies within, or -1."""
+        i = last(names)
+        return i if i >= 0 and i >= last(stops) else -1
 
     def close_to(i: int) -> None:
-        while len(stack) > i:
+        while len(stack) > i and stack:
             pop()
 
     def leave_foreign() -> None:
@@ -412,11 +482,11 @@ def render(html: str | None) -> str:
             pop()
 
     for kind, name, rest in scan(html, lambda: bool(kind_now())):
-        top = stack[-1][0] if stack else ""
+        top = stack[-1].name if stack else ""
         if kind == "text":
             if top == "head" and name.strip(" \t\n\r\f"):
                 pop()
-            if not hidden and kind_now() != "svg":
+            if seen_now() and kind_now() != "svg":
                 out.text(name)
             continue
         if kind == "start":
@@ -424,11 +494,11 @@ def render(html: str | None) -> str:
                 leave_foreign()
             if top == "head" and name not in HEAD_ONLY:
                 pop()
-            if name in ("html", "body") and any(e[0] == name for e in stack):
+            if name in ("html", "body") and places.get(name):
                 continue
             if name in CLOSE_P and (i := find(("p",), SCOPE)) >= 0:
                 close_to(i)
-            if name in HEADINGS and stack and stack[-1][0] in HEADINGS:
+            if name in HEADINGS and stack and stack[-1].name in HEADINGS:
                 pop()
             if name in IMPLIED:
                 ends, stops = IMPLIED[name]
@@ -439,7 +509,8 @@ def render(html: str | None) -> str:
                     push("tr", {})
             attrs = attributes(rest) if rest and rest != "/" else {}
             if name in VOID:
-                if not hidden and "hidden" not in attrs:
+                if seen_now() and "hidden" not in attrs and declared(attrs.get("style", "")).get(
+                        "display") != "none":
                     out.open(name, attrs)
                 continue
             outer = kind_now()
@@ -467,12 +538,10 @@ def render(html: str | None) -> str:
         else:
             # an inline element ends alone: blocks opened inside it stay open
             i = find((name,), SCOPE)
-            if i >= 0:
-                if i == len(stack) - 1:
-                    pop()
-                else:
-                    hidden -= stack[i][2]
-                    del stack[i]
+            if i == len(stack) - 1 >= 0:
+                pop()
+            elif i >= 0:
+                end_alone(i)
     close_to(0)
     lines = out.flows[0].finish()
     return "\n".join(lines).strip("\n")

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from eventstar.llm.html import extract_text, render
@@ -62,6 +64,40 @@ def test_svg_math_and_object(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<table><tr><th colspan=2>A very long header spanning<th>C<tr><td>a<td>b<td>c</table>",
+     "A very long header spanning  C\na  b                         c"),
+    ("<table><tr><td colspan=3>x<td>y<tr><td>aaa<td>b<td>c<td>d</table>", "x          y\naaa  b  c  d"),
+    ("<table><tr><td>a<td colspan=9>wide<tr><td>b<td>c</table>", "a  wide\nb  c"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d</table>", "a  b\n   c  d"),
+    ("a<!-- a --!> b --> c", "a b --> c"), ("x<!-->y<!--->z<!--q-->", "xyz"), ("x<!--->y", "xy"),
+    ("<div style='visibility:hidden'>a<b style='Visibility: visible'>b</b>c</div>d", "b\nd"),
+    ("<div style='visibility:hidden'><p>a<p hidden style='visibility:visible'>b</div>c", "c"),
+    ("<p style=\"background:url('display:none')\">shown", "shown"),
+    ("<p style='content:\";display:none\"'>shown", "shown"), ("<p style='x-display:none'>shown", "shown"),
+    ("<p style='display:none;display:block'>shown", "shown"),
+    ("<p style='display:none !important;display:block'>x</p>y", "y"),
+    ("<ruby>k<rp>(</rp><rt>an</rt><rp>)</rp></ruby>", "kan"),
+    ("<b>1<i>2</b>3</i>4", "1234"), ("<a><div>1</a>2</div>3", "12\n3"),
+])
+def test_spans_comments_and_styles(html, text):
+    assert render(html) == text
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 64000 + "x", "<span>" * 64000 + "<p>a</p>" * 64000,
+    "<p><button>" + "<span>" * 32000 + "<div>" * 32000, "<b><i>" * 32000 + "</b></i>" * 32000,
+    "<a><div>" * 32000 + "</a>" * 32000, "<table><tr>" + "<td>a" * 64000, "<html>" * 64000])
+def test_64000_elements_take_seconds(html):
+    least = []
+    for n in (len(html) // 4, len(html)):
+        start = time.process_time()
+        render(html[:n])
+        least.append(time.process_time() - start)
+    # four times the page, about four times the work (a walk of the stack: sixteen times)
+    assert least[1] < 10 and least[1] < 9 * least[0] + 0.5
+
+
 def test_deep_and_long_pages_are_linear():
     assert render("<div>" * 20000 + "x") == "x"
     assert render("<b" * 50000) == ""
