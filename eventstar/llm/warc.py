@@ -3,11 +3,12 @@
 Headers (id, digest, size) are shuffled to find, for each payload digest,
 the record that stays a ``response``; the others become ``revisit`` records
 that refer to it and carry no payload.  The rows then join the narrow list of
-revisits; once that outgrows the automatic broadcast, payloads are shuffled
-too.  Archives are written by Spark's text
+revisits, which is written, counted and broadcast; only beyond BROADCAST_ROWS
+of them are payloads shuffled too.  Archives are written by Spark's text
 writer, whose record separator is the WARC one (bytes pass unchanged), so any
-store that Spark reaches will do; they are read back as binary files and
-parsed record by record by Content-Length.
+store that Spark reaches will do; a file holds as many records as stay below
+ARCHIVE_BYTES even if all were as long as the longest.  They are read back as
+binary files and parsed record by record by Content-Length.
 
 Defined results: null html is an empty payload; payloads of fewer than
 ``min_bytes`` bytes are always responses; the smallest id of a payload is the
@@ -28,13 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventstar.llm.common import arrow_map, table
+from eventstar.llm.common import arrow_map, materialize, small_side, table
 from eventstar.session import scratch_path
 
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
+#: Bytes of a file, below what a binary cell can hold, and of a record's headers.
+ARCHIVE_BYTES, HEADER_BYTES = 1 << 28, 16 << 10
+
 RECORDS = ("page_id bigint, url string, record_type string, payload_bytes bigint, "
            "payload_digest string, refers_to bigint, payload binary")
 
@@ -78,6 +82,7 @@ def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
                 .filter(~F.col("page_id").eqNullSafe(F.col("first")) | ~F.col("has"))
                 .select(F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"),
                         "first").distinct())
+    revisits = small_side(materialize(revisits, "revisits"))
     joined = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("r_id"))
                        & (F.col("payload_digest") == F.col("r_digest")), "left")
     again = F.col("first").isNotNull()
@@ -128,8 +133,11 @@ def record_bytes(date: str) -> Column:
 
 
 def write_archives(records: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
-                   records_per_file: int = 4000) -> None:
-    """Gzipped WARC files of at most ``records_per_file`` records each."""
+                   records_per_file: int = 4000, longest: int = 0) -> None:
+    """Gzipped WARC files of at most ``records_per_file`` records each, fewer if
+    payloads of up to ``longest`` bytes could make a file too long to be read
+    back whole (ARCHIVE_BYTES; a single longer record is a file of its own)."""
+    records_per_file = max(1, min(records_per_file, ARCHIVE_BYTES // (longest + HEADER_BYTES)))
     (records.select(record_bytes(date).alias("value")).write
      .option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", records_per_file).text(path))
@@ -224,7 +232,9 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, deduplicated by payload, read back."""
     path = scratch_path(spark, "warc")
-    write_archives(resolve_revisits(page_records(table(spark, sf_dir, "pages"))), path)
+    pages = table(spark, sf_dir, "pages")
+    longest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    write_archives(resolve_revisits(page_records(pages)), path, longest=longest)
     return read_archives(spark, path, payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 

@@ -81,7 +81,7 @@ def test_archives_read_back_can_be_resolved_again(spark):
 
 
 def test_records_follow_the_format(spark):
-    pages = spark.createDataFrame(ROWS[:1], SCHEMA)
+    pages = spark.createDataFrame(ROWS[:1], SCHEMA).coalesce(1)           # payloads are not dealt anew
     path = written(spark, W.resolve_revisits(W.page_records(pages)))
     (file,) = glob.glob(path.removeprefix("file:") + "/*.gz")
     raw = gzip.open(file).read()
@@ -104,3 +104,19 @@ def test_broken_archives_raise():
 def test_empty_table(spark):
     pages = spark.createDataFrame([], SCHEMA)
     assert W.read_archives(spark, written(spark, W.resolve_revisits(W.page_records(pages)))).count() == 0
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(W, "ARCHIVE_BYTES", 100_000)
+    pages = spark.createDataFrame([(i, "u", f"{i:05d}" * 4000, "x") for i in range(12)], SCHEMA).coalesce(1)
+    path = scratch_path(spark, "warc-bytes")
+    W.write_archives(W.resolve_revisits(W.page_records(pages)), path, longest=20_000)
+    sizes = [len(gzip.decompress(open(f, "rb").read())) for f in glob.glob(f"{path}/*.gz")]
+    assert len(sizes) == 6 and max(sizes) < 100_000
+    assert W.read_archives(spark, path).count() == 12
+
+
+def test_payloads_stay_where_they_are(spark):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    plan = W.resolve_revisits(W.page_records(pages))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
