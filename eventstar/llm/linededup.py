@@ -12,7 +12,9 @@ removed does not matter, so the result does not depend on the order of work.
   fixed order is exact; rarity only keeps the lists short.
 * Of each class the prefix that a similar set must meet is joined on its
   tokens, with length and positional filters in the join; the smaller set of a
-  pair needs only its shorter index prefix.
+  pair needs only its shorter index prefix.  Beside them, a parity sketch of
+  128 bits (each token flips one) bounds the difference of two sets from below
+  and so their overlap from above: exact, as tokens in common cancel out.
 * Candidates are verified on their full token sets.
 
 Only DataFrame operations are used.  Defined results: null and empty texts
@@ -96,6 +98,15 @@ def _class_keys() -> list[Column]:
     return [F.xxhash64("tokens").alias("c1"), F.xxhash64(F.lit(1), "tokens").alias("c2")]
 
 
+def _sketch(lane: int) -> Column:
+    """64 bits of the parity sketch of ``tokens``: the lane's tokens flip one
+    bit each, chosen by low bits of their hash."""
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))      # noqa: E731
+    return F.aggregate("tokens", zero, lambda a, t: a.bitwiseXOR(
+        F.when(t.bitwiseAND(F.lit(64)) == (64 if lane else 0), bit(t)).otherwise(zero)))
+
+
 def rarity(docs: DataFrame) -> Column:
     """Logarithmic counts of all shingles by hash bucket: a constant array of
     BUCKETS numbers, whatever the size of the corpus."""
@@ -112,8 +123,8 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def prefixes(docs: DataFrame, ranks: Column) -> DataFrame:
-    """doc_id, text_key, line_no, c1, c2, size, prefix of every line with
-    words.  The prefix holds the rarest tokens."""
+    """doc_id, text_key, line_no, c1, c2, size, prefix, s0, s1 (the sketch) of
+    every line with words.  The prefix holds the rarest tokens."""
     lines = with_tokens(lines_of(docs), ranks).filter(F.size("tokens") > 0)
     n = F.size("tokens")
     # a similar set shares ceil(0.8 n) tokens at least, so one of the first n - that + 1
@@ -121,28 +132,30 @@ def prefixes(docs: DataFrame, ranks: Column) -> DataFrame:
     ordered = lines.select("doc_id", "text_key", "line_no", F.sort_array("tokens").alias("tokens"))
     return materialize(ordered.select(
         "doc_id", "text_key", "line_no", *_class_keys(), n.alias("size"),
-        F.slice("tokens", 1, length).alias("prefix")), "line-prefixes")
+        F.slice("tokens", 1, length).alias("prefix"), _sketch(0).alias("s0"), _sketch(1).alias("s1")),
+        "line-prefixes")
 
 
 def candidate_pairs(lines: DataFrame) -> DataFrame:
     """a, b: class keys (c1) of pairs that pass prefix, length and positional
-    filters, a < b."""
-    classes = (lines.groupBy("c1", "c2").agg(F.first("size").alias("size"),
-                                             F.first("prefix").alias("prefix")))
-    posted = classes.select("c1", "size", F.posexplode("prefix").alias("place", "token"))
-    left = posted.select("token", F.col("c1").alias("a"), F.col("size").alias("a_size"),
-                         F.col("place").alias("a_place"))
-    right = posted.select("token", F.col("c1").alias("b"), F.col("size").alias("b_size"),
-                          F.col("place").alias("b_place"))
+    filters and that of the sketches, a < b."""
+    classes = (lines.groupBy("c1", "c2").agg(*(F.first(c).alias(c) for c in ("size", "prefix", "s0", "s1"))))
+    posted = classes.select("c1", "size", "s0", "s1", F.posexplode("prefix").alias("place", "token"))
+    left, right = (posted.select("token", F.col("c1").alias(x), *(
+        F.col(c).alias(f"{x}_{c}") for c in ("size", "place", "s0", "s1"))) for x in ("a", "b"))
     small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
     total = F.col("a_size") + F.col("b_size")
     # overlap / (total - overlap) >= 4/5 needs 9 overlap >= 4 total
     reach = 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place")) - 1
+    # so the sets differ in at most total / 9 tokens, and so do their sketches
+    differ = (F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0")))
+              + F.bit_count(F.col("a_s1").bitwiseXOR(F.col("b_s1"))))
     small_place = F.when(F.col("a_size") <= F.col("b_size"), F.col("a_place")).otherwise(F.col("b_place"))
     return (left.join(right, (left["token"] == right["token"]) & (F.col("a") < F.col("b"))
                       & (small * DOWN >= large * UP)
                       & (reach * (UP + DOWN) >= total * UP)
-                      & (small_place * (UP + DOWN) <= small * (DOWN - UP)))
+                      & (small_place * (UP + DOWN) <= small * (DOWN - UP))
+                      & (differ * (UP + DOWN) <= total * (DOWN - UP)))
             .select("a", "b").distinct())
 
 
