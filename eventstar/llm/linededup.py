@@ -15,7 +15,9 @@ removed does not matter, so the result does not depend on the order of work.
   pair needs only its shorter index prefix.  Beside them, a parity sketch of
   128 bits (each token flips one) bounds the difference of two sets from below
   and so their overlap from above: exact, as tokens in common cancel out.
-* Candidates are verified on their full token sets.
+* Candidates are verified on their full token sets.  A class needs one earlier
+  class that it resembles, so candidates come in two rounds: the earliest
+  partners of each token first, all others only for classes that found none.
 
 Only DataFrame operations are used.  Defined results: null and empty texts
 have no lines and stay as they are; lines without words are never removed;
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 from math import log2
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventstar.functions.jsonpaths import with_column_once
@@ -40,6 +42,9 @@ SHINGLE = 5
 BUCKETS = 1 << 16
 #: The threshold 0.8 as a fraction; sizes and overlaps are compared in integers.
 UP, DOWN = 4, 5
+#: Partners per token that a class meets before all others.
+FIRST_PARTNERS = 2
+PAIR = ("a", "a2", "b", "b2")
 
 
 #: Anything but digits, letters and characters beyond ASCII parts words.
@@ -136,13 +141,28 @@ def prefixes(docs: DataFrame, ranks: Column) -> DataFrame:
         "line-prefixes")
 
 
-def candidate_pairs(lines: DataFrame) -> DataFrame:
-    """a, b: class keys (c1) of pairs that pass prefix, length and positional
-    filters and that of the sketches, a < b."""
-    classes = (lines.groupBy("c1", "c2").agg(*(F.first(c).alias(c) for c in ("size", "prefix", "s0", "s1"))))
-    posted = classes.select("c1", "size", "s0", "s1", F.posexplode("prefix").alias("place", "token"))
-    left, right = (posted.select("token", F.col("c1").alias(x), *(
-        F.col(c).alias(f"{x}_{c}") for c in ("size", "place", "s0", "s1"))) for x in ("a", "b"))
+def line_classes(lines: DataFrame) -> DataFrame:
+    """c1, c2, size, prefix, s0, s1 of every class, own (its first line), place
+    (a line to read it from) and n, the number of its lines."""
+    return materialize(lines.groupBy("c1", "c2").agg(
+        *(F.first(c).alias(c) for c in ("size", "prefix", "s0", "s1")),
+        F.min(F.struct("doc_id", "line_no")).alias("own"),
+        F.min(F.struct("doc_id", "text_key", "line_no")).alias("place"),
+        F.count(F.lit(1)).alias("n")), "line-classes")
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    return classes.select("c1", "c2", "size", "s0", "s1", "own",
+                          F.posexplode("prefix").alias("place", "token"))
+
+
+def candidate_pairs(probes: DataFrame, partners: DataFrame) -> DataFrame:
+    """a, a2, b, b2: class keys of probes and earlier partners (both as
+    :func:`postings`) that pass prefix, length and positional filters and that
+    of the sketches."""
+    left, right = (df.select("token", F.col("c1").alias(x), F.col("c2").alias(f"{x}2"), *(
+        F.col(c).alias(f"{x}_{c}") for c in ("size", "place", "s0", "s1", "own")))
+        for x, df in (("a", probes), ("b", partners)))
     small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
     total = F.col("a_size") + F.col("b_size")
     # overlap / (total - overlap) >= 4/5 needs 9 overlap >= 4 total
@@ -151,21 +171,18 @@ def candidate_pairs(lines: DataFrame) -> DataFrame:
     differ = (F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0")))
               + F.bit_count(F.col("a_s1").bitwiseXOR(F.col("b_s1"))))
     small_place = F.when(F.col("a_size") <= F.col("b_size"), F.col("a_place")).otherwise(F.col("b_place"))
-    return (left.join(right, (left["token"] == right["token"]) & (F.col("a") < F.col("b"))
+    return (left.join(right, (left["token"] == right["token"]) & (F.col("b_own") < F.col("a_own"))
                       & (small * DOWN >= large * UP)
                       & (reach * (UP + DOWN) >= total * UP)
                       & (small_place * (UP + DOWN) <= small * (DOWN - UP))
                       & (differ * (UP + DOWN) <= total * (DOWN - UP)))
-            .select("a", "b").distinct())
+            .select(*PAIR).distinct())
 
 
-def similar_classes(docs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
-    """a, b: verified pairs of classes."""
-    pairs = materialize(candidate_pairs(lines), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
-    places = (lines.join(small_side(wanted), "c1", "left_semi").groupBy("c1", "c2")
-              .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
-              .select("at.*"))
+def similar_pairs(docs: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: Column) -> DataFrame:
+    """The pairs (written) that are similar, verified on their full sets."""
+    wanted = pairs.select("a", "a2").union(pairs.select("b", "b2")).distinct().toDF("c1", "c2")
+    places = classes.join(small_side(wanted), ["c1", "c2"], "left_semi").select("place.*")
     places = small_side(materialize(places, "line-places"))
     named = places.withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
     sets = (lines_of(docs)
@@ -174,12 +191,30 @@ def similar_classes(docs: DataFrame, lines: DataFrame, ranks: Column) -> DataFra
             .select("line"))
     sets = materialize(with_tokens(sets, ranks).select(F.sort_array("tokens").alias("tokens"))
                        .select(*_class_keys(), "tokens").dropDuplicates(["c1", "c2"]), "line-sets")
-    a = sets.select(F.col("c1").alias("a"), F.col("c2").alias("a2"), F.col("tokens").alias("a_tokens"))
-    b = sets.select(F.col("c1").alias("b"), F.col("c2").alias("b2"), F.col("tokens").alias("b_tokens"))
+    a, b = (sets.toDF(x, f"{x}2", f"{x}_tokens") for x in ("a", "b"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     total = F.size("a_tokens") + F.size("b_tokens")
-    return (pairs.join(a, "a").join(b, "b").filter(shared * (UP + DOWN) >= total * UP)
-            .select("a", "a2", "b", "b2"))
+    return (pairs.join(a, ["a", "a2"]).join(b, ["b", "b2"])
+            .filter(shared * (UP + DOWN) >= total * UP).select(*PAIR))
+
+
+def resembling_classes(docs: DataFrame, classes: DataFrame, ranks: Column) -> DataFrame:
+    """c1, c2 of the classes that resemble an earlier one.
+
+    One earlier class is enough, so each class first meets the FIRST_PARTNERS
+    earliest classes of each of its prefix tokens: a group of near copies is
+    settled by its first members.  Only classes that found none meet all others.
+    """
+    posted = postings(classes)
+    first = posted.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy("own", "c1")))
+    first = first.filter(F.col("rank") <= FIRST_PARTNERS).drop("rank")
+    pairs = materialize(candidate_pairs(posted, first), "line-pairs")
+    probe = lambda df: df.select("a", "a2").distinct().toDF("c1", "c2")                         # noqa: E731
+    found = materialize(probe(similar_pairs(docs, classes, pairs, ranks)), "line-found")
+    rest = posted.join(small_side(found), ["c1", "c2"], "left_anti")
+    pairs = materialize(candidate_pairs(rest, posted).join(pairs, list(PAIR), "left_anti"), "line-pairs")
+    more = probe(similar_pairs(docs, classes, pairs, ranks))
+    return materialize(found.unionByName(more), "line-resembling")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -187,20 +222,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     every document that has some."""
     ranks = rarity(docs)
     lines = prefixes(docs, ranks)
-    at = F.struct("doc_id", "line_no")
-    own = lines.groupBy("c1", "c2").agg(F.min(at).alias("own"), F.count(F.lit(1)).alias("n"))
-    own = materialize(own, "line-classes")
-    pairs = materialize(similar_classes(docs, lines, ranks), "line-links")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("b2").alias("a2"),
-                                          F.col("a").alias("b"), F.col("a2").alias("b2")))
-    # the first line of any similar class
-    linked = (both.join(own.select(F.col("c1").alias("b"), F.col("c2").alias("b2"), "own"), ["b", "b2"])
-              .groupBy(F.col("a").alias("c1"), F.col("a2").alias("c2")).agg(F.min("own").alias("near")))
-    first = (own.join(linked, ["c1", "c2"], "left")
-             .filter((F.col("n") > 1) | (F.col("near") < F.col("own")))
-             .select("c1", "c2", F.least("own", F.coalesce("near", "own")).alias("first")))
-    return (lines.select("doc_id", "text_key", "line_no", "c1", "c2").join(first, ["c1", "c2"])
-            .filter(F.col("first") < at)
+    classes = line_classes(lines)
+    again = resembling_classes(docs, classes, ranks).withColumn("again", F.lit(True))
+    # all lines of a class that resembles an earlier one, else all but its first
+    gone = (classes.select("c1", "c2", "own", "n").join(small_side(again), ["c1", "c2"], "left")
+            .filter((F.col("n") > 1) | F.col("again")).drop("n"))
+    return (lines.select("doc_id", "text_key", "line_no", "c1", "c2").join(gone, ["c1", "c2"])
+            .filter(F.col("again") | (F.col("own") < F.struct("doc_id", "line_no")))
             .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")))
 
 
