@@ -7,11 +7,16 @@ failure reuses its id, and every write replaces only that id's partitions,
 so the layers see each landed file exactly once.  The source checkpoint
 remembers which files were processed; ``availableNow`` drains what is there
 and stops, so any scheduler can trigger it.
+
+A micro-batch costs some twenty jobs and a scan of the staged ids, whatever it
+holds.  A backlog is therefore drained in a bounded number of micro-batches,
+which grow with it (:func:`files_per_micro_batch`).
 """
 
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +24,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventstar.config import PipelineConfig
 from eventstar.plans.pipeline import Pipeline
-from eventstar.session import scratch_path
+from eventstar.session import scratch_path, written
 from eventstar.sources.fixture import fixture_pages
 
 
+#: Micro-batches that drain a backlog.
+MICRO_BATCHES = 8
+
+
+def files_per_micro_batch(spark: SparkSession, landing: str, micro_batches: int = MICRO_BATCHES) -> int:
+    """Files a trigger takes so that those in ``landing`` are drained in at
+    most ``micro_batches``; one as long as there are no more."""
+    return max(1, -(-len(spark.read.text(landing).inputFiles()) // micro_batches))
+
+
 def start_ingest_stream(spark: SparkSession, landing: str, pipeline: Pipeline,
                         checkpoint: str, files_per_batch: int | None = None,
                         wholetext: bool = False, prefix: str = "stream") -> StreamingQuery:
@@ -49,17 +64,22 @@ def replay_fixture_stream(spark: SparkSession, sf_dir: str,
                           config: PipelineConfig = PipelineConfig(),
                           pages_per_file: int = 100) -> DataFrame:
     """Land the fixture's pages as files of at most ``pages_per_file`` pages,
-    every tenth page a second time in another file, drain them one file per
-    micro-batch, and return the resulting staging table."""
+    every tenth page a second time in another file, drain them in up to
+    ``MICRO_BATCHES`` micro-batches of a file or, if there are more files, of
+    several, and return the resulting staging table.  The limit of errors is
+    that of a file, times the files of a micro-batch."""
     root = scratch_path(spark, "stream")
     landing = os.path.join(root, "landing")
-    pages = fixture_pages(spark, sf_dir)
+    pages = written(fixture_pages(spark, sf_dir), "pages")
     for name, part in (("all", pages), ("again", pages.filter("page_id % 10 = 0"))):
         (part.select("value").write.option("maxRecordsPerFile", pages_per_file)
          .text(os.path.join(landing, name)))
+    files = files_per_micro_batch(spark, os.path.join(landing, "*"))
+    if config.max_errors is not None:
+        config = replace(config, max_errors=config.max_errors * files)
     pipe = Pipeline(spark, os.path.join(root, "layers"), config)
     q = start_ingest_stream(spark, os.path.join(landing, "*"), pipe,
-                            os.path.join(root, "checkpoint"), files_per_batch=1)
+                            os.path.join(root, "checkpoint"), files_per_batch=files)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
