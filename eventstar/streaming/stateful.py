@@ -32,9 +32,10 @@ from eventstar.config import PipelineConfig
 from eventstar.operators.validate import error_rows, split, validate
 from eventstar.plans import staging
 from eventstar.plans.pipeline import Pipeline
-from eventstar.session import scratch_path
+from eventstar.session import scratch_path, written
 from eventstar.sources.fixture import fixture_pages
 from eventstar.sources.pages import explode_features, page_errors, parse_pages
+from eventstar.streaming.incremental import files_per_micro_batch
 
 HORIZON = "30 days"
 _STAGED = [c for c in staging.STG_EVENTS.fieldNames()]
@@ -105,20 +106,21 @@ def start_stateful_stream(spark: SparkSession, landing: str, pipeline: Pipeline,
 
 def replay_with_state(spark: SparkSession, sf_dir: str, pages_per_file: int = 100) -> DataFrame:
     """Land the fixture's pages as files, every fifth page again in later
-    files and the first pages last of all, drain them a file per micro-batch,
-    and return the staging table."""
+    files and the first pages last of all, drain each in a few micro-batches
+    (see :func:`files_per_micro_batch`), and return the staging table."""
     root = scratch_path(spark, "state-stream")
     landing = os.path.join(root, "landing")
-    pages = fixture_pages(spark, sf_dir)
+    pages = written(fixture_pages(spark, sf_dir), "pages")
     first = F.col("page_id") < 10
     config = PipelineConfig(max_errors=None)
     pipe = Pipeline(spark, os.path.join(root, "layers"), config)
     for name, part in (("main", pages.filter(~first)), ("again", pages.filter("page_id % 5 = 0")),
                        ("late", pages.filter(first))):
-        (part.select("value").coalesce(1).write.option("maxRecordsPerFile", pages_per_file)
+        (part.select("value").write.option("maxRecordsPerFile", pages_per_file)
          .text(os.path.join(landing, name)))
+        files = files_per_micro_batch(spark, os.path.join(landing, name), 2)
         query = start_stateful_stream(spark, os.path.join(landing, "*"), pipe,
-                                      os.path.join(root, "checkpoint"), files_per_batch=1)
+                                      os.path.join(root, "checkpoint"), files_per_batch=files)
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
