@@ -2,12 +2,15 @@
 
 The same plan pieces the stored pipeline uses, composed into one logical
 plan: handy for tests, for the driver's query registry and for reasoning
-about a load before running it.
+about a load before running it.  Whoever reads several layers, or large ones,
+passes ``keep`` (such as ``eventstar.session.written``), which is given the raw
+candidates and the staging layer, so that documents are made and parsed once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,12 +59,22 @@ def _ts(t: dt.datetime | None) -> Column | None:
     return F.lit(t).cast("timestamp") if t is not None else None
 
 
-def land(batches: list[Batch], config: PipelineConfig | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _lazy(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def land(batches: list[Batch], config: PipelineConfig | None = None,
+         keep: Keep = _lazy) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(raw, errors, valid, invalid) of the given batches."""
     raws, errs, valids, invalids = [], [], [], []
     for b in batches:
         valid, invalid = split(validate(b.features, config))
-        raws.append(staging.dedupe_batch(staging.raw_rows(valid, b.batch_id, _ts(b.ingested_at))))
+        # read twice by the deduplication, and by every layer above
+        candidates = keep(staging.raw_rows(valid, b.batch_id, _ts(b.ingested_at)), "raw")
+        raws.append(staging.dedupe_batch(candidates))
         errs.append(error_rows(invalid, b.batch_id, _ts(b.ingested_at)))
         valids.append(valid)
         invalids.append(invalid)
@@ -76,16 +89,16 @@ def land(batches: list[Batch], config: PipelineConfig | None = None) -> tuple[Da
 
 def build_layers(spark: SparkSession, batches: list[Batch],
                  config: PipelineConfig | None = None,
-                 staged: DataFrame | None = None) -> Layers:
+                 staged: DataFrame | None = None, keep: Keep = _lazy) -> Layers:
     """Every layer after landing ``batches`` and running one transformation.
 
     ``staged`` are rows already in staging before this run (default none);
     the star schema is built from scratch over staged ∪ new rows.
     """
-    raw, errors, valid, invalid = land(batches, config)
+    raw, errors, valid, invalid = land(batches, config, keep)
     staged = staged if staged is not None else _empty(spark, STG_EVENTS)
     new_stg, rejected = staging.stage(raw, staged.select("event_id"))
-    stg = staged.select(*[f.name for f in STG_EVENTS.fields]).unionByName(new_stg)
+    stg = keep(staged.select(*[f.name for f in STG_EVENTS.fields]).unionByName(new_stg), "stg")
     inc = warehouse.increment(stg, _empty(spark, DIM_TIME), _empty(spark, DIM_LOCATION),
                               _empty(spark, DIM_EVENT_TYPE))
     return Layers(raw=raw, errors=errors, stg=stg, dim_time=inc.dim_time,
@@ -95,12 +108,12 @@ def build_layers(spark: SparkSession, batches: list[Batch],
 
 
 def staged_increment(spark: SparkSession, first: list[Batch], second: list[Batch],
-                     config: PipelineConfig | None = None) -> DataFrame:
+                     config: PipelineConfig | None = None, keep: Keep = _lazy) -> DataFrame:
     """Rows the second run adds to staging after the first run staged its own."""
-    raw1, _, _, _ = land(first, config)
+    raw1, _, _, _ = land(first, config, keep)
     empty = _empty(spark, STG_EVENTS).select("event_id")
     stg1, _ = staging.stage(raw1, empty)
-    raw2, _, _, _ = land(second, config)
+    raw2, _, _, _ = land(second, config, keep)
     new2, _ = staging.stage(raw1.unionByName(raw2), stg1.select("event_id"))
     return new2
 
