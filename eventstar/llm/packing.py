@@ -31,7 +31,7 @@ import json
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -46,6 +46,9 @@ CAPACITY = 2048
 #: Steps of the search (of enumeration, too).  Beyond them the best packing
 #: found stands; it is whole and valid, but not proven least.
 MAX_STEPS = 6_000_000
+#: Tables of the search that are kept, of up to 0.6 MB each.
+KEPT = 64
+_LENGTHS = list(range(CAPACITY + 1))
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -224,14 +227,26 @@ class Exhausted(Exception):
 
 
 class Steps:
+    """Steps left of a search, and the tables it keeps: those of its latest
+    ``KEPT`` enumerations.  The search can be thousands of patterns deep, where
+    every table kept would take gigabytes; one that is needed again is made
+    again."""
+
     def __init__(self, most: int) -> None:
         self.left = most
+        self.tables: deque[list[list[int]]] = deque()
 
     def take(self, n: int = 1) -> None:
         self.left -= n
         if self.left < 0:
             raise Exhausted
 
+    def keep(self, table: list[list[int]]) -> None:
+        """Keep ``table`` (a list that holds it) among the latest; empty the oldest."""
+        self.tables.append(table)
+        if len(self.tables) > KEPT:
+            self.tables.popleft().clear()
+
 
 def undominated(parts: tuple[int, ...], waste: int, left: list[int]) -> bool:
     """Whether no length that is left over could take the place of some parts
@@ -253,7 +268,9 @@ def undominated(parts: tuple[int, ...], waste: int, left: list[int]) -> bool:
 def fillings(counts: np.ndarray, room: int, steps: Steps) -> Iterator[tuple[int, ...]]:
     """All undominated fillings of ``room``, least waste first, made as they
     are asked for.  An exact single part dominates all others."""
-    have = np.flatnonzero(counts[:room + 1])[::-1].tolist()
+    # the numbers themselves are shared by all enumerations
+    have = [_LENGTHS[x] if x < len(_LENGTHS) else x
+            for x in np.flatnonzero(counts[:room + 1])[::-1].tolist()]
     if not have:
         yield ()
         return
@@ -261,32 +278,52 @@ def fillings(counts: np.ndarray, room: int, steps: Steps) -> Iterator[tuple[int,
         yield (room,)
         return
     steps.take(len(have))
-    # sums that lengths from the k-th on can make, whatever their counts
     within = (1 << room + 1) - 1
-    reach = [1]
-    for length in reversed(have):
-        sums, by = reach[-1], length
-        while by <= room:
-            sums |= sums << by & within
-            by *= 2
-        reach.append(sums)
-    reach.reverse()
-
-    def exact(k: int, total: int) -> Iterator[tuple[int, ...]]:
-        """Parts from the k-th length on that add up to ``total``."""
-        steps.take()
-        if not total:
-            yield ()
-        elif reach[k] >> total & 1:
-            for n in range(min(total // have[k], int(counts[have[k]])), -1, -1):
-                for rest in exact(k + 1, total - n * have[k]):
-                    yield (*[have[k]] * n, *rest)
+    table: list[list[int]] = []
+
+    def reach() -> list[int]:
+        """Sums that lengths from the k-th on can make, whatever their counts."""
+        if not table:
+            sums = [1]
+            for length in reversed(have):
+                last, by = sums[-1], length
+                while by <= room:
+                    last |= last << by & within
+                    by *= 2
+                sums.append(last)
+            sums.reverse()
+            table.append(sums)
+        return table[0]
+
+    def exact(total: int) -> Iterator[tuple[int, ...]]:
+        """Parts that add up to ``total``: of each length, from the longest down,
+        as many as fit, then fewer."""
+        taken: list[tuple[int, int, int]] = []       # place in ``have``, total before, parts taken
+        k = 0
+        while True:
+            steps.take()
+            if not total:
+                yield tuple(have[at] for at, _, n in taken for _ in range(n))
+            elif reach()[k] >> total & 1:
+                n = min(total // have[k], int(counts[have[k]]))
+                if n:
+                    taken.append((k, total, n))
+                k, total = k + 1, total - n * have[k]
+                continue
+            if not taken:
+                return
+            k, total, n = taken.pop()
+            if n > 1:
+                taken.append((k, total, n - 1))
+            k, total = k + 1, total - (n - 1) * have[k]
 
     for waste in range(room + 1):
-        for parts in exact(0, room - waste):
+        for parts in exact(room - waste):
             used = Counter(parts)
             steps.take(len(have))
             if undominated(parts, waste, [x for x in have if counts[x] > used[x]]):
+                if table:
+                    steps.keep(table)
                 yield parts
 
 
@@ -312,7 +349,7 @@ def complete(counts: np.ndarray, capacity: int = CAPACITY, most_steps: int = MAX
         pattern before is not chosen again: its repeats were."""
         top = int(np.flatnonzero(left)[-1])
         left[top] -= 1
-        found = fillings(left.copy(), capacity - top, steps)
+        found = fillings(left[:capacity - top + 1].copy(), capacity - top, steps)
         left[top] += 1
         for filling in found:
             pattern = (top, *filling)

@@ -29,7 +29,7 @@ on; repeated documents get one result each; extra columns are not read.
 
 from __future__ import annotations
 
-import string
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -51,7 +51,8 @@ TURNS = 8
 #: Changes are summed as multiples of 2**-STEP, calibrated logits rounded to
 #: multiples of 2**-GRID.
 STEP, GRID = 32, 10
-_CLEAN = str.maketrans(dict.fromkeys(string.punctuation + string.digits, " "))
+#: Blanks, ASCII punctuation and digits part words.
+_WORDS = re.compile(r"[^\s!-@\[-`{-~]+").findall
 
 
 class Words:
@@ -64,24 +65,35 @@ class Words:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.prefixes: dict[str, int] = {}
         self.buckets = np.zeros((1024, len(PREFIXES) + 1), np.int32)
 
     def ids(self, text: str | None) -> np.ndarray:
         """The number of each word of a text; 0 is padding."""
-        words = (text or "").lower().translate(_CLEAN).split()
+        words = _WORDS((text or "").lower())
         known = self.known
         self.add(set(words).difference(known))
         return np.array(list(map(known.__getitem__, words)), np.int32)
 
     def add(self, words: Iterable[str]) -> None:
         """Number new words in their order."""
-        known = self.known
+        known, prefixes, found = self.known, self.prefixes, []
+        first = len(known) + 1
         for w in words:
-            n = known[w] = len(known) + 1
-            if n >= len(self.buckets):
-                self.buckets = np.concatenate([self.buckets, np.zeros_like(self.buckets)])
-            self.buckets[n] = [_bucket(w), *(_bucket(w[:k] + "*") if len(w) > k else 0
-                                             for k in PREFIXES)]
+            known[w] = len(known) + 1
+            found.append(_bucket(w))
+            for k in PREFIXES:
+                if len(w) <= k:
+                    found.append(0)
+                    continue
+                part = w[:k]
+                if part not in prefixes:
+                    prefixes[part] = _bucket(part + "*")
+                found.append(prefixes[part])
+        end = len(known) + 1
+        while end > len(self.buckets):
+            self.buckets = np.concatenate([self.buckets, np.zeros_like(self.buckets)])
+        self.buckets[first:end] = np.array(found, np.int32).reshape(-1, 1 + len(PREFIXES))
 
 
 def _bucket(feature: str) -> int:
@@ -136,7 +148,8 @@ class Model:
             first = int(np.searchsorted(starts, s, "right")) - 1
             last = int(np.searchsorted(starts, e, "left"))
             cuts = np.maximum(starts[first:last], s) - s
-            pooled[first:last] = np.maximum(pooled[first:last], np.maximum.reduceat(r, cuts))
+            for text, a, b in zip(range(first, last), cuts, [*cuts[1:], len(r)], strict=True):
+                np.maximum(pooled[text], r[a:b].max(axis=0), out=pooled[text])
             if self.log_share is not None:
                 share = self.log_share[buckets[own, 0]]
                 votes[first:last] += np.add.reduceat(share[at[:e - s]], cuts)

@@ -142,6 +142,32 @@ def test_fillings_are_all_undominated_ones():
         assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
 
 
+def test_a_deep_search_keeps_few_tables():
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    counts = np.bincount(np.clip(rng.lognormal(6.2, 0.6, 100_000), 1, P.CAPACITY).astype(int))
+    counts = np.concatenate([counts, np.zeros(P.CAPACITY + 1 - len(counts), np.int64)])
+    tracemalloc.start()
+    try:
+        packed = P.complete(counts, most_steps=400_000)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    used = np.zeros_like(counts)
+    for pattern, times in packed:
+        np.add.at(used, list(pattern), times)
+    assert used.tolist() == counts.tolist()
+    assert most < 80e6
+
+
+def test_tables_are_made_again_when_needed(monkeypatch):
+    rng = np.random.default_rng(5)
+    counts = np.bincount(rng.integers(300, 1100, 60), minlength=P.CAPACITY + 1)
+    whole = P.complete(counts, most_steps=50_000)
+    monkeypatch.setattr(P, "KEPT", 1)
+    assert P.complete(counts, most_steps=50_000) == whole
+
+
 def test_large_counts_cost_no_more():
     rng = np.random.default_rng(4)
     counts = np.zeros(P.CAPACITY + 1, np.int64)
