@@ -34,6 +34,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventstar.functions.jsonpaths import with_column_once
 from eventstar.llm.common import materialize, small_side, table
 
 WINDOW, SLOP = 13, 5
@@ -64,6 +65,14 @@ def _join_docs(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return both.drop("right_id", "right_key")
 
 
+def _with_words(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``places`` with ``w``, the words of their document, which are made once
+    per document, however many places it has."""
+    wanted = small_side(places.select("doc_id", "text_key").distinct())
+    worded = with_column_once(_join_docs(_keyed(docs), wanted, "left_semi"), "w", words(F.col("text")))
+    return _join_docs(worded.drop("text"), small_side(places), "inner")
+
+
 def item_words(benchmark: DataFrame) -> DataFrame:
     """item (``=`` and the item_id, empty if that is null), n, item_words of each
     distinct item with words."""
@@ -135,8 +144,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     candidates = materialize(
         lists.join(small_side(items.select("item", "part", "n")), ["item", "part"])
         .filter((F.col("met") >= 2) | (F.col("n") == 1)).drop("met", "n"), "candidates")
-    found = (_join_docs(_keyed(docs), small_side(candidates), "inner")
-             .select("doc_id", "text_key", words(F.col("text")).alias("w"), "item", "part", "shift"))
+    found = _with_words(docs, candidates).select("doc_id", "text_key", "w", "item", "part", "shift")
     compared = found.join(small_side(items, limit=20_000), ["item", "part"]).select(
         "doc_id", "text_key", "item", "part", "shift", "n",
         F.expr("transform(item_words, (x, i) -> CASE WHEN shift + i >= 0 "
@@ -172,10 +180,9 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, hits: DataFrame,
     first = F.greatest(F.col("low"), F.lit(0))
     end = F.col("low") + 2 * slop + 1 + F.col("n")
     compared = (
-        _join_docs(_keyed(docs), small_side(
-            candidates.join(small_side(items.select("item", "part", "n")), ["item", "part"])), "inner")
+        _with_words(docs, candidates.join(small_side(items.select("item", "part", "n")), ["item", "part"]))
         .select(*key, "low", "n", first.alias("first"),
-                F.posexplode(F.slice(words(F.col("text")), first + 1, F.greatest(end - first, F.lit(0))))
+                F.posexplode(F.slice("w", first + 1, F.greatest(end - first, F.lit(0))))
                 .alias("at", "term"))
         .join(small_side(items.select("item", "part", F.posexplode("item_words").alias("place", "term"))),
               ["item", "part", "term"])

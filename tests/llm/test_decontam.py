@@ -3,6 +3,7 @@ import random
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from eventstar.llm import decontam as D
 from tests.llm.helpers import awkward, docs_frame, prose
@@ -198,3 +199,16 @@ def test_no_python_in_the_plan(spark, capsys):
     docs = docs_frame(spark, [prose(1, 50)])
     D.decontamination_report(docs, spark.createDataFrame([(1, prose(1, 50), "")], ITEMS)).explain()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", capsys.readouterr().out)
+
+
+def test_words_are_made_once_per_document(spark):
+    docs = docs_frame(spark, ["a b c", "d e", None])
+    key = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
+    places = key.filter("doc_id < 2").crossJoin(spark.range(3).withColumnRenamed("id", "place"))
+    found = D._with_words(docs, places)
+    assert sorted((r.doc_id, r.place, r.w) for r in found.collect()) == [
+        (i, k, w) for i, w in ((0, ["a", "b", "c"]), (1, ["d", "e"])) for k in range(3)]
+    # split below the join that repeats documents, behind a generator
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_remove(split(") == 1
+    assert plan.index("Join Inner") < plan.index("Generate explode(array(array_remove(split(")
