@@ -293,9 +293,10 @@ def train(texts: list[np.ndarray], buckets: np.ndarray, toxic: np.ndarray, langs
     for i in used:
         np.add.at(counts[:, names.index(langs[i])], buckets[texts[i], 0], 1)
     learn_languages(model, names, counts)
-    logit, language = model.logits([texts[i] for i in held], buckets)
-    calibrate(model, np.round(logit * (1 << GRID)).astype(np.int64), language, toxic[held],
-              np.ones(len(held), np.int64))
+    if len(held):
+        logit, language = model.logits([texts[i] for i in held], buckets)
+        calibrate(model, np.round(logit * (1 << GRID)).astype(np.int64), language, toxic[held],
+                  np.ones(len(held), np.int64))
     return model
 
 
@@ -518,6 +519,8 @@ def held_logits(found: DataFrame, model: Model) -> list[np.ndarray]:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for b in _blocks_in(batch):
             held = np.flatnonzero(b.held)
+            if not len(held):
+                continue
             logit, language = shared.value.logits([b.texts[i] for i in held], b.buckets)
             grid = np.round(np.clip(logit, -30, 30) * (1 << GRID)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(

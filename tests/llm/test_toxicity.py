@@ -79,3 +79,37 @@ def test_a_repeated_doc_id_is_trained_on_once(spark):
     once, _, same, _ = T.training_rows(docs, labels, 100, 4000)
     assert len(ids) == len(once) == sum(not held(i) for i in range(60))
     assert list(known) == list(same)
+
+
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_ROWS", 8)
+    texts, toxic = corpus(90)
+    texts[2] = prose(5, 6000)                                  # a long one
+    own = [i for i in range(90) if not held(i)]
+    docs = docs_frame(spark, texts)
+    again = docs.filter("doc_id = 2")
+    labels = spark.createDataFrame([(i, 1, y) for i, y in enumerate(toxic)], LABELS)
+    found, many = T.blocks(docs.unionByName(again), labels)
+    rows = found.collect()
+    assert many == -(-len(own) // 8) and len({r.block for r in rows}) == len(rows)
+    assert sum(len(r.sizes) // 8 for r in rows) == len(own)
+    assert 2 not in own or any(len(texts[2].split()) in np.frombuffer(r.sizes, "<i8") for r in rows)
+    by_row, by_label, names, words_of = T.count(found)
+    assert by_label.sum(axis=0).tolist() == [sum(toxic[i] == y for i in own) for y in (0, 1)]
+    assert by_row.max() <= len(own) and names == ["en"] and words_of.shape == (T.BUCKETS, 1)
+    # the same model whatever the partitions of the rows
+    one = T.fit(docs, labels, epochs=2)
+    other = T.fit(docs.repartition(3).unionByName(again), labels.repartition(2), epochs=2)
+    assert np.array_equal(one.embedding, other.embedding) and np.array_equal(one.threshold, other.threshold)
+    assert one.offset == other.offset and one.constant is None
+
+
+def test_blocks_learn_together(spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(T, "TURNS", 2)
+    texts, toxic = corpus()
+    docs = docs_frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1, y) for i, y in enumerate(toxic)], LABELS)
+    rows = {r.doc_id: r for r in T.score(docs, T.fit(docs, labels, epochs=32)).collect()}
+    test = [i for i in range(len(texts)) if held(i)]
+    assert sum(rows[i].predicted == toxic[i] for i in test) / len(test) > 0.9
