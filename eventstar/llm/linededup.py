@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from math import log2
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventstar.functions.jsonpaths import with_column_once
@@ -38,6 +38,9 @@ SHINGLE = 5
 BUCKETS = 1 << 16
 #: The threshold 0.8 as a fraction; sizes and overlaps are compared in integers.
 UP, DOWN = 4, 5
+#: Partners per token that a class meets before all others.
+FIRST_PARTNERS = 2
+PAIR = ("a", "a2", "b", "b2")
 
 
 #: Anything but digits, letters and characters beyond ASCII parts words.
@@ -75,13 +78,18 @@ def _bucket(shingle: Column) -> Column:
     return F.shiftrightunsigned(shingle, 48).cast("int")
 
 
-def with_tokens(lines: DataFrame, ranks: Column) -> DataFrame:
-    """``lines`` without ``line``, with ``tokens``: its distinct shingles,
+def with_ranked(sets: DataFrame, ranks: Column) -> DataFrame:
+    """``sets`` without ``shingles``, with ``tokens``: its distinct shingles,
     rarity in the upper bits above 48 bits of the hash."""
-    keep = [c for c in lines.columns if c != "line"]
+    keep = [c for c in sets.columns if c != "shingles"]
     code = F.transform("shingles", lambda t: F.shiftleft(F.get(ranks, _bucket(t)).cast("bigint"), 48)
                        .bitwiseOR(t.bitwiseAND(F.lit((1 << 48) - 1))))
-    return with_column_once(with_shingles(lines), "tokens", F.array_distinct(code)).select(*keep, "tokens")
+    return with_column_once(sets, "tokens", F.array_distinct(code)).select(*keep, "tokens")
+
+
+def with_tokens(lines: DataFrame, ranks: Column) -> DataFrame:
+    """``lines`` without ``line``, with the ``tokens`` of its shingles."""
+    return with_ranked(with_shingles(lines), ranks)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -91,18 +99,12 @@ def lines_of(docs: DataFrame) -> DataFrame:
                        F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _class_keys() -> list[Column]:
-    """128 bits of the sorted ``tokens``."""
-    return [F.xxhash64("tokens").alias("c1"), F.xxhash64(F.lit(1), "tokens").alias("c2")]
-
-
-def rarity(docs: DataFrame) -> Column:
-    """Logarithmic counts of all shingles by hash bucket: a constant array of
-    BUCKETS numbers, whatever the size of the corpus."""
+def bucket_ranks(sets: DataFrame) -> Column:
+    """Logarithmic counts of all ``shingles`` by hash bucket: a constant array
+    of BUCKETS numbers, whatever the size of the corpus."""
     # outer: a plain explode adds a filter on its input, which would be pushed
     # below the steps of the shingles and evaluate them once more each
-    counts = (with_shingles(lines_of(docs).select("line"))
-              .select(F.explode_outer("shingles").alias("t")).filter("t IS NOT NULL")
+    counts = (sets.select(F.explode_outer("shingles").alias("t")).filter("t IS NOT NULL")
               .groupBy(_bucket(F.col("t")).alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
     ranks = [0] * BUCKETS
     for bucket, n in counts.collect():                           # BUCKETS rows at most
@@ -111,83 +113,142 @@ def rarity(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
-def prefixes(docs: DataFrame, ranks: Column) -> DataFrame:
-    """doc_id, text_key, line_no, c1, c2, size, prefix of every line with
-    words.  The prefix holds the rarest tokens."""
-    lines = with_tokens(lines_of(docs), ranks).filter(F.size("tokens") > 0)
-    n = F.size("tokens")
-    # a similar set shares ceil(0.8 n) tokens at least, so one of the first n - that + 1
-    length = n - F.ceil(n * UP / DOWN).cast("int") + 1
-    ordered = lines.select("doc_id", "text_key", "line_no", F.sort_array("tokens").alias("tokens"))
-    return materialize(ordered.select(
-        "doc_id", "text_key", "line_no", *_class_keys(), n.alias("size"),
-        F.slice("tokens", 1, length).alias("prefix")), "line-prefixes")
-
-
-def candidate_pairs(lines: DataFrame) -> DataFrame:
-    """a, b: class keys (c1) of pairs that pass prefix, length and positional
-    filters, a < b."""
-    classes = (lines.groupBy("c1", "c2").agg(F.first("size").alias("size"),
-                                             F.first("prefix").alias("prefix")))
-    posted = classes.select("c1", "size", F.posexplode("prefix").alias("place", "token"))
-    left = posted.select("token", F.col("c1").alias("a"), F.col("size").alias("a_size"),
-                         F.col("place").alias("a_place"))
-    right = posted.select("token", F.col("c1").alias("b"), F.col("size").alias("b_size"),
-                          F.col("place").alias("b_place"))
+def rarity(docs: DataFrame) -> Column:
+    """:func:`bucket_ranks` of all lines of ``docs``."""
+    return bucket_ranks(with_shingles(lines_of(docs).select("line")))
+
+
+def _prefix_length(n: Column) -> Column:
+    """A similar set shares ceil(0.8 n) of n tokens at least, so in any order
+    one of the first n - that + 1."""
+    return n - F.ceil(n * UP / DOWN).cast("int") + 1
+
+
+def marked_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, line_no, c1, c2, marks of every line with words: c1 and
+    c2 are 128 bits of its words, ``marks`` holds at least the prefix of its
+    shingles in the order of their first words' hashes.
+
+    So only a part of the shingles is made.  All that start with a word up to
+    the limit are taken, a whole start of that order; where repeats leave too
+    few of them, all shingles are.
+    """
+    keep = ["doc_id", "text_key", "line_no"]
+    lines = (with_column_once(lines_of(docs), "w", line_words(F.col("line"))).select(*keep, "w")
+             .filter(F.size("w") > 0))
+    starts = F.slice("w", 1, F.greatest(F.lit(0), F.size("w") - SHINGLE + 1))
+    word = lambda i, k: F.coalesce(F.get("w", i + k), F.lit(0))                       # noqa: E731
+    # the hash of with_shingles
+    shingle = lambda x, i: (x.bitwiseXOR(F.shiftleft(word(i, 1), 5))                  # noqa: E731
+                            .bitwiseXOR(F.shiftleft(word(i, 2), 11))
+                            .bitwiseXOR(F.shiftleft(word(i, 3), 16))
+                            .bitwiseXOR(F.shiftleft(word(i, 4), 17)))
+    n = F.size("starts")
+    # once: else the lambda below would sort for each word
+    limited = with_column_once(lines.select(*keep, "w", starts.alias("starts")), "limit",
+                               F.get(F.sort_array("starts"), _prefix_length(n) - 1))
+    chosen = limited.select("*", F.filter(
+        F.transform("starts", lambda x, i: F.when(x <= F.col("limit"), shingle(x, i))),
+        lambda x: x.isNotNull()).alias("chosen"))
+    marked = chosen.select("*", F.array_distinct("chosen").alias("marks"))
+    enough = F.size("marks") >= _prefix_length(n - F.size("chosen") + F.size("marks"))
+    return materialize(marked.select(
+        *keep, F.xxhash64("w").alias("c1"), F.xxhash64(F.lit(1), "w").alias("c2"),
+        F.when(enough, F.col("marks")).when(n > 0, F.array_distinct(F.transform("starts", shingle)))
+        .otherwise(F.col("marks")).alias("marks")), "line-marks")
+
+
+def meeting_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """c1, c2, shingles (distinct) of the classes that share a mark with
+    another class; no other class can be similar to one."""
+    classes = lines.groupBy("c1", "c2").agg(F.first("marks").alias("marks"))
+    posted = classes.select("c1", F.explode("marks").alias("mark"))
+    other = posted.select(F.col("c1").alias("o_c1"), F.col("mark").alias("o_mark"))
+    wanted = materialize(posted.join(other, (F.col("mark") == F.col("o_mark")) & (F.col("c1") != F.col("o_c1")),
+                                     "left_semi").select("c1").distinct(), "line-meeting")
+    places = (lines.join(small_side(wanted), "c1", "left_semi").groupBy("c1", "c2")
+              .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
+              .select("at.*", "c1", "c2"))
+    places = small_side(materialize(places, "line-places"))
+    named = places.withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
+    found = (lines_of(docs)
+             .join(named, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
+                   & (F.col("line_no") == F.col("p_no")))
+             .select("c1", "c2", "line"))
+    return materialize(with_shingles(found).select("c1", "c2", F.array_distinct("shingles").alias("shingles"))
+                       .dropDuplicates(["c1", "c2"]), "line-sets")
+
+
+def postings(sets: DataFrame, own: DataFrame) -> DataFrame:
+    """token, c1, c2, size, place, own, rank of the rarest tokens of each set,
+    its prefix; ``rank`` counts the classes of a token by their first lines."""
+    n = F.size("shingles")
+    ranked = with_ranked(sets.select("c1", "c2", n.alias("size"), "shingles"), bucket_ranks(sets))
+    prefix = F.slice(F.sort_array("tokens"), 1, _prefix_length(F.col("size")))
+    posted = (ranked.select("c1", "c2", "size", prefix.alias("prefix")).join(own.drop("n"), ["c1", "c2"])
+              .select("c1", "c2", "size", "own", F.posexplode("prefix").alias("place", "token")))
+    rank = F.row_number().over(Window.partitionBy("token").orderBy("own", "c1", "c2"))
+    return materialize(posted.withColumn("rank", rank), "line-postings")
+
+
+def candidate_pairs(probes: DataFrame, partners: DataFrame) -> DataFrame:
+    """a, a2, b, b2: class keys of probes and of earlier partners (both rows of
+    :func:`shared_postings`) that pass prefix, length and positional filters."""
+    names = {"c1": "{}", "c2": "{}2"}
+    left, right = (df.select("token", *(F.col(c).alias(names.get(c, "{}_" + c).format(x))
+                                        for c in ("c1", "c2", "size", "place", "own")))
+                   for x, df in (("a", probes), ("b", partners)))
     small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
     total = F.col("a_size") + F.col("b_size")
     # overlap / (total - overlap) >= 4/5 needs 9 overlap >= 4 total
     reach = 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place")) - 1
     small_place = F.when(F.col("a_size") <= F.col("b_size"), F.col("a_place")).otherwise(F.col("b_place"))
-    return (left.join(right, (left["token"] == right["token"]) & (F.col("a") < F.col("b"))
+    return (left.join(right, (left["token"] == right["token"]) & (F.col("b_own") < F.col("a_own"))
                       & (small * DOWN >= large * UP)
                       & (reach * (UP + DOWN) >= total * UP)
                       & (small_place * (UP + DOWN) <= small * (DOWN - UP)))
-            .select("a", "b").distinct())
+            .select(*PAIR).distinct())
 
 
-def similar_classes(docs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
-    """a, b: verified pairs of classes."""
-    pairs = materialize(candidate_pairs(lines), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
-    places = (lines.join(small_side(wanted), "c1", "left_semi").groupBy("c1", "c2")
-              .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
-              .select("at.*"))
-    places = small_side(materialize(places, "line-places"))
-    named = places.withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
-    sets = (lines_of(docs)
-            .join(named, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
-                  & (F.col("line_no") == F.col("p_no")), "left_semi")
-            .select("line"))
-    sets = materialize(with_tokens(sets, ranks).select(F.sort_array("tokens").alias("tokens"))
-                       .select(*_class_keys(), "tokens").dropDuplicates(["c1", "c2"]), "line-sets")
-    a = sets.select(F.col("c1").alias("a"), F.col("c2").alias("a2"), F.col("tokens").alias("a_tokens"))
-    b = sets.select(F.col("c1").alias("b"), F.col("c2").alias("b2"), F.col("tokens").alias("b_tokens"))
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    total = F.size("a_tokens") + F.size("b_tokens")
-    return (pairs.join(a, "a").join(b, "b").filter(shared * (UP + DOWN) >= total * UP)
-            .select("a", "a2", "b", "b2"))
+def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` whose sets are similar."""
+    a, b = (sets.select("c1", "c2", "shingles").toDF(x, f"{x}2", f"{x}_set") for x in ("a", "b"))
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    total = F.size("a_set") + F.size("b_set")
+    return (pairs.join(a, ["a", "a2"]).join(b, ["b", "b2"])
+            .filter(shared * (UP + DOWN) >= total * UP).select(*PAIR))
+
+
+def resembling_classes(docs: DataFrame, lines: DataFrame, own: DataFrame) -> DataFrame:
+    """c1, c2 of the classes that resemble an earlier one.
+
+    One earlier class is enough, so each class first meets the FIRST_PARTNERS
+    earliest classes of each of its prefix tokens: a group of near copies is
+    settled by its first members.  Only classes that found none meet the others.
+    """
+    sets = meeting_sets(docs, lines)
+    posted = postings(sets, own)
+    probes = lambda pairs: pairs.select(F.col("a").alias("c1"), F.col("a2").alias("c2")).distinct()
+    early, late = F.col("rank") <= FIRST_PARTNERS, F.col("rank") > FIRST_PARTNERS
+    first = materialize(candidate_pairs(posted, posted.filter(early)), "line-pairs")
+    found = materialize(probes(similar_pairs(first, sets)), "line-found")
+    rest = posted.filter(late).join(small_side(found), ["c1", "c2"], "left_anti")
+    more = materialize(candidate_pairs(rest, posted.filter(late)), "line-pairs")
+    return found.unionByName(probes(similar_pairs(more, sets)))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, removed: the numbers of the lines to remove, for
     every document that has some."""
-    ranks = rarity(docs)
-    lines = prefixes(docs, ranks)
+    lines = marked_lines(docs)
     at = F.struct("doc_id", "line_no")
     own = lines.groupBy("c1", "c2").agg(F.min(at).alias("own"), F.count(F.lit(1)).alias("n"))
     own = materialize(own, "line-classes")
-    pairs = materialize(similar_classes(docs, lines, ranks), "line-links")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("b2").alias("a2"),
-                                          F.col("a").alias("b"), F.col("a2").alias("b2")))
-    # the first line of any similar class
-    linked = (both.join(own.select(F.col("c1").alias("b"), F.col("c2").alias("b2"), "own"), ["b", "b2"])
-              .groupBy(F.col("a").alias("c1"), F.col("a2").alias("c2")).agg(F.min("own").alias("near")))
-    first = (own.join(linked, ["c1", "c2"], "left")
-             .filter((F.col("n") > 1) | (F.col("near") < F.col("own")))
-             .select("c1", "c2", F.least("own", F.coalesce("near", "own")).alias("first")))
-    return (lines.select("doc_id", "text_key", "line_no", "c1", "c2").join(first, ["c1", "c2"])
-            .filter(F.col("first") < at)
+    near = materialize(resembling_classes(docs, lines, own), "line-links").withColumn("near", F.lit(True))
+    # all lines of a class that resembles an earlier one; of others, all but the first
+    gone = own.join(small_side(near), ["c1", "c2"], "left").filter((F.col("n") > 1) | F.col("near")).drop("n")
+    return (lines.select("doc_id", "text_key", "line_no", "c1", "c2").join(gone, ["c1", "c2"])
+            .filter(F.col("near") | (F.col("own") < at))
             .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")))
 
 

@@ -85,3 +85,41 @@ def test_token_sets(spark, n):
 def test_no_python_in_the_plan(spark, capsys):
     L.remove_duplicate_lines(docs_frame(spark, corpus()[:5])).explain()
     assert not re.search("Python|Pandas|Arrow|Cartesian", capsys.readouterr().out)
+
+
+def test_candidates_of_a_group_of_near_copies_grow_with_it(spark, monkeypatch):
+    base = prose(11, 60, 9999).split()
+    texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(80)] + [prose(12, 40, 9999)]
+    rows, write = [], L.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(L, "materialize", counted)
+    got = {r.doc_id: r.text for r in L.remove_duplicate_lines(docs_frame(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+    # all pairs of the group are 3,160
+    assert 79 <= sum(n for name, n in rows if name == "line-pairs") <= 79 * L.FIRST_PARTNERS
+
+
+def test_lines_that_found_no_early_partner_meet_the_others(spark):
+    # the two earliest classes of the common passage resemble neither late line
+    passage, tail = prose(13, 30, 9999), prose(14, 40, 9999)
+    texts = [f"{prose(20 + i, 40, 9999)} {passage}" for i in range(6)]
+    texts += [f"{passage} {tail}", f"{passage} {tail} once", f"{passage} {tail} more"]
+    got = {r.doc_id: r.text for r in L.remove_duplicate_lines(docs_frame(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+    assert got[7] == got[8] == ""
+
+
+def test_lines_of_repeated_shingles(spark):
+    rng = random.Random(15)
+    texts = []
+    for _ in range(60):
+        cycle = [f"w{rng.randrange(9)}" for _ in range(rng.choice([1, 2, 5, 7]))]
+        line = cycle * rng.randint(1, 9) + [f"w{rng.randrange(9)}" for _ in range(rng.randint(0, 12))]
+        texts.append(" ".join(line[rng.randint(0, 2):]))
+    got = {r.doc_id: r.text for r in L.remove_duplicate_lines(docs_frame(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
