@@ -38,6 +38,8 @@ SHINGLE = 5
 BUCKETS = 1 << 16
 #: The threshold 0.8 as a fraction; sizes and overlaps are compared in integers.
 UP, DOWN = 4, 5
+#: Marks that similar lines share at least, if their sets are as large.
+SHARED = 3
 #: Partners per token that a class meets before all others.
 FIRST_PARTNERS = 2
 PAIR = ("a", "a2", "b", "b2")
@@ -118,16 +120,21 @@ def rarity(docs: DataFrame) -> Column:
     return bucket_ranks(with_shingles(lines_of(docs).select("line")))
 
 
-def _prefix_length(n: Column) -> Column:
-    """A similar set shares ceil(0.8 n) of n tokens at least, so in any order
-    one of the first n - that + 1."""
-    return n - F.ceil(n * UP / DOWN).cast("int") + 1
+def _least_shared(n: Column) -> Column:
+    """Tokens that a set of n shares with any similar set, at least."""
+    return F.ceil(n * UP / DOWN).cast("int")
+
+
+def _prefix_length(n: Column, shared: int = 1) -> Column:
+    """In any order, a similar set has ``shared`` of the first n - least shared
+    + ``shared`` tokens (or all that both have, if those are fewer)."""
+    return F.least(n, n - _least_shared(n) + shared)
 
 
 def marked_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line_no, c1, c2, marks of every line with words: c1 and
-    c2 are 128 bits of its words, ``marks`` holds at least the prefix of its
-    shingles in the order of their first words' hashes.
+    c2 are 128 bits of its words, ``marks`` holds at least the prefix for SHARED
+    of its shingles, in the order of their first words' hashes.
 
     So only a part of the shingles is made.  All that start with a word up to
     the limit are taken, a whole start of that order; where repeats leave too
@@ -146,12 +153,12 @@ def marked_lines(docs: DataFrame) -> DataFrame:
     n = F.size("starts")
     # once: else the lambda below would sort for each word
     limited = with_column_once(lines.select(*keep, "w", starts.alias("starts")), "limit",
-                               F.get(F.sort_array("starts"), _prefix_length(n) - 1))
+                               F.get(F.sort_array("starts"), _prefix_length(n, SHARED) - 1))
     chosen = limited.select("*", F.filter(
         F.transform("starts", lambda x, i: F.when(x <= F.col("limit"), shingle(x, i))),
         lambda x: x.isNotNull()).alias("chosen"))
     marked = chosen.select("*", F.array_distinct("chosen").alias("marks"))
-    enough = F.size("marks") >= _prefix_length(n - F.size("chosen") + F.size("marks"))
+    enough = F.size("marks") >= _prefix_length(n - F.size("chosen") + F.size("marks"), SHARED)
     return materialize(marked.select(
         *keep, F.xxhash64("w").alias("c1"), F.xxhash64(F.lit(1), "w").alias("c2"),
         F.when(enough, F.col("marks")).when(n > 0, F.array_distinct(F.transform("starts", shingle)))
@@ -159,24 +166,30 @@ def marked_lines(docs: DataFrame) -> DataFrame:
 
 
 def meeting_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """c1, c2, shingles (distinct) of the classes that share a mark with
-    another class; no other class can be similar to one."""
+    """c1, c2, shingles (distinct) of the classes with SHARED marks (or as many
+    as a small set shares at least) that other classes have too; no other class
+    can be similar to one."""
     classes = lines.groupBy("c1", "c2").agg(F.first("marks").alias("marks"))
-    posted = classes.select("c1", F.explode("marks").alias("mark"))
+    need = F.least(F.lit(SHARED), _least_shared(F.size("marks")))
+    posted = classes.select("c1", need.alias("need"), F.explode("marks").alias("mark"))
     other = posted.select(F.col("c1").alias("o_c1"), F.col("mark").alias("o_mark"))
-    wanted = materialize(posted.join(other, (F.col("mark") == F.col("o_mark")) & (F.col("c1") != F.col("o_c1")),
-                                     "left_semi").select("c1").distinct(), "line-meeting")
+    met = posted.join(other, (F.col("mark") == F.col("o_mark")) & (F.col("c1") != F.col("o_c1")), "left_semi")
+    wanted = materialize(met.groupBy("c1").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+                         .filter("n >= need").select("c1"), "line-meeting")
     places = (lines.join(small_side(wanted), "c1", "left_semi").groupBy("c1", "c2")
               .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
               .select("at.*", "c1", "c2"))
-    places = small_side(materialize(places, "line-places"))
-    named = places.withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
+    places = materialize(places, "line-places")
+    n = places.count()
+    named = small_side(places, n).withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
     found = (lines_of(docs)
              .join(named, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
                    & (F.col("line_no") == F.col("p_no")))
              .select("c1", "c2", "line"))
-    return materialize(with_shingles(found).select("c1", "c2", F.array_distinct("shingles").alias("shingles"))
-                       .dropDuplicates(["c1", "c2"]), "line-sets")
+    sets = materialize(with_shingles(found).select("c1", "c2", F.array_distinct("shingles").alias("shingles")),
+                       "line-sets")
+    # more than places only where rows of documents repeat
+    return sets if sets.count() == n else materialize(sets.dropDuplicates(["c1", "c2"]), "line-sets")
 
 
 def postings(sets: DataFrame, own: DataFrame) -> DataFrame:
