@@ -5,22 +5,27 @@ shingle).  A line is removed if an earlier line, by (doc_id, line number), has
 a Jaccard similarity of at least 0.8 to it; whether that earlier line is itself
 removed does not matter, so the result does not depend on the order of work.
 
-* Equal sets form a class first, by partial aggregation: a line that a third
-  of the corpus repeats is one row per task in the shuffle.
-* Tokens are ordered by rarity: counts of all shingles of the corpus in a
-  fixed number of hash buckets (a table of constant size), ties by hash.  Any
-  fixed order is exact; rarity only keeps the lists short.
-* Of each class the prefix that a similar set must meet is joined on its
-  tokens, with length and positional filters in the join; the smaller set of a
-  pair needs only its shorter index prefix.
-* Candidates are verified on their full token sets.
+* Lines of equal words form a class first, by partial aggregation: a line that
+  a third of the corpus repeats is one row per task in the shuffle.
+* One scan marks each line with a prefix of its shingles, ordered by the hash
+  of the first word, so that only these are made.  Similar lines share SHARED
+  of their marks; classes that share fewer with others are set aside.
+* Only of the rest full sets are made.  Their tokens are ordered by rarity:
+  counts of their shingles in a fixed number of hash buckets (a table of
+  constant size), ties by hash.  Any fixed order is exact; rarity only keeps
+  the lists short.
+* The prefix that a similar set must meet is joined on its tokens, with length
+  and positional filters in the join.  A class needs one earlier class that it
+  resembles, so it meets the earliest partners of each token first, and all
+  others only if it found none.
+* Candidates are verified on their full sets.
 
 Only DataFrame operations are used.  Defined results: null and empty texts
 have no lines and stay as they are; lines without words are never removed;
 rows of one doc_id are one position in the order, so equal lines at the same
 place of them do not remove each other; a null doc_id comes first; extra
-columns are kept by ``remove_duplicate_lines`` and not read otherwise.  Tokens
-are 48-bit hashes beside their rarity, classes 128-bit hashes.
+columns are kept by ``remove_duplicate_lines`` and not read otherwise.  Shingles
+are 64-bit hashes, tokens 48 bits of them beside their rarity, classes 126 bits.
 """
 
 from __future__ import annotations
@@ -38,7 +43,8 @@ SHINGLE = 5
 BUCKETS = 1 << 16
 #: The threshold 0.8 as a fraction; sizes and overlaps are compared in integers.
 UP, DOWN = 4, 5
-#: Marks that similar lines share at least, if their sets are as large.
+#: Marks that similar lines share at least, if their sets are as large (at
+#: most 3, as two bits hold it).
 SHARED = 3
 #: Partners per token that a class meets before all others.
 FIRST_PARTNERS = 2
@@ -133,7 +139,8 @@ def _prefix_length(n: Column, shared: int = 1) -> Column:
 
 def marked_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line_no, c1, c2, marks of every line with words: c1 and
-    c2 are 128 bits of its words, ``marks`` holds at least the prefix for SHARED
+    c2 are 126 bits of its words and, lowest in c1, the number of marks that it
+    shares at least with a similar line; ``marks`` holds at least the prefix for SHARED
     of its shingles, in the order of their first words' hashes.
 
     So only a part of the shingles is made.  All that start with a word up to
@@ -159,10 +166,13 @@ def marked_lines(docs: DataFrame) -> DataFrame:
         lambda x: x.isNotNull()).alias("chosen"))
     marked = chosen.select("*", F.array_distinct("chosen").alias("marks"))
     enough = F.size("marks") >= _prefix_length(n - F.size("chosen") + F.size("marks"), SHARED)
+    marks = (F.when(enough, F.col("marks"))
+             .when(n > 0, F.array_distinct(F.transform("starts", shingle))).otherwise(F.col("marks")))
+    # in c1, so that postings of both sides are the same columns, shuffled once
+    need = F.least(F.lit(SHARED), _least_shared(F.size("marks")))
     return materialize(marked.select(
-        *keep, F.xxhash64("w").alias("c1"), F.xxhash64(F.lit(1), "w").alias("c2"),
-        F.when(enough, F.col("marks")).when(n > 0, F.array_distinct(F.transform("starts", shingle)))
-        .otherwise(F.col("marks")).alias("marks")), "line-marks")
+        *keep, F.xxhash64("w").bitwiseAND(F.lit(-4)).bitwiseOR(need).alias("c1"),
+        F.xxhash64(F.lit(1), "w").alias("c2"), marks.alias("marks")), "line-marks")
 
 
 def meeting_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -170,12 +180,12 @@ def meeting_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
     as a small set shares at least) that other classes have too; no other class
     can be similar to one."""
     classes = lines.groupBy("c1", "c2").agg(F.first("marks").alias("marks"))
-    need = F.least(F.lit(SHARED), _least_shared(F.size("marks")))
-    posted = classes.select("c1", need.alias("need"), F.explode("marks").alias("mark"))
+    posted = classes.select("c1", F.explode("marks").alias("mark"))
     other = posted.select(F.col("c1").alias("o_c1"), F.col("mark").alias("o_mark"))
     met = posted.join(other, (F.col("mark") == F.col("o_mark")) & (F.col("c1") != F.col("o_c1")), "left_semi")
-    wanted = materialize(met.groupBy("c1").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
-                         .filter("n >= need").select("c1"), "line-meeting")
+    need = F.col("c1").bitwiseAND(F.lit(3))
+    wanted = materialize(met.groupBy("c1").agg(F.count(F.lit(1)).alias("n"))
+                         .filter(F.col("n") >= need).select("c1"), "line-meeting")
     places = (lines.join(small_side(wanted), "c1", "left_semi").groupBy("c1", "c2")
               .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
               .select("at.*", "c1", "c2"))
