@@ -9,8 +9,9 @@ removed does not matter, so the result does not depend on the order of work.
   a third of the corpus repeats is one row per task in the shuffle.
 * One scan marks each line with a prefix of its shingles, ordered by the hash
   of the first word, so that only these are made.  Similar lines share SHARED
-  of their marks; classes that share fewer with others are set aside.
-* Only of the rest full sets are made.  Their tokens are ordered by rarity:
+  of their marks; classes that share fewer with others are set aside.  Marks
+  are shuffled once, from the lines; a line that is repeated often posts once.
+* Only of the rest full sets are made, from the texts with their first lines.  Their tokens are ordered by rarity:
   counts of their shingles in a fixed number of hash buckets (a table of
   constant size), ties by hash.  Any fixed order is exact; rarity only keeps
   the lists short.
@@ -30,6 +31,7 @@ are 64-bit hashes, tokens 48 bits of them beside their rarity, classes 126 bits.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,6 +51,8 @@ SHARED = 3
 #: Partners per token that a class meets before all others.
 FIRST_PARTNERS = 2
 PAIR = ("a", "a2", "b", "b2")
+#: Of classes with such a part of all lines, one line posts its marks.
+POSTERS = 100_000
 
 
 #: Anything but digits, letters and characters beyond ASCII parts words.
@@ -102,9 +106,9 @@ def with_tokens(lines: DataFrame, ranks: Column) -> DataFrame:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line_no, line of every line of a text that is not null."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.xxhash64("text").alias("text_key"),
-                       F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                        F.split("text", "\n").alias("lines"))
+    return keyed.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "line"))
 
 
 def bucket_ranks(sets: DataFrame) -> Column:
@@ -175,41 +179,72 @@ def marked_lines(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(1), "w").alias("c2"), marks.alias("marks")), "line-marks")
 
 
-def meeting_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """c1, c2, shingles (distinct) of the classes with SHARED marks (or as many
-    as a small set shares at least) that other classes have too; no other class
-    can be similar to one."""
-    classes = lines.groupBy("c1", "c2").agg(F.first("marks").alias("marks"))
-    posted = classes.select("c1", F.explode("marks").alias("mark"))
-    other = posted.select(F.col("c1").alias("o_c1"), F.col("mark").alias("o_mark"))
-    met = posted.join(other, (F.col("mark") == F.col("o_mark")) & (F.col("c1") != F.col("o_c1")), "left_semi")
+def _position() -> Column:
+    """doc_id and line_no as one number of the same order (null first): its
+    minimum is found by hash, that of a struct by sorting."""
+    doc_id = F.coalesce(F.col("doc_id").cast("decimal(19,0)"), F.lit(Decimal(-(1 << 63) - 1)))
+    return (doc_id * F.lit(Decimal(1 << 32)) + F.col("line_no")).cast("decimal(31,0)")
+
+
+def line_classes(lines: DataFrame) -> DataFrame:
+    """c1, c2, own, n of each class: position of its first line, number of lines."""
+    return materialize(lines.groupBy("c1", "c2").agg(F.min(_position()).alias("own"), F.count(F.lit(1)).alias("n")),
+                       "line-classes")
+
+
+def meeting_classes(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """c1 of the classes with SHARED marks (or as many as a small set shares at
+    least) that other classes have too; no other class can be similar to one.
+
+    Lines post the marks of their class, of those with a POSTERS-th of all lines
+    only the first, so that repeats of a line do not meet in one task.
+    """
+    often = (F.col("n") > 1) & (F.col("n") * POSTERS >= lines.count())           # POSTERS classes at most
+    first = F.broadcast(classes.filter(often).select("c1", "c2", "own"))
+    posted = (lines.join(first, ["c1", "c2"], "left").filter(F.col("own").isNull() | (F.col("own") == _position()))
+              .select("c1", F.explode("marks").alias("mark")))
+    with_mark = Window.partitionBy("mark")
+    met = (posted.select("c1", "mark", F.min("c1").over(with_mark).alias("low"), F.max("c1").over(with_mark).alias("high"))
+           .filter(F.col("low") < F.col("high")).select("c1", "mark").distinct())
     need = F.col("c1").bitwiseAND(F.lit(3))
-    wanted = materialize(met.groupBy("c1").agg(F.count(F.lit(1)).alias("n"))
-                         .filter(F.col("n") >= need).select("c1"), "line-meeting")
-    places = (lines.join(small_side(wanted), "c1", "left_semi").groupBy("c1", "c2")
-              .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
-              .select("at.*", "c1", "c2"))
+    return materialize(met.groupBy("c1").agg(F.count(F.lit(1)).alias("n"))
+                       .filter(F.col("n") >= need).select("c1"), "line-meeting")
+
+
+def meeting_sets(docs: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """c1, c2, own, shingles (distinct) of :func:`meeting_classes`, made from
+    the first line of each; of other texts and lines nothing is made."""
+    wanted = small_side(meeting_classes(lines, classes))
+    at = F.struct("doc_id", "line_no", "text_key")
+    places = (lines.join(wanted, "c1", "left_semi").groupBy("c1", "c2").agg(F.min(at).alias("at"))
+              .select("c1", "c2", F.struct("at.doc_id", "at.line_no").alias("own"), "at.text_key"))
     places = materialize(places, "line-places")
     n = places.count()
-    named = small_side(places, n).withColumnsRenamed({"doc_id": "p_id", "text_key": "p_key", "line_no": "p_no"})
-    found = (lines_of(docs)
-             .join(named, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
-                   & (F.col("line_no") == F.col("p_no")))
-             .select("c1", "c2", "line"))
-    sets = materialize(with_shingles(found).select("c1", "c2", F.array_distinct("shingles").alias("shingles")),
+    # at most the lines of a text in a list
+    named = (places.groupBy(F.col("own.doc_id").alias("p_id"), F.col("text_key").alias("p_key"))
+             .agg(F.collect_list(F.struct("c1", "c2", "own")).alias("places")))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("d_id"), "text").filter("text IS NOT NULL")
+    found = texts.join(small_side(named, n), F.col("d_id").eqNullSafe(F.col("p_id"))
+                       & (F.xxhash64("text") == F.col("p_key"))).select("places", "text")
+    # once: else the lambda below would split for each place
+    split = with_column_once(found, "lines", F.split("text", "\n")).select("places", "lines")
+    placed = split.select(F.explode(F.transform("places", lambda p: F.struct(
+        p["c1"].alias("c1"), p["c2"].alias("c2"), p["own"].alias("own"),
+        F.get("lines", p["own"]["line_no"]).alias("line")))).alias("at")).select("at.*")
+    shingled = with_shingles(placed)
+    sets = materialize(shingled.select("c1", "c2", "own", F.array_distinct("shingles").alias("shingles")),
                        "line-sets")
     # more than places only where rows of documents repeat
     return sets if sets.count() == n else materialize(sets.dropDuplicates(["c1", "c2"]), "line-sets")
 
 
-def postings(sets: DataFrame, own: DataFrame) -> DataFrame:
+def postings(sets: DataFrame) -> DataFrame:
     """token, c1, c2, size, place, own, rank of the rarest tokens of each set,
     its prefix; ``rank`` counts the classes of a token by their first lines."""
     n = F.size("shingles")
-    ranked = with_ranked(sets.select("c1", "c2", n.alias("size"), "shingles"), bucket_ranks(sets))
+    ranked = with_ranked(sets.select("c1", "c2", "own", n.alias("size"), "shingles"), bucket_ranks(sets))
     prefix = F.slice(F.sort_array("tokens"), 1, _prefix_length(F.col("size")))
-    posted = (ranked.select("c1", "c2", "size", prefix.alias("prefix")).join(own.drop("n"), ["c1", "c2"])
-              .select("c1", "c2", "size", "own", F.posexplode("prefix").alias("place", "token")))
+    posted = ranked.select("c1", "c2", "size", "own", F.posexplode(prefix).alias("place", "token"))
     rank = F.row_number().over(Window.partitionBy("token").orderBy("own", "c1", "c2"))
     return materialize(posted.withColumn("rank", rank), "line-postings")
 
@@ -242,15 +277,15 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .filter(shared * (UP + DOWN) >= total * UP).select(*PAIR))
 
 
-def resembling_classes(docs: DataFrame, lines: DataFrame, own: DataFrame) -> DataFrame:
+def resembling_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
     """c1, c2 of the classes that resemble an earlier one.
 
     One earlier class is enough, so each class first meets the FIRST_PARTNERS
     earliest classes of each of its prefix tokens: a group of near copies is
     settled by its first members.  Only classes that found none meet the others.
     """
-    sets = meeting_sets(docs, lines)
-    posted = postings(sets, own)
+    sets = meeting_sets(docs, lines, classes)
+    posted = postings(sets)
     probes = lambda pairs: pairs.select(F.col("a").alias("c1"), F.col("a2").alias("c2")).distinct()
     early, late = F.col("rank") <= FIRST_PARTNERS, F.col("rank") > FIRST_PARTNERS
     first = materialize(candidate_pairs(posted, posted.filter(early)), "line-pairs")
@@ -264,14 +299,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, removed: the numbers of the lines to remove, for
     every document that has some."""
     lines = marked_lines(docs)
-    at = F.struct("doc_id", "line_no")
-    own = lines.groupBy("c1", "c2").agg(F.min(at).alias("own"), F.count(F.lit(1)).alias("n"))
-    own = materialize(own, "line-classes")
-    near = materialize(resembling_classes(docs, lines, own), "line-links").withColumn("near", F.lit(True))
+    classes = line_classes(lines)
+    near = materialize(resembling_classes(docs, lines, classes), "line-links").withColumn("near", F.lit(True))
     # all lines of a class that resembles an earlier one; of others, all but the first
-    gone = own.join(small_side(near), ["c1", "c2"], "left").filter((F.col("n") > 1) | F.col("near")).drop("n")
+    gone = classes.join(small_side(near), ["c1", "c2"], "left").filter((F.col("n") > 1) | F.col("near")).drop("n")
     return (lines.select("doc_id", "text_key", "line_no", "c1", "c2").join(gone, ["c1", "c2"])
-            .filter(F.col("near") | (F.col("own") < at))
+            .filter(F.col("near") | (F.col("own") < _position()))
             .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")))
 
 

@@ -123,3 +123,48 @@ def test_lines_of_repeated_shingles(spark):
         texts.append(" ".join(line[rng.randint(0, 2):]))
     got = {r.doc_id: r.text for r in L.remove_duplicate_lines(docs_frame(spark, texts)).collect()}
     assert got == brute(list(enumerate(texts)))
+
+
+def test_marks_are_posted_once_and_classes_found_by_hash(spark, monkeypatch):
+    plans, write = {}, L.materialize
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(L, "materialize", planned)
+    texts = corpus()[:30]
+    got = {r.doc_id: r.text for r in L.remove_duplicate_lines(docs_frame(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+    assert plans["line-meeting"].count("Generate explode(marks") == 1
+    assert "SortMergeJoin" not in plans["line-meeting"]
+    assert "SortAggregate" not in plans["line-classes"]
+    assert "posexplode" not in plans["line-sets"]              # lines of the wanted places only
+
+
+@pytest.mark.parametrize("posters", [1, 20, 10 ** 6])
+def test_repeated_lines_post_all_or_the_first(spark, monkeypatch, posters):
+    monkeypatch.setattr(L, "POSTERS", posters)
+    texts = [*corpus(), *["\n".join([prose(16, 20, 99), prose(17, 3, 99)] * 3)] * 9]
+    got = {r.doc_id: r.text for r in L.remove_duplicate_lines(docs_frame(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+
+
+def test_order_of_extreme_ids(spark):
+    ids = [None, -(1 << 63), -(1 << 63) + 1, -1, 0, (1 << 63) - 1]
+    base = prose(18, 30, 99)
+    rows = [(i, f"{prose(30 + k, 9, 99)}\n{base} n{k}\n{base} n{k}") for k, i in enumerate(ids)]
+    got = {r.doc_id: r.text for r in L.remove_duplicate_lines(
+        spark.createDataFrame(rows[::-1], "doc_id bigint, text string")).collect()}
+    want = brute([(k, text) for k, (_, text) in enumerate(rows)])
+    assert got == {i: want[k] for k, i in enumerate(ids)}
+
+
+def test_equal_ids_of_different_texts(spark):
+    near = prose(19, 30, 99)
+    rows = [(1, f"{prose(40, 12, 99)}\n{near}"), (1, f"{prose(41, 12, 99)}\n{near} x"), (2, f"{near} y"),
+            (1, f"{prose(40, 12, 99)}\n{near}")]
+    got = sorted((r.doc_id, r.text) for r in L.remove_duplicate_lines(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    # one place in the order: these do not remove each other
+    assert got == sorted([(1, rows[0][1]), (1, rows[0][1]), (1, rows[1][1]), (2, "")])
